@@ -31,7 +31,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     clean = lambda e: e.where("u <> v").distinct()
     e, seen = materialize(clean(edges)), None
     for _ in range(rounds):
-        e = materialize(clean(_small(clean(_large(e)))))
+        e = materialize(clean(_small(_large(e))))
         now = e.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).head()
         if now == seen:
             break

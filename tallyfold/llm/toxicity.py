@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import ALNUM, LOWER, arrow_map, mix, prefix_hash, scan_words, slices, span_hash, text_buffers
 
@@ -134,7 +135,7 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
     """
     docs = docs.drop("grade", "expected_severity", "toxic")
     names = docs.columns
-    schema = docs.schema.add("grade", "integer").add("expected_severity", "double").add("toxic", "boolean")
+    schema = StructType(list(docs.schema)).add("grade", "integer").add("expected_severity", "double").add("toxic", "boolean")
     at = names.index(text_col)
 
     def run(batches):
