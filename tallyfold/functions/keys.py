@@ -81,7 +81,7 @@ def fold_latin(column: Column) -> Column:
 
 def slug(column: Column) -> Column:
     """Lower-case letters and digits joined by single hyphens."""
-    return F.trim(F.lit("-"), F.regexp_replace(fold_latin(column), "[^a-z0-9]+", "-")) if False else F.regexp_replace(F.regexp_replace(fold_latin(column), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    return F.regexp_replace(F.regexp_replace(fold_latin(column), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
 def event_identity(date: Column, headliner_key: Column, venue_key: Column) -> Column:
@@ -100,7 +100,7 @@ def article_sort_key(column: Column) -> Column:
 
 def safe_date(column: Column) -> Column:
     """The date in the first ten characters, null if there is none."""
-    return F.try_to_date(F.substring(column, 1, 10)) if hasattr(F, "try_to_date") else F.expr("try_to_date(x)")
+    return F.try_to_date(F.substring(column, 1, 10))
 
 
 def normal_time(column: Column) -> Column:

@@ -1,0 +1,20 @@
+"""Staging points: lineage is cut into the shared checkpoint folder."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names; one of our own only where none is set."""
+    jsc = spark.sparkContext._jsc.sc()
+    if jsc.getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyfold-stage-"))
+    return jsc.getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    folder(df.sparkSession)
+    return df.checkpoint(eager=True)
