@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,7 +18,7 @@ from pyspark.sql.types import StructType
 from .common import ALNUM, LOWER, arrow_map, mix, prefix_hash, scan_words, slices, span_hash, text_buffers
 
 #: Labelled rows that the model is fitted on, at most (least by a hash of the id).
-SAMPLE = 12_000
+SAMPLE = 6000
 MIN_PREFIX, MAX_PREFIX = 4, 9
 #: Features kept: those whose rates differ most between toxic and other rows.
 FEATURES = 4096
@@ -68,52 +69,77 @@ class OrdinalModel:
         return np.diff(np.c_[np.zeros(len(words)), below, np.ones(len(words))], axis=1)
 
 
-def fit(texts: list[str | None], toxic: np.ndarray) -> OrdinalModel:
-    """The model of labelled texts (toxic: 0 or 1); grades of toxic ones follow their number of marker words."""
-    word, feature, at = hashed(*text_buffers(pa.array(texts, pa.string())))
-    words, word_doc = np.diff(at), np.searchsorted(at, word, "right") - 1
-    names, feature = np.unique(feature, return_inverse=True)
-    pair, n = np.unique(word_doc * max(1, len(names)) + feature, return_counts=True)
-    doc, col = pair // max(1, len(names)), pair % max(1, len(names))
-    ones = np.bincount(col, toxic[doc], len(names))
-    zeros = np.bincount(col, 1 - toxic[doc], len(names))
+def fit(texts: list[str | None] | pa.ChunkedArray, toxic: np.ndarray) -> OrdinalModel:
+    """The model of labelled texts (toxic: 0 or 1); grades of toxic ones follow their number of marker words.
+
+    Texts are read in small slices, three times: for the features of toxic
+    rows, for their counts in other rows, and for the values of those kept.
+    """
+    batch = pa.table({"text": texts if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.string()), "toxic": pa.array(toxic)})
+
+    def parts(known=None, only=None):
+        rows = batch if only is None else batch.filter(pc.equal(batch.column("toxic"), only))
+        first = 0
+        for b in slices(rows.to_batches(), limit=1_000_000):
+            word, feature, at = hashed(*text_buffers(b.column("text")), known)
+            yield first, word, feature, at
+            first += b.num_rows
+
+    def distinct(word, feature, at):
+        names, col = np.unique(feature, return_inverse=True)
+        return names[np.unique((np.searchsorted(at, word, "right") - 1) * max(1, len(names)) + col) % max(1, len(names))]
+
+    seen = [np.unique(distinct(w, f, at), return_counts=True) for _, w, f, at in parts(only=1.0)]
+    names, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *[n for n, _ in seen]]), return_inverse=True)
+    ones = np.bincount(back, np.concatenate([np.zeros(0), *[c for _, c in seen]]), len(names))
+    names, ones = names[ones >= 3], ones[ones >= 3]
+    if not len(names):
+        return OrdinalModel(np.array([np.iinfo(np.uint64).max], np.uint64), np.zeros(1 + SIZES), np.array([5.0, 6.0, 7.0]))
+    zeros = np.zeros(len(names))
+    for _, w, f, at in parts(names, 0.0):
+        pair = np.unique((np.searchsorted(at, w, "right") - 1) * len(names) + f)
+        zeros += np.bincount(pair % len(names), minlength=len(names))
     n1, n0 = max(1, toxic.sum()), max(1, (1 - toxic).sum())
     odds = np.log((ones + 0.5) / (n1 + 1)) - np.log((zeros + 0.5) / (n0 + 1))
-    signal = odds * np.sqrt(ones)
-    keep = np.sort(np.argsort(-np.where((odds > 2.5) & (ones >= 3), signal, -np.inf), kind="stable")[:FEATURES])
-    keep = keep[(odds[keep] > 2.5) & (ones[keep] >= 3)]
+    keep = np.flatnonzero(odds > 2.5)
+    keep = np.sort(keep[np.argsort(-(odds * np.sqrt(ones))[keep], kind="stable")[:FEATURES]])
     if not len(keep):
         return OrdinalModel(np.array([np.iinfo(np.uint64).max], np.uint64), np.zeros(1 + SIZES), np.array([5.0, 6.0, 7.0]))
-    place = np.full(len(names), -1)
-    place[keep] = np.arange(len(keep))
-    use = place[col] >= 0
-    doc, col, value = doc[use], place[col[use]], np.log1p(n[use])
+    names = names[keep]
+    doc, col, n, words, markers = [], [], [], [], []
+    for first, w, f, at in parts(names):
+        pair, k = np.unique((np.searchsorted(at, w, "right") - 1) * len(names) + f, return_counts=True)
+        doc.append(first + pair // len(names))
+        col.append(pair % len(names))
+        n.append(k)
+        words.append(np.diff(at))
+        markers.append(np.bincount(np.searchsorted(at, np.unique(w), "right") - 1, minlength=len(at) - 1))
+    doc, col, n, words, markers = map(np.concatenate, (doc, col, n, words, markers))
+    value = np.log1p(n)
     # grades: how many of a toxic row's words carry a marker
-    marked = np.unique(word[place[feature] >= 0])
-    markers = np.bincount(np.searchsorted(at, marked, "right") - 1, minlength=len(texts))
     grade = np.where(toxic == 1, 1 + np.digitize(markers, GRADES), 0)
-    every = np.arange(len(texts))
-    doc, col, value = np.r_[doc, every], np.r_[col, len(keep) + size_class(words)], np.r_[value, np.ones(len(texts))]
-    weights, gaps = np.zeros(len(keep) + SIZES), np.array([2.0, 0.0, 0.0])
+    every = np.arange(len(toxic))
+    doc, col, value = np.r_[doc, every], np.r_[col, len(names) + size_class(words)], np.r_[value, np.ones(len(toxic))]
+    weights, gaps = np.zeros(len(names) + SIZES), np.array([2.0, 0.0, 0.0])
     state = [[np.zeros_like(a), np.zeros_like(a)] for a in (weights, gaps)]
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
     for step in range(1, 1001):
         cuts = gaps[0] + np.r_[0, np.cumsum(np.exp(gaps[1:]))]
-        score = np.bincount(doc, weights[col] * value, len(texts))
+        score = np.bincount(doc, weights[col] * value, len(toxic))
         edge = np.r_[-np.inf, cuts, np.inf]
         up, low = edge[grade + 1] - score, edge[grade] - score
         p_up, p_low = np.where(np.isinf(up), 1, sigmoid(up)), np.where(np.isinf(low), 0, sigmoid(low))
         p = np.maximum(p_up - p_low, 1e-9)
         d_up, d_low = p_up * (1 - p_up) / p, p_low * (1 - p_low) / p
         on_score = d_up - d_low  # of -log p
-        g_cut = np.array([-(d_up[grade == k].sum() - d_low[grade == k + 1].sum()) for k in range(3)]) / len(texts)
+        g_cut = np.array([-(d_up[grade == k].sum() - d_low[grade == k + 1].sum()) for k in range(3)]) / len(toxic)
         g_gap = np.r_[g_cut.sum(), [g_cut[k:].sum() * np.exp(gaps[k]) for k in (1, 2)]]
-        g_w = np.bincount(col, on_score[doc] * value, len(weights)) / len(texts) + 1e-6 * weights
+        g_w = np.bincount(col, on_score[doc] * value, len(weights)) / len(toxic) + 1e-6 * weights
         for a, g, s in ((weights, g_w, state[0]), (gaps, g_gap, state[1])):
             s[0] = 0.9 * s[0] + 0.1 * g
             s[1] = 0.999 * s[1] + 0.001 * g * g
             a -= 0.05 * (s[0] / (1 - 0.9**step)) / (np.sqrt(s[1] / (1 - 0.999**step)) + 1e-9)
-    return OrdinalModel(names[keep], weights, gaps[0] + np.r_[0, np.cumsum(np.exp(gaps[1:]))])
+    return OrdinalModel(names, weights, gaps[0] + np.r_[0, np.cumsum(np.exp(gaps[1:]))])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
@@ -123,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     # at most SAMPLE ids
     rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).orderBy("doc_id").toArrow()
-    return fit(rows.column("text").to_pylist(), rows.column("toxic").to_numpy().astype(float))
+    return fit(rows.column("text"), rows.column("toxic").to_numpy().astype(float))
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
