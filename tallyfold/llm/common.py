@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised pass holds (a longer single text forms a pass of its own).
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 1_000_000
+#: Bytes and rows of an Arrow batch on its way to a Python worker.
+BATCH_BYTES, BATCH_ROWS = 4_000_000, 1000
 
 _RNG = np.random.default_rng(20240607)
 _TABLE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -37,7 +39,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    ship(df.sparkSession)
+    """mapInArrow with small batches: two workers and their executor share little memory. A session's own settings stay."""
+    spark = df.sparkSession
+    ship(spark)
+    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
     return df.mapInArrow(fn, schema)
 
 

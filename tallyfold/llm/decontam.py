@@ -25,7 +25,7 @@ from .common import ALNUM, LOWER, arrow_map, materialize, prefix_hash, scan_word
 
 WINDOW = 10
 #: Bytes of text in one shard (a longer document is a shard of its own).
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 3_000_000
 #: Every SAMPLE-th suffix position is kept.
 SAMPLE = 8
 #: Bytes of test items sent to the tasks at once; more items take further passes.
