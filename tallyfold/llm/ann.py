@@ -123,7 +123,7 @@ def fit(x: np.ndarray, parts: int, k: int = 10) -> Router:
     return Router(x, target / target.sum(1, keepdims=True))
 
 
-def best(query: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def best(query: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the (ids, scores) of its k best rows, ties to smaller ids; scores summed in one fixed order."""
     out = []
     bound = 1e-9 * np.abs(rows).max(initial=0) * np.abs(query).sum(1)
@@ -138,6 +138,8 @@ def best(query: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, ids: np.nda
             near = near[ids[near] != query_ids[a + i]]
             score = (rows[near] * query[a + i]).sum(1)
             order = np.lexsort((ids[near], -score))[:k]
+            if floor is not None:
+                order = order[score[order] >= floor[a + i]]
             out.append((ids[near[order]], score[order]))
     return out
 
@@ -165,12 +167,16 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vector_col
     schema = "query_id long, rank int, vec_id long, score double"
     if not count:
         return spark.createDataFrame([], schema)
-    sample = [r["v"] for r in base.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()]
+    picked = base.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "v").collect()
+    sample = [r["v"] for r in picked]
     lengths = [len(x) for x in sample]
     size = max(sorted(set(lengths)), key=lengths.count)
     base = base.where(F.size("v") == size)
     parts = min(MOST, max(FEWEST, 2 ** round(np.log2(max(1, count / ROWS)))))
-    router = fit(np.array([x for x in sample if len(x) == size]), parts)
+    # the sample serves each query twice more: its best rows are candidates, and the k-th of them is a floor for the partitions' answers
+    near_ids = np.array([r["id"] for r in picked if len(r["v"]) == size])
+    near = np.array([x for x in sample if len(x) == size])
+    router = fit(near, parts)
 
     def route(batches):
         for b in batches:
@@ -181,10 +187,12 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vector_col
             mass = np.cumsum(np.take_along_axis(p, order, 1), axis=1)
             n = np.minimum(np.maximum((mass < MASS).sum(1) + 1, PROBES), p.shape[1])
             query = b.column("query").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(order[:, 0].astype(np.int32)), pa.array([o[:m] if q else None for o, m, q in zip(order.astype(np.int32), n, query, strict=True)], pa.list_(pa.int32()))], ["id", "v", "part", "probes"])
+            asks = iter(best(matrix(b.column("v"), size)[query], near, b.column("id").to_numpy()[query], near_ids, k))
+            first = [next(asks) if q else None for q in query]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(order[:, 0].astype(np.int32)), pa.array([o[:m] if q else None for o, m, q in zip(order.astype(np.int32), n, query, strict=True)], pa.list_(pa.int32())), pa.array([f and f[0] for f in first], pa.list_(pa.int64())), pa.array([f and f[1] for f in first], pa.list_(pa.float64())), pa.array([f and (float(f[1][-1]) if len(f[1]) == k else -np.inf) for f in first], pa.float64())], ["id", "v", "part", "probes", "near", "scores", "floor"])
 
-    routed = materialize(arrow_map(base, route, "id long, v array<double>, part int, probes array<int>"))
-    asked = routed.where("probes is not null").select("id", "v", F.explode("probes").alias("part"))
+    routed = materialize(arrow_map(base, route, "id long, v array<double>, part int, probes array<int>, near array<long>, scores array<double>, floor double"))
+    asked = routed.where("probes is not null").select("id", "v", "floor", F.explode("probes").alias("part"))
     # at most MOST rows each: chunks of rows and of queries for every partition
     sizes = {r["part"]: -(-r["count"] // CHUNK) for r in routed.groupBy("part").count().collect()}
     loads = {r["part"]: -(-r["count"] // CHUNK) for r in asked.groupBy("part").count().collect()}
@@ -193,7 +201,7 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vector_col
     rows = routed.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks)).withColumn("block", F.explode(F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))))
     ask = asked.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("chunk", F.explode(F.when(chunks > 0, F.sequence(F.lit(0), chunks - 1)).otherwise(F.array().cast("array<int>"))))
     task = F.xxhash64(F.col("part"), F.col("chunk").cast("long"), F.col("block").cast("long")).alias("task")
-    both = rows.select(task, F.lit(False).alias("query"), "id", "v").union(ask.select(task, F.lit(True).alias("query"), "id", "v"))
+    both = rows.select(task, F.lit(False).alias("query"), "id", "v", "floor").union(ask.select(task, F.lit(True).alias("query"), "id", "v", "floor"))
 
     def search(batches):
         for t in _groups(batches, "task"):
@@ -202,10 +210,12 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vector_col
             ids, v = t.column("id").to_numpy(), matrix(t.column("v").combine_chunks(), size)
             if not query.any() or query.all():
                 continue
-            found = best(v[query], v[~query], ids[query], ids[~query], k)
+            found = best(v[query], v[~query], ids[query], ids[~query], k, t.column("floor").to_numpy()[query])
             n = [len(i) for i, _ in found]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[query], n)), pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))], ["query_id", "vec_id", "score"])
 
     found = arrow_map(both.repartition("task").sortWithinPartitions("task"), search, "query_id long, vec_id long, score double")
+    early = routed.where("near is not null").select(F.col("id").alias("query_id"), F.explode(F.arrays_zip("near", "scores")).alias("r")).select("query_id", F.col("r.near").alias("vec_id"), F.col("r.scores").alias("score"))
+    found = found.union(early).dropDuplicates(["query_id", "vec_id"])
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
