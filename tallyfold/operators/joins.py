@@ -49,8 +49,9 @@ def greedy_match(edges: DataFrame, left: str, right: str, score: str, rounds: in
     best = lambda d, c: F.row_number().over(Window.partitionBy(c).orderBy(*order))
     edges, taken = cut(edges.select(left, right, score).distinct()), None
     for _ in range(rounds):
-        ranked = edges.withColumn("_l", best(edges, left)).withColumn("_r", best(edges, right))
-        won = cut(ranked.where("_l = 1 and _r = 1").drop("_l", "_r"))
+        # each end's first edge by itself, so that no filter of one rank reaches below the other
+        firsts = [edges.withColumn("_n", best(edges, c)).where("_n = 1").select(left, right) for c in (left, right)]
+        won = cut(edges.join(firsts[0], [left, right], "left_semi").join(firsts[1], [left, right], "left_semi"))
         taken = won if taken is None else taken.union(won)
         edges = cut(edges.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti"))
         if edges.isEmpty():
