@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bills, payloads, titles
 from ..functions import keys as K
-from ..operators import enrichment, identity, listings, reports, snapshots
+from ..operators import enrichment, identity, listings, places, reports, snapshots
 from ..sources import registry as sources
 from ..sources import sinks
 from ..sources.tables import table
@@ -186,11 +186,11 @@ def inherited_genres(spark, d):
     return enrichment.inherited(edges, g).select("artist", F.array_join("genres", "|").alias("genres"))
 
 
-@query("""WITH t AS (SELECT p_brand AS "group", p_partkey AS id, p_name AS name, lower(p_name) AS term FROM part), s AS (SELECT *, CASE WHEN term = 'part' THEN 0 WHEN starts_with(term, 'part') THEN 20 WHEN contains(' ' || term || ' ', ' part ') THEN 40 WHEN contains(term, 'part') THEN 50 END AS score FROM t),
+@query("""WITH t AS (SELECT p_brand AS "group", p_partkey AS id, p_name AS name, lower(p_name) AS term FROM part), s AS (SELECT *, CASE WHEN term = 'red' THEN 0 WHEN starts_with(term, 'red') THEN 20 WHEN contains(' ' || term || ' ', ' red ') THEN 40 WHEN contains(term, 'red') THEN 50 END AS score FROM t),
 r AS (SELECT "group", id, name, score, row_number() OVER (PARTITION BY "group" ORDER BY score, name, id) AS rank FROM s WHERE score IS NOT NULL) SELECT * FROM r WHERE rank <= 8""")
 def search_top_k(spark, d):
     p = table(spark, d, "part").select(F.col("p_brand").alias("group"), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.lower("p_name").alias("term"), F.lit(False).alias("alias"))
-    return enrichment.search(p, "part")
+    return enrichment.search(p, "red")
 
 
 @query("""WITH a AS (SELECT conv_id AS event, turn - min(turn) OVER (PARTITION BY conv_id) AS p, role FROM conversations)
@@ -242,10 +242,43 @@ def gate_refusals(spark, d):
     return reports.gate(o, 0, ["F", "O"]).withColumn("refusals", F.array_join("refusals", "|"))
 
 
-@query(f"""WITH h AS (SELECT user_id AS key, ts < TIMESTAMP '{HALF}' AS old, event_type FROM events WHERE user_id % 7 < 5), b AS (SELECT key, list(DISTINCT lower(event_type)) AS o FROM h WHERE old GROUP BY 1), a AS (SELECT key, list(DISTINCT lower(event_type)) AS o FROM h WHERE NOT old GROUP BY 1)
+@query(f"""WITH h AS (SELECT user_id AS key, ts < TIMESTAMP '{HALF}' AS old, CAST(hour(ts) AS VARCHAR) || event_type AS props FROM events WHERE user_id % 7 < 5), b AS (SELECT key, list(DISTINCT lower(props)) AS o FROM h WHERE old GROUP BY 1), a AS (SELECT key, list(DISTINCT lower(props)) AS o FROM h WHERE NOT old GROUP BY 1)
 SELECT coalesce(a.key, b.key) AS key, CASE WHEN b.key IS NULL THEN 'new' WHEN a.key IS NULL THEN 'gone' ELSE 'openers' END AS change FROM b FULL JOIN a ON a.key = b.key
 WHERE b.key IS NULL OR a.key IS NULL OR len(list_filter(a.o, lambda x: NOT list_contains(b.o, x))) > 0""")
 def opener_changes(spark, d):
-    e = table(spark, d, "events").where("user_id % 7 < 5").select(F.col("user_id").alias("key"), "ts", "event_type")
-    side = lambda c: e.where(c).groupBy("key").agg(F.collect_set("event_type").alias("openers")).withColumn("genre", F.lit("")).withColumn("status", F.lit("tickets"))
+    e = table(spark, d, "events").where("user_id % 7 < 5").select(F.col("user_id").alias("key"), "ts", F.concat(F.hour("ts"), "event_type").alias("act"))
+    side = lambda c: e.where(c).groupBy("key").agg(F.collect_set("act").alias("openers")).withColumn("genre", F.lit("")).withColumn("status", F.lit("tickets"))
     return identity.changes(side(F.col("ts") < _ntz(HALF)), side(F.col("ts") >= _ntz(HALF)), "key").select("key", F.array_join("change", "|").alias("change"))
+
+
+@query("""WITH a AS (SELECT lower(n_name) AS alias, n_name AS place, n_nationkey AS o FROM nation), t AS (SELECT c_custkey, lower('live at ' || n_name || CASE WHEN c_custkey % 2 = 0 THEN ' hall' ELSE 'hall' END || CASE WHEN c_custkey % 3 = 0 THEN ' and ' || (SELECT n_name FROM nation WHERE n_nationkey = 0) ELSE '' END) AS t FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, min_by(place, o) AS place FROM t JOIN a ON contains(' ' || t || ' ', ' ' || alias || ' ') GROUP BY 1""")
+def named_places(spark, d):
+    n = table(spark, d, "nation")
+    first = n.where("n_nationkey = 0").select(F.col("n_name").alias("zero"))  # one row
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(n.select("n_nationkey", "n_name"), "n_nationkey").join(first)
+    text = F.lower(F.concat(F.lit("live at "), "n_name", F.when(F.col("c_custkey") % 2 == 0, " hall").otherwise("hall"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" and "), "zero")).otherwise("")))
+    aliases = n.select(F.lower("n_name").alias("alias"), F.col("n_name").alias("place"), F.col("n_nationkey").alias("order"))
+    return places.named_places(c.select("c_custkey", text.alias("t")), "c_custkey", "t", aliases)
+
+
+@query("""SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'main hall' WHEN 1 THEN lower(s_name) ELSE 'room ' || s_suppkey || '|paris' END AS key, CASE s_suppkey % 3 WHEN 0 THEN 'alias' WHEN 1 THEN 'suffix' ELSE 'name' END AS how FROM supplier""")
+def resolved_venues(spark, d):
+    s, k = table(spark, d, "supplier").select("s_suppkey", F.lower("s_name").alias("key")), F.col("s_suppkey") % 3
+    name = F.when(k == 0, F.concat(F.lit("old hall "), "s_suppkey")).when(k == 1, F.concat(F.lit("the club at "), "key")).otherwise(F.concat(F.lit("room "), "s_suppkey"))
+    rows = s.select("s_suppkey", name.alias("venue"), F.lit("paris").alias("city"))
+    aliases = rows.where("s_suppkey % 3 = 0").select(F.col("venue").alias("alias"), F.lit("main hall").alias("key"))
+    return places.resolve_venues(rows, "s_suppkey", "venue", "city", aliases, s.select("key").distinct())
+
+
+@query("""WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day, event_type, CASE WHEN event_id % 4 > 0 THEN hour(ts) // 6 END AS t FROM events)
+SELECT a.event_id, EXISTS (SELECT 1 FROM e b WHERE b.event_type <> 'view' AND b.user_id = a.user_id AND b.day = a.day AND (a.t IS NULL OR b.t IS NULL OR a.t = b.t)) AS covered FROM e a WHERE a.event_type = 'view'""")
+def coverage_overlap(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", day("ts").alias("day"), "event_type", F.when(F.col("event_id") % 4 > 0, F.floor(F.hour("ts") / 6).cast("string")).alias("t"))
+    return places.covered_by(e.where("event_type = 'view'"), e.where("event_type <> 'view'"), "event_id", ["user_id", "day"], "t").select("event_id", "covered")
+
+
+@query("""SELECT event_id FROM events WHERE props IS NOT NULL AND (event_type, props) IN (SELECT (event_type, props) FROM events GROUP BY event_type, props HAVING count(DISTINCT user_id) >= 20)""")
+def series_evidence(spark, d):
+    e = table(spark, d, "events").select("event_id", "event_type", "props", "user_id")
+    return places.series(e, "event_type", "props", "user_id", 20).select("event_id")

@@ -222,3 +222,30 @@ def test_gate_and_periods(spark):
     one = spark.range(1)
     got = [one.select(*reports.last_period(F.lit("2027-01-05").cast("date"), f)).first() for f in ("weekly", "monthly")]
     assert [tuple(map(str, r)) for r in got] == [("2026-W53", "2026-12-28", "2027-01-04"), ("2026-12", "2026-12-01", "2027-01-01")]
+
+
+def test_places(spark):
+    from tallyfold.operators import places
+
+    text = spark.createDataFrame([(1, "at the grand hall tonight"), (2, "the grandhall"), (3, "hall"), (4, ""), (5, None)], "row int, t string")
+    aliases = spark.createDataFrame([("grand hall", "G", 1), ("hall", "H", 2)], "alias string, place string, order int")
+    assert {tuple(r) for r in places.named_places(text, "row", "t", aliases).collect()} == {(1, "G"), (3, "H")}
+    with pytest.raises(ValueError):
+        places.named_places(text, "row", "t", aliases, longest=1)
+    bills_ = spark.createDataFrame([(1, "d", "v", ["B", "a"], "x"), (2, "d", "w", ["a"], "x")], "row int, day string, venue string, names array<string>, source string")
+    rosters = spark.createDataFrame([("d", "v", ["A", "B"], "y"), ("d", "w", ["a"], "x")], "day string, venue string, members array<string>, source string")
+    assert [tuple(r) for r in places.rosters_elsewhere(bills_, rosters, "row").collect()] == [(1, ["A", "B"])]
+
+
+def test_enrichment_rungs(spark):
+    from tallyfold.operators import enrichment
+
+    df = spark.createDataFrame([(1, "Pop, Rock"), (2, "pop, odd"), (3, "jazz/odd"), (4, "cumbia grime"), (5, None), (6, "Jazz actuel")], "row int, raw string")
+    exact = spark.createDataFrame([("pop", "Pop"), ("rock", "Rock")], "term string, genre string")
+    none = spark.createDataFrame([], "term string, genres array<string>")
+    got = {r.row: (r.genres, r.method) for r in enrichment.raw_genres(df, "row", "raw", exact, none, {"W": ["cumbia"], "R": ["grime"]}).collect()}
+    assert got == {1: (["Pop", "Rock"], "exact"), 6: (["Jazz / Blues"], "jazz")}
+    ctx = spark.createDataFrame([(1, "a techno night"), (2, "techno and punk"), (3, "techno")], "row int, t string")
+    acts = spark.createDataFrame([(3, "x")], "row int, artist string")
+    known = spark.createDataFrame([("x", "P")], "artist string, genre string")
+    assert [tuple(r) for r in enrichment.agreed_context(ctx, "row", "t", {"E": ["techno"], "P": ["punk"]}, acts, known).collect()] == [(1, "E")]
