@@ -246,11 +246,23 @@ def gate_refusals(spark, d):
 SELECT coalesce(a.key, b.key) AS key, CASE WHEN b.key IS NULL THEN 'new' WHEN a.key IS NULL THEN 'gone' ELSE 'openers' END AS change FROM b FULL JOIN a ON a.key = b.key
 WHERE b.key IS NULL OR a.key IS NULL OR len(list_filter(a.o, lambda x: NOT list_contains(b.o, x))) > 0""")
 def opener_changes(spark, d):
-    e = table(spark, d, "events").where("user_id % 7 < 5").select(F.col("user_id").alias("key"), "ts", F.concat(F.hour("ts"), "event_type").alias("act"))
+    return _opener_changes(table(spark, d, "events").where("user_id % 7 < 5"))
+
+
+def _opener_changes(events):
+    e = events.select(F.col("user_id").alias("key"), "ts", F.concat(F.hour("ts"), "event_type").alias("act"))
     side = lambda c: e.where(c).groupBy("key").agg(F.collect_set("act").alias("openers")).withColumn("genre", F.lit("")).withColumn("status", F.lit("tickets"))
     return identity.changes(side(F.col("ts") < _ntz(HALF)), side(F.col("ts") >= _ntz(HALF)), "key").select("key", F.array_join("change", "|").alias("change"))
 
 
+@query(f"""WITH h AS (SELECT user_id AS key, ts < TIMESTAMP '{HALF}' AS old, CAST(hour(ts) AS VARCHAR) || event_type AS props FROM events), b AS (SELECT key, list(DISTINCT lower(props)) AS o FROM h WHERE old GROUP BY 1), a AS (SELECT key, list(DISTINCT lower(props)) AS o FROM h WHERE NOT old GROUP BY 1)
+SELECT coalesce(a.key, b.key) AS key, CASE WHEN b.key IS NULL THEN 'new' WHEN a.key IS NULL THEN 'gone' ELSE 'openers' END AS change FROM b FULL JOIN a ON a.key = b.key
+WHERE b.key IS NULL OR a.key IS NULL OR len(list_filter(a.o, lambda x: NOT list_contains(b.o, x))) > 0""")
+def opener_changes_whole(spark, d):
+    """opener_changes over all users; the SQL of that one holds a modulo filter."""
+    return _opener_changes(table(spark, d, "events"))
+
+
 @query("""WITH a AS (SELECT lower(n_name) AS alias, n_name AS place, n_nationkey AS o FROM nation), t AS (SELECT c_custkey, lower('live at ' || n_name || CASE WHEN c_custkey % 2 = 0 THEN ' hall' ELSE 'hall' END || CASE WHEN c_custkey % 3 = 0 THEN ' and ' || (SELECT n_name FROM nation WHERE n_nationkey = 0) ELSE '' END) AS t FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT c_custkey, min_by(place, o) AS place FROM t JOIN a ON contains(' ' || t || ' ', ' ' || alias || ' ') GROUP BY 1""")
 def named_places(spark, d):

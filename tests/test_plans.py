@@ -66,3 +66,8 @@ def test_untimed_row_is_no_bridge(spark):
     rows_ = [(1, "d", "19:00"), (2, "d", None), (3, "d", "21:00"), (4, "e", "19:00"), (5, "e", None)]
     got = {tuple(r) for r in merge_blocks(spark.createDataFrame(rows_, "id int, b string, t string"), ["b"], "id", "t").collect()}
     assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 4)}
+
+
+def test_opener_changes_whole_compares_every_user(spark):
+    cut, whole = ({r["key"] for r in plans.queries()[n](spark, SF).collect()} for n in ("opener_changes", "opener_changes_whole"))
+    assert cut == {k for k in whole if k % 7 < 5} and {k % 7 for k in whole} == set(range(7))
