@@ -327,6 +327,21 @@ def search_expansion_bfs(spark, d):
     return graph.first_covered(e.select(F.col("u").alias("node")).distinct(), e, covered, 2)
 
 
+@query("""WITH RECURSIVE e AS (SELECT 'c' || o_custkey AS u, 'o' || o_orderkey AS v FROM orders UNION SELECT 'o' || l_orderkey, 's' || l_suppkey FROM lineitem),
+c AS (SELECT 'c' || c_custkey AS node FROM customer WHERE c_mktsegment = 'BUILDING' UNION SELECT 'o' || o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' UNION SELECT 's' || s_suppkey FROM supplier WHERE s_acctbal > 0),
+w(source, target, depth) AS (SELECT DISTINCT u, u, 0 FROM e WHERE u LIKE 'c%' AND u NOT IN (SELECT node FROM c) UNION SELECT w.source, e.v, w.depth + 1 FROM w JOIN e ON w.target = e.u WHERE w.depth < 2 AND w.target NOT IN (SELECT node FROM c))
+SELECT source, target, CAST(min(depth) AS INTEGER) AS depth FROM w WHERE target IN (SELECT node FROM c) GROUP BY 1, 2""")
+def search_expansion_bfs_whole(spark, d):
+    """From customers over their orders to suppliers, by whole keys; covered nodes are rows of the tables."""
+    tag = lambda t, c, name: F.concat(F.lit(t), F.col(c)).cast("string").alias(name)
+    o, l, c = table(spark, d, "orders"), table(spark, d, "lineitem"), table(spark, d, "customer")  # noqa: E741
+    bought = o.select(tag("c", "o_custkey", "u"), tag("o", "o_orderkey", "v"))
+    e = bought.union(l.select(tag("o", "l_orderkey", "u"), tag("s", "l_suppkey", "v"))).distinct()
+    covered = c.where("c_mktsegment = 'BUILDING'").select(tag("c", "c_custkey", "node")).union(o.where("o_orderpriority = '1-URGENT'").select(tag("o", "o_orderkey", "node")))
+    covered = covered.union(table(spark, d, "supplier").where("s_acctbal > 0").select(tag("s", "s_suppkey", "node"))).distinct()
+    return graph.first_covered(bought.select(F.col("u").alias("node")).distinct(), e, covered, 2)
+
+
 @query("""SELECT p_partkey, CASE WHEN p_size > 40 THEN '' WHEN contains(p_type, 'BRASS') THEN 'brass' WHEN n = 1 THEN 'single' WHEN p_brand = 'Brand#11' THEN 'brand' ELSE '' END AS genre,
 CASE WHEN p_size > 40 THEN 'blank' WHEN contains(p_type, 'BRASS') THEN 'taxonomy' WHEN n = 1 THEN 'consensus' WHEN p_brand = 'Brand#11' THEN 'label' ELSE 'none' END AS method
 FROM part LEFT JOIN (SELECT l_partkey, count(DISTINCT l_returnflag) AS n FROM lineitem GROUP BY 1) ON p_partkey = l_partkey""")

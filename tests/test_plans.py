@@ -71,3 +71,23 @@ def test_untimed_row_is_no_bridge(spark):
 def test_opener_changes_whole_compares_every_user(spark):
     cut, whole = ({r["key"] for r in plans.queries()[n](spark, SF).collect()} for n in ("opener_changes", "opener_changes_whole"))
     assert cut == {k for k in whole if k % 7 < 5} and {k % 7 for k in whole} == set(range(7))
+
+
+def test_search_expansion_bfs_whole_by_brute_force(spark):
+    read = lambda t, *c: [tuple(r) for r in spark.read.parquet(f"{SF}/{t}.parquet").select(*c).collect()]
+    orders, customers, suppliers = read("orders", "o_custkey", "o_orderkey", "o_orderpriority"), read("customer", "c_custkey", "c_mktsegment"), read("supplier", "s_suppkey", "s_acctbal")
+    covered = {f"c{k}" for k, m in customers if m == "BUILDING"} | {f"o{k}" for _, k, p in orders if p == "1-URGENT"} | {f"s{k}" for k, b in suppliers if b > 0}
+    out = {}
+    for u, v in [(f"c{a}", f"o{b}") for a, b, _ in orders] + [(f"o{a}", f"s{b}") for a, b in read("lineitem", "l_orderkey", "l_suppkey")]:
+        out.setdefault(u, set()).add(v)
+    want = set()
+    for source in {f"c{a}" for a, _, _ in orders} - covered:
+        seen, front = {source}, {source}
+        for depth in (1, 2):
+            front = {v for u in front for v in out.get(u, ())} - seen
+            seen |= front
+            want |= {(source, v, depth) for v in front & covered}
+            front -= covered
+    got = [tuple(r) for r in plans.queries()["search_expansion_bfs_whole"](spark, SF).select("source", "target", "depth").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {k for s, t, _ in want for k in (s, t)} - {f"{c}{n}" for c in "cos" for n in range(1000)}
