@@ -320,27 +320,71 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """`docs` with the merged spans of hit words cut out of `text_col` (a line feed stands for each).
 
     Documents without hits, null and empty texts stay as they are; all rows and
-    columns are kept. Blocks of test items beyond the first take further passes.
+    columns are kept. A benchmark beyond one block is searched block by block in
+    the unchanged texts, and the hit words of all blocks are cut at once.
     """
     schema = docs.schema
-    for items in _blocks(benchmark, item_col, "text"):
-        p = phrases_of([t for _, t in items], window)
+    named = lambda bs: (b.rename_columns([f"c{i}" if c != text_col else "text" for i, c in enumerate(b.schema.names)]) for b in bs)
+
+    def without(raw, starts, ends, hit):
+        cut, out = 0, []
+        for x, y in _spans(starts, ends, hit):
+            out.append(raw[cut:x])
+            cut = y
+        out.append(raw[cut:])
+        return b"\n".join(out).decode()
 
-        def run(batches, p=p):
-            named = lambda bs: (b.rename_columns([f"c{i}" if c != text_col else "text" for i, c in enumerate(b.schema.names)]) for b in bs)
+    blocks = _blocks(benchmark, item_col, "text")
+    if len(blocks) == 1:
+        p = phrases_of([t for _, t in blocks[0]], window)
+
+        def run(batches):
             for b, buf, off, starts, ends, at, hit, owned in _runs(named(batches), p):
                 col = b.column("text")
                 if owned:
                     texts = col.to_pylist()
                     for d in owned:
-                        raw, cut, out = buf[off[d] : off[d + 1]].tobytes(), 0, []
-                        for x, y in _spans(starts[at[d] : at[d + 1]] - off[d], ends[at[d] : at[d + 1]] - off[d], hit[at[d] : at[d + 1]]):
-                            out.append(raw[cut:x])
-                            cut = y
-                        out.append(raw[cut:])
-                        texts[d] = b"\n".join(out).decode()
+                        mine = slice(at[d], at[d + 1])
+                        texts[d] = without(buf[off[d] : off[d + 1]].tobytes(), starts[mine] - off[d], ends[mine] - off[d], hit[mine])
                     col = pa.array(texts, col.type)
                 yield pa.RecordBatch.from_arrays([col if n == "text" else c for n, c in zip(b.schema.names, b.columns, strict=True)], schema.names)
 
-        docs = arrow_map(docs, run, schema)
-    return docs
+        return arrow_map(docs, run, schema)
+    # one search a block over the same rows, then hit words meet by row
+    row, words = "_decontam_row", "_decontam_hits"
+    keyed = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
+    texts_only = keyed.select(F.col(row).alias("row"), F.col(text_col).cast("string").alias("text"))
+
+    def part(items):
+        p = phrases_of([t for _, t in items], window)
+
+        def run(batches):
+            for b, _, _, _, _, at, hit, owned in _runs(batches, p):
+                some = sorted(owned)
+                yield pa.RecordBatch.from_pydict({"row": b.column("row").take(pa.array(some, pa.int64())), "hits": pa.array([np.flatnonzero(hit[at[d] : at[d + 1]]) for d in some], pa.list_(pa.int64()))})
+
+        return run
+
+    found = None
+    for items in blocks:
+        one = arrow_map(texts_only, part(items), "row long, hits array<long>")
+        found = one if found is None else found.union(one)
+    found = found.groupBy(F.col("row").alias(row)).agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias(words))
+
+    def cut(batches):
+        for b in slices(named(batches), limit=SHARD_BYTES):
+            col, hits = b.column("text"), b.column(b.num_columns - 1).to_pylist()
+            if any(h is not None for h in hits):
+                buf, off = text_buffers(col)
+                _, starts, ends, at = word_ids(buf, off)
+                texts = col.to_pylist()
+                for d, h in enumerate(hits):
+                    if h is not None:
+                        mine = slice(at[d], at[d + 1])
+                        hit = np.zeros(at[d + 1] - at[d], bool)
+                        hit[h] = True
+                        texts[d] = without(buf[off[d] : off[d + 1]].tobytes(), starts[mine] - off[d], ends[mine] - off[d], hit)
+                col = pa.array(texts, col.type)
+            yield pa.RecordBatch.from_arrays([col if n == "text" else c for n, c in zip(b.schema.names, b.columns, strict=True)][: len(schema.names)], schema.names)
+
+    return arrow_map(keyed.join(found, row, "left").drop(row), cut, schema)

@@ -124,6 +124,23 @@ def test_decontamination(spark, docs, empty, block, monkeypatch):
     assert decontam.contamination(empty, bench).count() == 0
 
 
+def test_decontamination_of_many_blocks_cuts_the_given_text(spark, monkeypatch):
+    w = [f"w{i}" for i in range(40)]
+    items = [("a", " ".join(w[5:15])), ("b", " ".join(w[10:20])), ("c", " ".join([*w[0:5], *w[20:25]]))]
+    texts = [(1, " ".join(w)), (1, " ".join(w)), (None, "x " + " ".join(w[8:22]) + " y"), (2, None), (3, ""), (4, "none of it"), (5, " ".join([*w[:5], *w[20:]]))]
+    docs, outs = _docs(spark, texts), []
+    for order in (items, items[::-1]):
+        bench = spark.createDataFrame(order, "item_id string, text string").coalesce(1)
+        for block in (8_000_000, 60, 1):
+            monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+            cleaned = decontam.decontaminate(docs, bench)
+            assert cleaned.schema == docs.schema
+            outs.append(sorted(map(tuple, cleaned.collect()), key=str))
+    want = [(1, " ".join(w[:5]) + " \n " + " ".join(w[20:]))] * 2 + [(None, "x w8 w9 \n w20 w21 y"), (2, None), (3, ""), (4, "none of it"), (5, "\n " + " ".join(w[25:]))]
+    assert sorted((r[:2] for r in outs[0]), key=str) == sorted(want, key=str)
+    assert all(o == outs[0] for o in outs)
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
