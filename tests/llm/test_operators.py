@@ -167,6 +167,18 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_packing_finds_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.vocabulary_path())
+    texts = list(enumerate(["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "x<|ENDOFTEXT|>y", "<|endoftext", "\u4e2d <|endoftext|>"]))
+    assert t.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pack_documents(_docs(spark, texts)).collect()}
+    for i, text in texts:
+        ids = [*t.encode(text, add_special_tokens=False).ids, packing.END_OF_TEXT]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_packing_histogram_is_near_the_bound():
     rng = np.random.default_rng(0)
     counts = {int(n): int(k) for n, k in zip(rng.permutation(1024)[:300] + 1, rng.integers(1, 9, 300))}
