@@ -3,14 +3,16 @@
 Multinomial logistic regression over the word 1- and 2-grams present in a
 paragraph, fitted on the driver from variations of the templates below and of
 other prose, with an unknown class and a temperature set on held-out variations.
-A prediction is confirmed by comparing the paragraph with that family's templates.
-Scoring is built from array functions; only paragraphs with a cue word are
-tokenized, since one without any lacks what every template has.
+A prediction is confirmed by comparing the paragraph with that family's templates,
+and its version and family words with the family's.
+Scoring is built from array functions; only texts with a word that every half of
+a template holds are tokenized.
 """
 
 from __future__ import annotations
 
 import random
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -35,9 +37,20 @@ OTHER = [
 ]
 UNKNOWN = "unknown"
 CLASSES = (*TEMPLATES, UNKNOWN)
-#: Every template holds one of these; a paragraph without any is no candidate.
+#: A line with one of these gives a row, confirmed or not.
 CUES = ("licen", "permission", "redistribut", "public license")
 THRESHOLD, SIMILARITY = 0.5, 0.5
+#: Regular expressions over " words ": what a confirmed family must hold, must not hold, and its version.
+NEEDED = {
+    "apache-2.0": " apache ", "mit": " (mit|hereby|granted|obtaining|associated|restriction|charge) ", "gpl-3.0": " (gnu|gplv?3?|foundation|general) ", "cc-by-nc-4.0": " (noncommercial|non commercial|by nc) ", "cc-by-4.0": " (cc|creative|commons) ", "bsd-3-clause": " (bsd|redistributions?) ", "mpl-2.0": " (mozilla|mpl) ",
+}
+_SHARED = " (sharealike|share alike|noderivatives|noderivs|no derivatives|(by|nc) (sa|nd)) "
+REFUSED = {"gpl-3.0": " (lesser|affero|library general|[al]gpl[v0-9.]*) ", "cc-by-nc-4.0": _SHARED, "cc-by-4.0": f"{_SHARED}| (noncommercial|non commercial|by nc) "}
+_AT = " (((version|v|licen[sc]e|apache|gpl|mpl) v?|v|gplv|mplv)%s|%s (or|only)) "
+_CC_AT = " ((version|v|by|nc|attribution|noncommercial|licen[sc]e) v?|v)%s "
+_ANY = "[0-9]{1,2}([.][0-9]+)*"
+#: (any version, the family's own version).
+VERSIONS = {f: (at.replace("%s", _ANY), at.replace("%s", own)) for f, at, own in (("apache-2.0", _AT, "2([.]0)?"), ("gpl-3.0", _AT, "3([.]0)?"), ("mpl-2.0", _AT, "2([.]0)?"), ("cc-by-nc-4.0", _CC_AT, "4([.]0)?"), ("cc-by-4.0", _CC_AT, "4([.]0)?"))} | {"bsd-3-clause": (" [0-9] clause ", " 3 clause ")}
 
 
 def words_of(text: str) -> list[str]:
@@ -125,6 +138,37 @@ def classify(text: str) -> tuple[str, float, float]:
     return CLASSES[k], float(p[k]), near
 
 
+def fits(family: str, words: list[str]) -> bool:
+    """Whether version and family words of a paragraph allow this family, the plain way."""
+    text = f" {' '.join(words)} "
+    has = lambda x: re.search(x, text) is not None
+    version, own = VERSIONS.get(family, ("^$", "^$"))
+    return family in NEEDED and has(NEEDED[family]) and not (family in REFUSED and has(REFUSED[family])) and (not has(version) or has(own))
+
+
+def part_cues() -> list[str]:
+    """Words of which every part of a template that can be confirmed holds one: without them under SIMILARITY is left."""
+    common = set("the a of to in and or by under is this any for with as at it are you may not use work file that".split())
+    out = set()
+    for template in (t for ts in TEMPLATES.values() for t in ts):
+        grams, chosen = grams_of(words_of(template)), set()
+        for word in sorted(set(words_of(template)), key=lambda w: (w in common, -len(w), w)):
+            if sum(not chosen & set(g.split()) for g in grams) < SIMILARITY * len(grams):
+                break
+            chosen.add(word)
+        out |= chosen
+    return sorted(out)
+
+
+#: A template's words, at most: a notice that begins in a line ends within so many words behind it, however it is wrapped.
+LONGEST = max(len(words_of(t)) for ts in TEMPLATES.values() for t in ts)
+
+
+def _grams(w: Column) -> Column:
+    pairs = F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat(w[i], F.lit(" "), w[i + 1]))
+    return F.array_distinct(F.concat(w, F.when(F.size(w) > 1, pairs).otherwise(F.array().cast("array<string>"))))
+
+
 def _words(text: Column) -> Column:
     clean = F.regexp_replace(F.lower(text), "[^a-z0-9.]", " ")
     clean = F.regexp_replace(clean, "\\. ", " ")
@@ -132,21 +176,41 @@ def _words(text: Column) -> Column:
 
 
 def license_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, paragraph, text, family, probability, similarity, confirmed): one row per paragraph with a cue word.
-
-    Paragraphs are the lines of a text, numbered from 0. family is the most
-    probable class, unknown included; confirmed if it is a family, probable
-    enough, and the paragraph holds SIMILARITY of the n-grams of one of its
-    templates. Null and empty texts have no paragraphs with cues; repeated rows
-    and null ids are kept; other columns are ignored; an empty table gives no rows.
+    """(doc_id, paragraph, text, family, probability, similarity, confirmed): one row per line with a cue word and per notice.
+
+    Lines of a text are numbered from 0. A notice is a confirmed line or run of
+    neighbouring lines (those without words left out, joined by line feeds,
+    numbered by its first); of overlapping ones the most similar counts, then
+    the shortest, then the first. Lines of a run have no rows of their own.
+    family is the most probable class, unknown included; confirmed if it is a
+    family, probable enough, the text holds SIMILARITY of the n-grams of one of
+    its templates, and version and family words fit it. Null and empty texts
+    have no rows; repeated rows and null ids are kept; other columns are
+    ignored; an empty table gives no rows.
     """
     weights, bias = model()
     text = F.col(text_col).cast("string")
     cue = lambda c: F.lower(c).rlike("|".join(CUES))
-    lines = docs.where(cue(text)).select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text, "\n", -1)).alias("paragraph", "text")).where(cue(F.col("text")))
-    w = F.col("_w")
-    pairs = F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat(w[i], F.lit(" "), w[i + 1]))
-    lines = lines.withColumn("_w", _words(F.col("text"))).withColumn("_g", F.array_distinct(F.concat(w, F.when(F.size(w) > 1, pairs).otherwise(F.array().cast("array<string>")))))
+    low, some = F.lower(text), F.lit(False)
+    for w in (*CUES, *part_cues()):
+        here = F.contains(low, F.lit(w))  # quick; short words also need bounds
+        some |= here if len(w) > 4 else here & low.rlike(f"(?<![a-z0-9]){re.escape(w)}(?![a-z0-9])")
+    parts = F.transform(F.split(text, "\n", -1), lambda t, p: F.struct(p.alias("p"), t.alias("t"), _words(t).alias("w")))
+    texts = docs.where(some).select(F.col(id_col).alias("doc_id"), F.filter(parts, lambda x: F.size(x["w"]) > 0).alias("_l"))
+    # each line with those behind it that a notice beginning in it can reach
+    reach = F.transform(F.sequence(F.lit(1), F.size("_l")), lambda i: F.slice("_l", i, F.least(F.lit(LONGEST), F.size("_l") - i + 1)))
+    starts = texts.withColumn("_row", F.monotonically_increasing_id()).select("_row", "doc_id", F.explode(F.when(F.size("_l") > 0, reach)).alias("_s"))
+    more = lambda a, x: F.when(a["n"] < LONGEST - 1, F.struct((a["n"] + F.size(x["w"])).alias("n"), (a["k"] + 1).alias("k"))).otherwise(a)
+    most = F.aggregate(F.slice("_s", 2, LONGEST), F.struct(F.lit(0).alias("n"), F.lit(1).alias("k")), more)["k"]
+    starts = starts.withColumn("_k", most).withColumn("_w", F.flatten(F.transform(F.slice("_s", F.lit(1), F.col("_k")), lambda x: x["w"])))
+    templates = [(name, sorted(grams_of(words_of(t)))) for name, ts in TEMPLATES.items() for t in ts]
+    share = lambda g: F.size(F.array_intersect("_g", F.array(*map(F.lit, g)))) / len(g)
+    # a part holds no more of a template than the whole reach does
+    starts = starts.withColumn("_g", F.array_intersect(_grams(F.col("_w")), F.array(*map(F.lit, sorted({x for _, g in templates for x in g})))))
+    ends = F.when(F.greatest(*[share(g) for _, g in templates]) >= SIMILARITY, F.sequence(F.lit(1), F.col("_k"))).when(cue(F.col("_s")[0]["t"]), F.array(F.lit(1)))
+    lines = starts.select("_row", "doc_id", "_s", F.explode(ends).alias("_k")).withColumn("_s", F.slice("_s", F.lit(1), F.col("_k")))
+    lines = lines.select("_row", "doc_id", "_k", F.col("_s")[0]["p"].alias("paragraph"), F.element_at("_s", -1)["p"].alias("_end"), F.array_join(F.transform("_s", lambda x: x["t"]), "\n").alias("text"), F.flatten(F.transform("_s", lambda x: x["w"])).alias("_w"))
+    lines = lines.withColumn("_g", _grams(F.col("_w")))
     vocabulary = sorted(weights)
     table = F.create_map(*[x for n in vocabulary for x in (F.lit(n), F.array(*map(F.lit, weights[n])))])
     lines = lines.withColumn("_f", F.transform(F.array_sort(F.array_intersect("_g", F.array(*map(F.lit, vocabulary)))), lambda g: F.element_at(table, g)))
@@ -154,10 +218,25 @@ def license_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     z = F.array(*[total(k, b) for k, b in enumerate(bias)])
     lines = lines.withColumn("_z", z).withColumn("_e", F.transform("_z", lambda v: F.exp(v - F.array_max("_z"))))
     lines = lines.withColumn("probability", 1 / F.aggregate("_e", F.lit(0.0), lambda a, v: a + v)).withColumn("family", F.element_at(F.array(*map(F.lit, CLASSES)), F.array_position("_z", F.array_max("_z")).cast("int")))
-    near = F.lit(0.0)
-    for name, templates in TEMPLATES.items():
-        shares = [F.size(F.array_intersect("_g", F.array(*map(F.lit, sorted(g))))) / len(g) for g in (grams_of(words_of(t)) for t in templates)]
-        near = F.when(F.col("family") == name, F.greatest(*shares)).otherwise(near)
+    near, right, held = F.lit(0.0), F.lit(False), F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" "))
+    for name in TEMPLATES:
+        near = F.when(F.col("family") == name, F.greatest(F.lit(0.0), *[share(g) for n, g in templates if n == name])).otherwise(near)
+        fit = held.rlike(NEEDED[name])
+        if name in REFUSED:
+            fit &= ~held.rlike(REFUSED[name])
+        if name in VERSIONS:
+            fit &= ~held.rlike(VERSIONS[name][0]) | held.rlike(VERSIONS[name][1])
+        right = F.when(F.col("family") == name, fit).otherwise(right)
     lines = lines.withColumn("similarity", near)
-    sure = (F.col("family") != UNKNOWN) & (F.col("probability") >= THRESHOLD) & (F.col("similarity") >= SIMILARITY)
-    return lines.select("doc_id", "paragraph", "text", "family", "probability", "similarity", sure.alias("confirmed"))
+    sure = (F.col("family") != UNKNOWN) & (F.col("probability") >= THRESHOLD) & (F.col("similarity") >= SIMILARITY) & right
+    lines = lines.withColumn("confirmed", sure)
+    one = F.struct((-F.col("similarity")).alias("far"), F.col("_k").alias("k"), "paragraph", F.col("_end").alias("end"), "text", "family", "probability", "similarity", "confirmed")
+    kept = F.col("confirmed") | ((F.col("_k") == 1) & cue(F.col("text")))
+    found = lines.groupBy("_row").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.when(kept, one))).alias("_all"))
+    meets = lambda x, y: (x["paragraph"] <= y["end"]) & (y["paragraph"] <= x["end"])
+    place = lambda x: F.struct(x["paragraph"].alias("paragraph"), x["end"].alias("end"))
+    taken = F.aggregate(F.filter("_all", lambda x: x["confirmed"]), F.array().cast("array<struct<paragraph:int,end:int>>"), lambda a, x: F.when(F.exists(a, lambda y: meets(x, y)), a).otherwise(F.array_append(a, place(x))))
+    found = found.withColumn("_taken", taken)
+    stays = lambda x: F.array_contains("_taken", place(x)) | ((x["k"] == 1) & ~F.exists("_taken", lambda y: meets(x, y)))
+    out = found.select("doc_id", F.explode(F.filter("_all", stays)).alias("x"))
+    return out.select("doc_id", *[f"x.{c}" for c in ("paragraph", "text", "family", "probability", "similarity", "confirmed")])

@@ -260,6 +260,28 @@ def test_licenses(spark, empty):
     assert license_scan.license_paragraphs(empty).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    import textwrap
+
+    kinds = [(f, t, width) for f, ts in license_scan.TEMPLATES.items() for t in ts for width in (1, 20, 45, 72, 400)]
+    texts = [(i, "er on the ti\n * \n" + "\n".join(f" * {x}" for x in textwrap.wrap(t, width, break_long_words=False)) + "\n\nnothing here") for i, (_, t, width) in enumerate(kinds)]
+    texts.append((900, "\n".join(t for ts in license_scan.TEMPLATES.values() for t in ts)))
+    texts.append((901, "a\n" + "\n".join(textwrap.wrap(license_scan.TEMPLATES["mit"][1], 40)[1:]) + "\nb"))
+    refused = ["This work is licensed under the GNU General Public License, version 2.", "GNU Lesser General Public License, version 3.", "This work is licensed under\nthe GNU Affero General\nPublic License, version 3.", "Licensed under the Eclipse Public License, Version 2.0.", "Licensed under the Apache License, Version 1.1.", "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY 3.0.", "Released under the BSD 2-Clause License."]
+    texts += [(1000 + i, t) for i, t in enumerate(refused)]
+    got = {}
+    for r in license_scan.license_paragraphs(_docs(spark, texts)).collect():
+        family, probability, similarity = license_scan.classify(r["text"])
+        assert r["family"] == family and abs(r["probability"] - probability) < 1e-9 and abs(r["similarity"] - similarity) < 1e-9
+        assert r["confirmed"] == (family != "unknown" and probability >= 0.5 and similarity >= 0.5 and license_scan.fits(family, license_scan.words_of(r["text"])))
+        if r["confirmed"]:
+            got.setdefault(r["doc_id"], []).append((r["paragraph"], r["family"], round(r["similarity"], 6)))
+    assert {i: got.get(i) for i in range(len(kinds))} == {i: [(2, f, 1.0)] for i, (f, _, _) in enumerate(kinds)}
+    assert sorted(got[900]) == [(i, f, 1.0) for i, f in enumerate(f for f, ts in license_scan.TEMPLATES.items() for _ in ts)]
+    assert [x[:2] for x in got[901]] == [(1, "mit")]
+    assert not {i: v for i, v in got.items() if i >= 1000}
+
+
 def test_toxicity(spark, docs, empty):
     rng = np.random.default_rng(1)
     clean = ["anan", "bela", "corin", "dosta", "elwin", "fanor", "gatel"]
