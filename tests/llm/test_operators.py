@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,7 +201,9 @@ def test_packing_histogram_is_near_the_bound():
     assert sum(t for _, t in bins) <= 1.01 * len(gaps)
 
 
-def test_ann(spark):
+@pytest.mark.parametrize("chunk", [20_000, 37])
+def test_ann(spark, chunk, monkeypatch):
+    monkeypatch.setattr(ann, "CHUNK", chunk)
     rng = np.random.default_rng(3)
     x = rng.normal(size=(800, 16)).astype(np.float32)
     x[400:600] = x[400]
@@ -213,6 +216,7 @@ def test_ann(spark):
     assert set(found) == set(range(0, 800, 20))
     for q, ranks in found.items():
         s = (d * d[q]).sum(1)
+        assert sorted(ranks) == list(range(1, 21))
         for k in range(1, len(ranks) + 1):
             v, score = ranks[k]
             assert v != q and abs(score - s[v]) < 1e-9
@@ -221,9 +225,39 @@ def test_ann(spark):
         best = [i for i in np.lexsort((np.arange(800), -s)) if i != q][:20]
         hits += len({v for v, _ in ranks.values()} & set(best))
         total += 20
+        if 400 <= q < 600:  # 200 equal vectors: the ties go to the smallest ids, across chunks as well
+            assert [ranks[k][0] for k in range(1, 21)] == best
     assert hits / total >= 0.9
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(none, "vec_id % 20 = 0").count() == 0
+    assert [tuple(r)[:3] for r in ann.nearest(spark.createDataFrame([(20, [1.0]), (1, [2.0]), (2, [3.0])], "vec_id long, embedding array<double>"), "vec_id % 20 = 0").orderBy("rank").collect()] == [(20, 1, 2), (20, 2, 1)]
+
+
+@pytest.mark.parametrize(("clustered", "most"), [(False, 64), (True, 64), (False, 8), (True, 8)])
+def test_ann_answers_from_learned_partitions(spark, clustered, most, monkeypatch):
+    """More rows than the sample holds, one level of routing and two: recall against brute force, and the share of rows searched."""
+    for name, value in (("SAMPLE", 1500), ("ROWS", 150), ("MOST", most), ("INNER_SAMPLE", 600)):
+        monkeypatch.setattr(ann, name, value)
+    rng, n = np.random.default_rng(4), 6000
+    x = rng.normal(size=(n, 16))
+    if clustered:
+        x = rng.normal(size=(60, 16))[rng.integers(0, 60, n)] + 0.3 * x
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    table = pa.table({"vec_id": pa.array(np.arange(n)), "embedding": pa.array(list(x), pa.list_(pa.float32()))})
+    vectors = spark.createDataFrame(table)
+    base = ann.materialize(ann.usable(vectors, "vec_id % 20 = 0", "vec_id", "embedding"))
+    index, size = ann.train(base, n)
+    assert (index.inner is not None) == (most == 8) and index.parts >= 32
+    rows = ann.routed(base, index, size).select("id", "part", "probes").toPandas().set_index("id").sort_index()
+    part, asks = rows["part"].to_numpy(), [i for i in range(n) if i % 20 == 0]
+    scanned = np.mean([np.isin(part, rows["probes"][i]).mean() for i in asks])
+    assert scanned < (0.25 if clustered else 0.85)
+    got = ann.nearest(vectors, "vec_id % 20 = 0").toPandas()
+    found = got.groupby("query_id")["vec_id"].apply(set)
+    score = x[asks].astype(float) @ x.T.astype(float)
+    score[np.arange(len(asks)), asks] = -np.inf
+    best = np.argsort(-score, axis=1, kind="stable")[:, :20]
+    assert np.mean([len(found[i] & set(best[j].tolist())) / 20 for j, i in enumerate(asks)]) >= 0.9
 
 
 def test_sharding(docs, empty):
