@@ -8,6 +8,8 @@ an exact distinct count of sites. Lines found on enough sites leave every docume
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ LG_K = 10
 BAND = 0.2
 #: A table of at most so many 16-byte keys is broadcast (some 20 MB); beyond that the joins shuffle.
 BROADCAST_KEYS = 200_000
+#: Lines to remove that travel with the plan as a hash table (some 2 MB); beyond that texts meet their lines in a join.
+INLINE_KEYS = 50_000
 
 
 def _lines(text: Column) -> Column:
@@ -38,6 +42,15 @@ def _meet(lines: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return heavy_light(lines, keys, "key", "n").drop("n")
 
 
+def _table(keys: list[tuple[int, int]]) -> tuple[Column, int]:
+    """(array of buckets of first halves, buckets) for at most INLINE_KEYS keys: one literal, looked up by the second half."""
+    size = max(1, 2 * len(keys))
+    buckets: list[list[int]] = [[] for _ in range(size)]
+    for a, b in keys:
+        buckets[b % size].append(a)
+    return F.from_json(F.lit(json.dumps(buckets)), "array<array<bigint>>"), size
+
+
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """`docs` with `text_col` replaced, and n_lines, n_removed.
 
@@ -45,14 +58,18 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spaces; blank ones always stay. A line on min_sites or more distinct sites
     goes from every document, other lines keep their order. Null sites count as
     none. A null text stays null (0 lines); an empty text is one blank line.
-    Rows that repeat an id are treated each by its own text; null ids as well.
-    n_lines and n_removed replace input columns of these names. An empty table
-    gives an empty table.
+    Every row is treated by its own text, whatever its id: repeated and null ids
+    are of no account. n_lines and n_removed replace input columns of these
+    names; other columns may have any name. An empty table gives an empty table.
+    Texts stay where they are while at most INLINE_KEYS lines have to go.
     """
     docs = docs.drop("n_lines", "n_removed")
-    text = F.col(text_col).cast("string")
-    own = F.explode(F.array_distinct(F.transform(_lines(text), lambda x: F.trim(x))))
-    lines = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), own.alias("line")).where("line <> ''").select("id", "site", _key(F.col("line")).alias("key"))
+    names = docs.columns
+    fresh = lambda name: next(n for k in range(len(names) + 1) if (n := f"__{name}{k}") not in names)
+    row, bad, kept = fresh("row"), fresh("bad"), fresh("kept")
+    parts = lambda t: F.explode(F.array_distinct(F.transform(_lines(t), lambda x: F.trim(x))))
+    text, site = F.col(text_col).cast("string"), F.col(site_col).cast("string")
+    lines = docs.select(site.alias("site"), parts(text).alias("line")).where("line <> ''").select("site", _key(F.col("line")).alias("key"))
 
     spread = lines.groupBy("key").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"), F.count("*").alias("n"))
     spread = materialize(spread.select("key", "n", F.hll_sketch_estimate("sketch").alias("estimate")).where(F.col("estimate") >= min_sites * (1 - BAND)))
@@ -60,16 +77,21 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counted = _meet(lines, near, "left_semi").groupBy("key").agg(F.count_distinct("site").alias("sites")).where(F.col("sites") >= min_sites)
     frequent = materialize(sure.unionByName(near.join(counted.select("key"), "key", "left_semi")))
 
-    # distinct (document, key) pairs; only documents with hits and their few keys are shuffled
-    hits = _meet(lines, frequent, "left_semi").groupBy("id").agg(F.collect_set("key").alias("_bad"))
-    names = docs.columns
-    out = docs.join(hits, docs[id_col].eqNullSafe(hits["id"]), "left").drop("id")
-    kept = F.when(F.col("_bad").isNull(), _lines(text)).otherwise(F.filter(_lines(text), lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("_bad"), _key(F.trim(x)))))
-    out = out.withColumn("_kept", kept)
-    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
-    n, left = F.when(text.isNull(), F.lit(0).cast("long")).otherwise(size(_lines(text))), F.when(text.isNull(), F.lit(0).cast("long")).otherwise(size(F.col("_kept")))
-    new = F.when(F.col("_bad").isNull(), text).otherwise(F.array_join("_kept", "\n"))
-    return out.select(*[new.alias(c) if c == text_col else F.col(c) for c in names], n.alias("n_lines"), (n - left).alias("n_removed"))
+    if frequent.count() <= INLINE_KEYS:
+        table, size = _table([(r["a"], r["b"]) for r in frequent.select("key.*").collect()])
+        out = docs
+        gone = lambda x: F.array_contains(F.element_at(table, F.pmod(F.xxhash64(F.lit(1), x), F.lit(size)).cast("int") + 1), F.xxhash64(x))
+    else:  # distinct (row, key) pairs meet the lines to remove; then texts travel once
+        out = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
+        own = out.select(F.col(row).alias("row"), parts(text).alias("line")).where("line <> ''").select("row", _key(F.col("line")).alias("key"))
+        hits = _meet(own, frequent, "left_semi").groupBy(F.col("row").alias(row)).agg(F.collect_set("key").alias(bad))
+        out = out.join(hits, row, "left")
+        gone = lambda x: F.coalesce(F.array_contains(bad, _key(x)), F.lit(False))
+    out = out.withColumn(kept, F.filter(_lines(text), lambda x: (F.trim(x) == "") | ~gone(F.trim(x))))
+    size_of = lambda c: F.when(text.isNull(), F.lit(0)).otherwise(F.size(c)).cast("long")
+    n, left = size_of(_lines(text)), size_of(F.col(kept))
+    new = F.when(n == left, text).otherwise(F.array_join(kept, "\n"))
+    return out.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in names], n.alias("n_lines"), (n - left).alias("n_removed"))
 
 
 def line_dedup_sql(min_sites: int = MIN_SITES) -> str:

@@ -2,8 +2,9 @@
 
 Shards take turns claiming slots of a prime-sized table, each in the order of
 its own permutation (offset + k * skip modulo the size). The finished table is
-an array of `slots` small integers, sent along with the plan; placing a row is
-one hash and one array access, with no shuffle, whatever key is hot. When a
+an array of `slots` small integers, one literal that Spark broadcasts with the
+tasks; placing a row is one hash and one array access, with no shuffle, whatever
+key is hot. When a
 shard leaves, nearly all other keys keep their places.
 """
 
@@ -54,7 +55,8 @@ def place(docs: DataFrame, key_col: str = "doc_id", shards: tuple[str, ...] | li
     Rows are never moved or dropped; text of any length is left alone. slot and
     shard replace input columns of these names. An empty table stays empty.
     """
-    table, names = F.array(*map(F.lit, lookup_table(shards, slots))), F.array(*map(F.lit, shards))
+    table = F.split(F.lit(",".join(map(str, lookup_table(shards, slots)))), ",").cast("array<int>")  # folded to one literal
+    names = F.array(*map(F.lit, shards))
     docs = docs.drop("slot", "shard")
     slot = slot_of(F.col(key_col), slots)
     return docs.select("*", slot.alias("slot")).withColumn("shard", F.element_at(names, F.element_at(table, F.col("slot") + 1) + 1))

@@ -82,7 +82,11 @@ def test_suffix_dedup(docs, empty, giant, monkeypatch):
     assert suffix_dedup.repeated_spans(empty).count() == 0
 
 
-def test_line_dedup(docs, empty):
+@pytest.mark.parametrize(("inline", "broadcast"), [(50_000, 200_000), (0, 200_000), (0, 0)])
+def test_line_dedup(docs, empty, inline, broadcast, monkeypatch):
+    monkeypatch.setattr(line_dedup, "INLINE_KEYS", inline)
+    monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", broadcast)
+    docs = docs.withColumns({c: F.lit("x") for c in ("id", "_bad", "key", "line", "site", "__row0", "__kept0", "row", "n_lines")})
     got = sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup.remove_boilerplate(docs, min_sites=8).collect()), key=str)
     sites = collections.defaultdict(set)
     for r in docs.collect():
@@ -97,9 +101,21 @@ def test_line_dedup(docs, empty):
         kept = [x for x in parts if x.strip(" ") not in bad]
         want.append((i, None if t is None else "\n".join(kept), len(parts), len(parts) - len(kept)))
     assert got == sorted(want, key=str)
+    assert line_dedup.remove_boilerplate(docs).columns == [*[c for c in docs.columns if c != "n_lines"], "n_lines", "n_removed"]
     assert line_dedup.remove_boilerplate(empty).count() == 0
 
 
+def test_line_dedup_counts_sites_exactly_near_the_threshold(spark):
+    """Lines on 1 to 30 sites, repeated within each: the sketch decides far from the threshold, exact counts near it."""
+    rows = [(s * 100 + k, f"line {k}\n line {k} \nown {s} {k}", f"site{s}") for k in range(1, 31) for s in range(k) for _ in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for least in (2, 8, 20):
+        for r in line_dedup.remove_boilerplate(docs, min_sites=least).collect():
+            k = r["doc_id"] % 100
+            assert r["n_lines"] == 3 and r["n_removed"] == (2 if k >= least else 0)
+            assert r["text"] == (f"own {r['doc_id'] // 100} {k}" if k >= least else f"line {k}\n line {k} \nown {r['doc_id'] // 100} {k}")
+
+
 @pytest.mark.parametrize("block", [8_000_000, 40])
 def test_decontamination(spark, docs, empty, block, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
