@@ -3,7 +3,7 @@
 Piece lengths lie in 1..max_tokens, so the whole packing problem is a histogram
 of at most max_tokens counts, whatever the corpus holds. The driver packs that
 histogram: a bin is filled greedily by best fit, then its smallest piece is
-replaced by two unpacked ones where they fill the widened gap more tightly; the
+replaced by two unpacked ones where they fill a widened gap more tightly; the
 pattern found is repeated as often as its counts last. Rows find their place by
 their rank among pieces of equal length: a count for each (length, bucket),
 prefix sums over buckets, and a rank inside each bucket. No group of equal
@@ -27,6 +27,8 @@ MAX_TOKENS = 1024
 END_OF_TEXT = 2
 #: Rows of one (length, bucket) group that one task ranks, about.
 RANK_ROWS = 100_000
+#: Gaps that are left as they are, one packing for each.
+SLACKS = (0, 1, 2, 4, 8, 16, 32, 64, 128, 256)
 
 
 class Encoder:
@@ -97,6 +99,15 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[list[int], int]]:
     """[(lengths of one bin, largest first; bins of this kind)] by best-two-fit.
 
+    Swaps use up small pieces that later bins may need more, so the packing is
+    made once for each of SLACKS, and the one of the fewest bins counts.
+    """
+    return min((best_two_fit(counts, size, slack) for slack in SLACKS), key=lambda bins: sum(times for _, times in bins))
+
+
+def best_two_fit(counts: dict[int, int], size: int, slack: int) -> list[tuple[list[int], int]]:
+    """One packing, with swaps in bins whose gap exceeds `slack`.
+
     Each step uses up some length, so there are at most a few steps per length.
     """
     left = np.zeros(size + 1, np.int64)
@@ -123,7 +134,7 @@ def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[list[int], i
                 break
             take(int(fit[-1]) + 1)
             gap -= int(fit[-1]) + 1
-        if gap and sum(used.values()) > 1:
+        if gap > slack and sum(used.values()) > 1:
             small = min(used)
             room = gap + small
             have = np.flatnonzero(left[: room + 1])

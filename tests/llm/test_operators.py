@@ -158,13 +158,16 @@ def test_decontamination_of_many_blocks_cuts_the_given_text(spark, monkeypatch):
     assert all(o == outs[0] for o in outs)
 
 
-def test_packing(docs, empty):
+@pytest.mark.parametrize("ranked", [100_000, 2])
+def test_packing(spark, empty, ranked, monkeypatch):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(packing, "RANK_ROWS", ranked)
+    texts = [*ROWS, (50, "Кино и 中文 <|endoftext|> हिन्दी 🙂 e\u0301 \u024f\u0250"), (51, "\u0301\ufffd\u200d"), (52, "x" * 5000)]
     t = Tokenizer.from_file(packing.vocabulary_path())
-    rows = packing.pack_documents(docs).collect()
+    rows = packing.pack_documents(_docs(spark, texts)).collect()
     want = collections.Counter()
-    for i, text in ROWS:
+    for i, text in texts:
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]
         at, n = 0, (len(ids) - 1) % 1024 + 1
         piece = 0
@@ -196,8 +199,9 @@ def test_packing_finds_added_tokens(spark):
         assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
 
 
-def test_packing_histogram_is_near_the_bound():
-    rng = np.random.default_rng(0)
+@pytest.mark.parametrize("seed", range(4))
+def test_packing_histogram_is_near_the_bound(seed):
+    rng = np.random.default_rng(seed)
     counts = {int(n): int(k) for n, k in zip(rng.permutation(1024)[:300] + 1, rng.integers(1, 9, 300))}
     bins = packing.pack_histogram(counts, 1024)
     used = collections.Counter()
@@ -206,7 +210,7 @@ def test_packing_histogram_is_near_the_bound():
         for n in lengths:
             used[n] += times
     assert used == counts
-    # no heuristic beats the other on every input: within a hundredth of best fit, largest first
+    # no more bins than best fit, largest first
     gaps = []
     for n in sorted(counts, reverse=True):
         for _ in range(counts[n]):
@@ -214,7 +218,7 @@ def test_packing_histogram_is_near_the_bound():
             if fit is not None:
                 gaps.remove(fit)
             gaps.append((1024 if fit is None else fit) - n)
-    assert sum(t for _, t in bins) <= 1.01 * len(gaps)
+    assert sum(t for _, t in bins) <= len(gaps)
 
 
 @pytest.mark.parametrize("chunk", [20_000, 37])
