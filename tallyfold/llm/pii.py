@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from functools import lru_cache
 from math import exp, log
 
@@ -28,13 +29,17 @@ KINDS = ("email", "ip", "card", "phone")
 #: The base patterns of the contract (fixed values).
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: Everything that IP can match lies in such runs; its matches are their numbers, four by four.
+DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Tokens in the longest segment.
 SPAN = 9
 TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
-#: What can begin or hold a segment: a digit group, or a word that stands for @.
-HOT = re.compile(r"[0-9]|[\[({ ](?:at|AT|At)[\])} ]")
+#: Every segment holds a digit, or the word that stands for @.
+HOT = re.compile(r"[0-9]+|(?<![^\W\d_])[aA][tT](?![^\W\d_])")
+#: Tokens on each side of it that its segments and their features can reach.
+REACH = SPAN + 3
 CUES = {"email": {"mail", "email", "contact", "write"}, "ip": {"ip", "host", "address", "server"}, "card": {"card", "visa", "mastercard", "amex"}, "phone": {"phone", "call", "tel", "mobile", "fax", "telephone"}}
 
 
@@ -46,6 +51,10 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _number(word: str) -> bool:
+    return "0" <= word[0] <= "9"
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -66,9 +75,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         at = text.find("@", max(at + 1, done))
     if not re.search("[0-9]", text):
         return out
-    for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-            out.append(("ip", *m.span()))
+    for m in DOTTED.finditer(text):  # IP itself takes quadratic time on long numbers
+        parts, begin = m[0].split("."), m.start()
+        for k in range(0, len(parts) - 3, 4):
+            four = parts[k : k + 4]
+            end = begin + sum(map(len, four)) + 3
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in four):
+                out.append(("ip", begin, end))
+            begin = end + 1
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:
             d = _digits(m[0])
@@ -87,7 +101,7 @@ def span_features(kind: str, words: list[str], a: int, b: int, seen: str) -> tup
     low = [w.lower() for w in own]
     d = _digits(seen)
     before = next((w.lower() for w in reversed(words[max(0, a - 3) : a]) if w[0].isalpha()), "")
-    groups = [w for w in own if w[0].isdigit()]
+    groups = [w for w in own if _number(w)]
     shape = re.sub("[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", seen))
     f = [f"digits{min(len(d), 20)}", f"shape:{shape}", f"groups{len(groups)}", f"cue{before in CUES[kind]}", "bias"]
     if kind == "email":
@@ -97,7 +111,7 @@ def span_features(kind: str, words: list[str], a: int, b: int, seen: str) -> tup
     elif kind == "card":
         f += [f"luhn{len(d) > 11 and luhn(d)}", f"even{len({len(g) for g in groups}) == 1}"]
     else:
-        f += [f"lengths:{'-'.join(str(len(g)) for g in groups)}", f"edges{own[0] in '(+0' or own[0][0].isdigit()}{own[-1][0].isdigit()}"]
+        f += [f"lengths:{'-'.join(str(len(g)) for g in groups)}", f"edges{own[0] in '(+' or _number(own[0])}{_number(own[-1])}"]
     return tuple(f"{kind}|{x}" for x in f)
 
 
@@ -111,18 +125,18 @@ def candidates(words: list[str], spans: list[tuple[int, int]], text: str) -> lis
                 if words[a][0].isalnum() and words[b - 1][0].isalpha() and any(w.lower() == "dot" or w == "." for w in words[i + 1 : b]):
                     out.append((a, b, "email"))
     for a in range(len(words)):
-        if not (words[a][0].isdigit() or words[a] in "(+"):
+        if not (_number(words[a]) or words[a] in "(+"):
             continue
         digits = 0
         for b in range(a + 1, min(len(words), a + SPAN) + 1):
             w = words[b - 1]
-            if w[0].isdigit():
+            if _number(w):
                 digits += len(w)
             elif not (w in "()+-./" or w.lower() == "dot") or b - 1 > a and spans[b - 1][0] - spans[b - 2][1] > 2:
                 break
             if digits > 19:
                 break
-            if w[0].isdigit():
+            if _number(w):
                 if 4 <= digits <= 12 and b - a >= 7:
                     out.append((a, b, "ip"))
                 if 12 <= digits <= 19:
@@ -144,10 +158,10 @@ class SemiMarkov:
     def __init__(self, weights: dict[str, float]):
         self.weights = weights
 
-    def decode(self, text: str) -> list[tuple[str, int, int]]:
+    def decode(self, text: str, stretches: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int]]:
         """The best segmentation's entities, as (kind, start, end)."""
         out = []
-        for begin, end in windows(text):
+        for begin, end in windows(text) if stretches is None else stretches:
             spans = [(begin + m.start(), begin + m.end()) for m in TOKEN.finditer(text[begin:end])]
             words = [text[a:b] for a, b in spans]
             ending: dict[int, list[tuple[int, str, float]]] = {}
@@ -174,27 +188,44 @@ class SemiMarkov:
         return out
 
 
-def windows(text: str, reach: int = 60) -> list[tuple[int, int]]:
-    """Stretches around everything a segment can hold, cut at white space; elsewhere all tokens are O in any best path."""
-    out: list[list[int]] = []
+def windows(text: str, near: int = 100) -> list[tuple[int, int]]:
+    """Stretches that hold every possible segment and the tokens its features see; elsewhere all tokens are O in any best path.
+
+    A stretch reaches REACH whole tokens to each side of what HOT finds,
+    however long those tokens and the white space between them are.
+    """
+    out: list[tuple[int, int]] = []
+    hot: list[list[int]] = []
     for m in HOT.finditer(text):
-        a, b = max(0, m.start() - reach), min(len(text), m.end() + reach)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
+        if hot and m.start() - hot[-1][1] <= near:
+            hot[-1][1] = m.end()
         else:
-            out.append([a, b])
-    for w in out:
-        while w[0] and not text[w[0] - 1].isspace() and w[0] > 0:
-            w[0] -= 1
-        while w[1] < len(text) and not text[w[1]].isspace():
-            w[1] += 1
-    merged: list[tuple[int, int]] = []
-    for a, b in out:
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+            hot.append([m.start(), m.end()])
+    for a, b in hot:
+        if out and a <= out[-1][1]:  # begins inside the last stretch, whose left side it shares
+            begin = out.pop()[0]
         else:
-            merged.append((a, b))
-    return merged
+            begin = a - _reach(lambda n, a=a: text[max(0, a - n) : a][::-1], a)
+            if out and begin <= out[-1][1]:
+                begin = out.pop()[0]
+        out.append((begin, b + _reach(lambda n, b=b: text[b : b + n], len(text) - b)))
+    return out
+
+
+def _reach(ahead, left: int) -> int:
+    """Characters that hold the next REACH tokens of ahead(n), the next n of `left` characters (tokens read the same backwards)."""
+    n = 200
+    while True:
+        last = 0
+        for k, m in enumerate(TOKEN.finditer(ahead(n)), 1):
+            if m.end() == n and n < left:  # the token may go on
+                break
+            last = m.end()
+            if k == REACH:
+                return last
+        if n >= left:
+            return last
+        n *= 4
 
 
 def examples(n: int, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
@@ -285,10 +316,16 @@ def model() -> SemiMarkov:
 def all_spans(text: str, field: SemiMarkov) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(base spans, all spans): base ones, and the field's that overlap none of them; by kind, then start."""
     base = base_spans(text)
-    taken = sorted((a, b) for _, a, b in base)
-    more = []
+    taken: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(b, taken[-1][1])
+        else:
+            taken.append([a, b])
+    starts, more = [a for a, _ in taken], []
     for kind, a, b in field.decode(text):
-        if not any(x < b and a < y for x, y in taken):
+        before = bisect_left(starts, b)  # of the disjoint stretches that begin before b, the last ends last
+        if not before or taken[before - 1][1] <= a:
             more.append((kind, a, b))
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted(base + more, key=lambda s: (order[s[0]], s[1]))

@@ -357,21 +357,81 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(docs, model).count() == len(ROWS) and toxicity.score(empty, model).count() == 0
 
 
+def plain_spans(text):
+    """The base patterns said again: every match of the plain expressions, failing ones dropped."""
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (2 if k % 2 else 1), 10)) for k, c in enumerate(d[::-1])) % 10 == 0
+
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(digits(m)) <= 15),
+    ]
+    return [(k, *m.span()) for k, p, ok in kinds for m in re.finditer(p, text) if ok(m)]
+
+
+def test_pii_base_spans_equal_the_plain_patterns():
+    rng = np.random.default_rng(12)
+    parts = ["1", "25", "255", "256", "0", "007", ".", ".", "..", "@", "a", "b.c", "-", " ", "+", "(", ")", "4111 1111 1111 1111", "4111111111111111", "5500-0000-0000-0004", "x@y.z", "\n", "é", "%", "_", "²", "٣", "10.0.0.1", "+33 1 23 45 67 89"]
+    found = collections.Counter()
+    for _ in range(20_000):
+        text = "".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(1, 14)))
+        assert pii.base_spans(text) == plain_spans(text), text
+        found.update(k for k, *_ in pii.base_spans(text))
+    assert min(found[k] for k in pii.KINDS) > 500
+
+
+def test_pii_windows_hold_every_segment():
+    """The field over its stretches equals the field over whole texts, whatever stands between the tokens."""
+    rng = np.random.default_rng(5)
+    parts = ["jo", "at", "AT", "aT", "site", "dot", "com", " ", " ", "\t", "\n", "[", "]", "(", ")", "_", ".", "h" * 70, " " * 90, "12", "345", "6789", "²", "+", "-", "/", "word " * 30, "look at the "]
+    field, seen = pii.model(), 0
+    for _ in range(6000):
+        text = "".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(3, 40)))
+        got = sorted(field.decode(text))
+        assert got == sorted(field.decode(text, [(0, len(text))])), text
+        seen += len(got)
+    assert seen > 300
+    for text in ("jo at site dot com", "jo\tat\tsite dot com", "jo\nat\nsite dot com", "jo aT site dot com", f"jo at {'h' * 70} dot com"):
+        assert [k for k, *_ in field.decode(f"please write to {text} today")] == ["email"], text
+
+
+def test_pii_takes_linear_time_on_long_numbers(spark):
+    import time
+
+    texts = ["1" * 1_000_000, "1." * 20_000, "1 " * 20_000, "+1" * 20_000, "a@" * 100_000, "at " * 10_000, "(" * 100_000 + "1", "+1" + " " * 500_000]
+    for text in texts:
+        began = time.time()
+        base, spans = pii.all_spans(text, pii.model())
+        assert time.time() - began < 20
+    assert pii.personal_data(_docs(spark, [(1, texts[0])])).first()["n_card"] == 0
+
+
 def test_pii(docs, empty, spark):
     held, right, wrong, missed = pii.examples(300, 99), 0, 0, 0
     for text, gold in held:
         found, gold = set(pii.model().decode(text)), set(gold)
         right, wrong, missed = right + len(found & gold), wrong + len(found - gold), missed + len(gold - found)
     assert right / (right + wrong) > 0.9 and right / (right + missed) > 0.9
-    texts = [(1, "mail a.b@c.de, ip 10.0.0.256 or 10.0.0.25 card 4111 1111 1111 1111 and +33 1 23 45 67 89é"), (2, "jo (at) site dot com"), (3, None), (4, "a@b@c.d 4111111111111112")]
-    got = {r["doc_id"]: r for r in pii.personal_data(_docs(spark, texts)).collect()}
-    assert [got[1][k] for k in ("n_email", "n_ip", "n_card", "n_phone")] == [1, 1, 1, 1]
+    texts = [*ROWS, (101, "mail a.b@c.de, ip 10.0.0.256 or 10.0.0.25 card 4111 1111 1111 1111 and +33 1 23 45 67 89é"), (102, "jo (at) site dot com"), (104, "a@b@c.d 4111111111111112"), (105, "².².².²²² 1²3")]
+    got = collections.defaultdict(list)
+    for r in pii.personal_data(_docs(spark, texts)).collect():
+        got[r["doc_id"]].append(r)
+    assert [got[101][0][k] for k in ("n_email", "n_ip", "n_card", "n_phone")] == [1, 1, 1, 1]
+    assert sum(map(len, got.values())) == len(texts)
     for i, t in texts:
-        base = ",".join(f"{k}:{a}:{b}" for k, a, b in pii.base_spans(t or ""))
-        assert got[i]["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
-        assert set(base.split(",")) - {""} <= set(got[i]["spans"].split(","))
-    assert got[2]["spans"].startswith("email:")
-    assert pii.personal_data(docs).count() == len(ROWS) and pii.personal_data(empty).count() == 0
+        base = plain_spans(t or "")
+        name = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        for r in got[i]:
+            if (i, t) == (i, dict(texts)[i]):
+                assert r["base_sha256"] == hashlib.sha256(name.encode()).hexdigest()
+                assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in base) for k in pii.KINDS]
+                assert set(name.split(",")) - {""} <= set(r["spans"].split(","))
+    assert got[102][0]["spans"].startswith("email:")
+    assert pii.personal_data(empty).count() == 0
 
 
 def test_pipeline_stages(spark, tmp_path):
