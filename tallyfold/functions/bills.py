@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keys import distinct_by_key, fold_content
+from .keys import distinct_by_key, each, fold_content
 
 #: Signs that may part two names when white space surrounds them (fixed values).
 SEPARATOR = re.compile(r"(\s+(?:\+|/|•|&|et|[–—-])\s+)", re.I)
@@ -28,6 +28,16 @@ def split_plus(text: str) -> list[str]:
     return [p.strip() for p in parts] if len(parts) > 1 else []
 
 
+def plus_parts(text: Column) -> Column:
+    """array<string> of split_plus; null texts give an empty array."""
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series) -> pd.Series:
+        return each(texts, split_plus, list)
+
+    return run(text)
+
+
 def partition(text: str, known: Mapping[str, str]) -> list[str]:
     """The only way to cover the whole bill with two or more distinct known names, or nothing.
 
@@ -61,7 +71,7 @@ def candidate_names(bill: Column) -> Column:
                 return []
             return sorted({fold_content("".join(pieces[2 * i : 2 * j - 1])) for i in range(n) for j in range(i + 1, n + 1)})
 
-        return bills.map(runs)
+        return each(bills, runs, list)
 
     return run(bill)
 

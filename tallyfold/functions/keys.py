@@ -7,6 +7,7 @@ else is built from column functions.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 import unicodedata
@@ -56,6 +57,11 @@ def fold_content(text: str) -> str:
     return _SPACES.sub(" ", unicodedata.normalize("NFC", text).casefold()).strip()
 
 
+def each(values: pd.Series, fn: Callable[[str], object], null: Callable[[], object] = lambda: None) -> pd.Series:
+    """fn of every text, null() of every null; plain objects, whatever strings the batch came as."""
+    return pd.Series([fn(v) if isinstance(v, str) else null() for v in values], dtype=object)
+
+
 MODES: dict[str, Callable[[str], str]] = {"venue": fold_venue, "city": fold_city, "promoter": fold_promoter, "text": fold_text, "eligibility": fold_eligibility, "content": fold_content}
 
 
@@ -66,21 +72,41 @@ def fold(column: Column | str, mode: str = "text") -> Column:
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
         table = {v: plain(v) for v in values.dropna().unique()}
-        return values.map(table)
+        return each(values, table.get)
 
     return run(F.col(column) if isinstance(column, str) else column)
 
 
+@functools.cache
+def _letters() -> tuple[str, str, str]:
+    """(letters, their folds, other letters) below U+2000: one-to-one folds, letters without a fold last; those that fold otherwise."""
+    source, target, gone, other = [], [], [], []
+    for c in map(chr, range(0x2000)):
+        f = " " if c.isspace() else _plain(c).casefold()
+        if unicodedata.category(c) == "Cn" or len(f) > 1 or len(c.lower()) > 1 or c.lower() >= "\u2000" or _plain(c.lower()).casefold() != _plain(c).casefold():
+            other.append(c)
+        elif not f:
+            gone.append(c)
+        elif f != c and not "A" <= c <= "Z":
+            source.append(c)
+            target.append(f)
+    return "".join([*source, *gone]), "".join(target), "".join(other)
+
+
+def fold_letters(column: Column) -> Column:
+    """fold(mode="text") by built-in functions only, for use inside array functions: of letters that fold to several, ß alone does."""
+    source, target, _ = _letters()
+    return F.trim(F.regexp_replace(F.replace(F.translate(F.lower(column), source, target), F.lit("ß"), F.lit("ss")), " +", " "))
+
+
 def fold_latin(column: Column) -> Column:
-    """fold(mode="text") without Python, exact for text in the Latin-1 letters."""
-    source = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-    target = "aaaaaaceeeeiiiinooooouuuuyy"
-    folded = F.regexp_replace(F.translate(F.lower(column), source, target), "ß", "ss")
-    return F.trim(F.regexp_replace(folded, "\\s+", " "))
+    """fold(mode="text") by built-in functions; only texts with letters that fold to several reach Python."""
+    hard = column.rlike(r"[\x{2000}-\x{2011}\x{2016}\x{2017}\x{2020}-\x{10ffff}]") | (F.translate(column, _letters()[2], "") != column)
+    return F.when(hard, fold(F.when(hard, column))).otherwise(fold_letters(column))
 
 
 def slug(column: Column) -> Column:
-    """Lower-case letters and digits joined by single hyphens."""
+    """Lower-case Latin letters and digits joined by single hyphens; text of other scripts gives none."""
     return F.regexp_replace(F.regexp_replace(fold_latin(column), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
@@ -123,7 +149,7 @@ def strip_html(column: Column) -> Column:
 def unescape(column: Column | str) -> Column:
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
-        return values.map(html.unescape, na_action="ignore")
+        return each(values, html.unescape)
 
     return run(column)
 
@@ -152,7 +178,7 @@ def canonical_url_text(url: str) -> str | None:
 def canonical_url(column: Column | str) -> Column:
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
-        return values.map(canonical_url_text, na_action="ignore")
+        return each(values, canonical_url_text)
 
     return run(column)
 
@@ -168,7 +194,7 @@ def title_case_text(text: str) -> str:
 def title_case(column: Column | str) -> Column:
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
-        return values.map(title_case_text, na_action="ignore")
+        return each(values, title_case_text)
 
     return run(column)
 

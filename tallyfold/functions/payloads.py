@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Iterator
@@ -10,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .keys import each
+
 #: French month names, accents folded (fixed values).
 MONTHS = ("janvier", "fevrier", "mars", "avril", "mai", "juin", "juillet", "aout", "septembre", "octobre", "novembre", "decembre")
 #: Tags of an indexed payload that only wrap another value (fixed values).
@@ -41,7 +44,7 @@ def json_ld(page: Column | str, kind: str = "Event") -> Column:
 
     @F.pandas_udf("array<string>")
     def run(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: linked_events(p, kind) if isinstance(p, str) else [])
+        return each(pages, lambda p: linked_events(p, kind), list)
 
     return run(page)
 
@@ -73,7 +76,7 @@ def js_literal_text(script: str, name: str) -> str | None:
 def js_literal(script: Column | str, name: str) -> Column:
     @F.pandas_udf("string")
     def run(scripts: pd.Series) -> pd.Series:
-        return scripts.map(lambda s: js_literal_text(s, name), na_action="ignore")
+        return each(scripts, lambda s: js_literal_text(s, name))
 
     return run(script)
 
@@ -129,7 +132,7 @@ def indexed_json(payload: Column | str) -> Column:
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(one, na_action="ignore")
+        return each(texts, one)
 
     return run(payload)
 
@@ -148,24 +151,56 @@ def written_date(folded: Column, year: Column | None = None) -> Column:
     return F.try_to_date(F.concat(F.coalesce(own, F.lit("x")), F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"), F.lpad(part(1), 2, "0")))
 
 
+# Section labels and house wordings of titles, strongest first.
+LABEL_TYPES = (
+    ("concert_review", ("concert review", "live review")),
+    ("interview", ("interview",)),
+    ("album_review", ("album review",)),
+    ("playlist", ("playlist", "friday's playlist")),
+    ("news", ("news", "announcement")),
+)
+TITLE_STARTS = (("interview", ("interview :", "an interview with ")), ("playlist", ("friday's playlist ", "playlist :")))
+NEWS_WORDS = (
+    *("announce", "announces", "announced", "to perform", "to release", "unveil", "unveils", "unveiled", "reveal", "reveals", "revealed"),
+    *("share new", "shares new", "shared new", "share a new", "shares a new", "shared a new", "share the new", "shares the new", "shared the new"),
+    *("new single", "new album", "new video"),
+)
+ENGLISH_MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+
+
+def _plain_title(title: Column) -> Column:
+    """Lower case, one kind of dash and apostrophe, a colon apart from the word before it, a space at the end."""
+    t = F.translate(F.lower(F.coalesce(title, F.lit(""))), "–’", "-'")
+    return F.concat(F.regexp_replace(F.trim(F.regexp_replace(t, r"\s+", " ")), " ?:", " :"), F.lit(" "))
+
+
+def _dated_place(t: Column) -> Column:
+    """Whether a plain title reads "somebody @ somewhere - Month day, year"."""
+    date = F.split(F.trim(F.element_at(F.split(t, " - "), -1)), " ")
+    day, year = F.regexp_replace(F.get(date, F.lit(1)), "(st|nd|rd|th)?,$", ","), F.get(date, F.lit(2))
+    dated = (F.size(date) == 3) & F.get(date, F.lit(0)).isin(*ENGLISH_MONTHS) & day.rlike("^[0-9]{1,2},$") & year.rlike("^20[0-9]{2}$")
+    return F.coalesce(dated & F.contains(t, F.lit(" @ ")), F.lit(False))
+
+
 def article_type(title: Column, labels: Column) -> Column:
     """Type by section labels first, then by the wording of the title; null labels count as none."""
     names = F.transform(F.coalesce(labels, F.array().cast("array<string>")), lambda v: F.lower(v))
-    has = lambda *v: F.arrays_overlap(names, F.array(*map(F.lit, v)))
-    t = F.lower(F.coalesce(title, F.lit("")))
-    months = "january|february|march|april|may|june|july|august|september|october|november|december"
-    return (
-        F.when(has("concert review", "live review") | (has("concert") & has("review")), "concert_review")
-        .when(has("interview"), "interview")
-        .when(has("album review") | t.rlike(r"^album review\s*:"), "album_review")
-        .when(has("playlist", "friday's playlist"), "playlist")
-        .when(has("news", "announcement"), "news")
-        .when(t.rlike(rf"\s@\s.+\s[-–]\s(?:{months})\s+\d{{1,2}}(?:st|nd|rd|th)?,\s+20\d\d$"), "concert_review")
-        .when(t.rlike(r"^(?:interview\s*:|an interview with\b)"), "interview")
-        .when(t.rlike(r"^(?:friday['’]s playlist|playlist\s*:)"), "playlist")
-        .when(t.rlike(r"\b(?:announce[sd]?|to perform|to release|unveil(?:s|ed)?|reveal(?:s|ed)?|share[sd]? (?:(?:a|the) )?new|new (?:single|album|video))\b"), "news")
-        .otherwise("other")
-    )
+    t = _plain_title(title)
+    bare = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
+    has = lambda v: F.array_contains(names, v)
+    out = F
+    for kind, known in LABEL_TYPES:
+        test = F.arrays_overlap(names, F.array(*map(F.lit, known)))
+        if kind == "concert_review":
+            test |= has("concert") & has("review")
+        if kind == "album_review":
+            test |= F.startswith(t, F.lit("album review :"))
+        out = out.when(test, kind)
+    out = out.when(_dated_place(t), "concert_review")
+    for kind, phrases in TITLE_STARTS:
+        out = out.when(functools.reduce(lambda a, p: a | F.startswith(t, F.lit(p)), phrases, F.lit(False)), kind)
+    news = functools.reduce(lambda a, p: a | F.contains(bare, F.lit(f" {p} ")), NEWS_WORDS, F.lit(False))
+    return out.when(news, "news").otherwise("other")
 
 
 def ticket_status(status: Column, sold_out: Column, url: Column) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import canonical_url, fold, fold_latin
+from ..functions.keys import canonical_url, fold, fold_latin, fold_letters
 from . import joins
 from .resolution import similar
 
@@ -21,9 +21,9 @@ SAME_VENUE, SAME_ARTIST, SAME_TIME = 40, 20, 10
 MOST_DAYS, LEAST_RATIO = 180, 0.96
 
 
-def phrase(text: Column) -> Column:
-    """Letters and digits of a name as single-spaced words."""
-    return F.trim(F.regexp_replace(fold_latin(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " "))
+def phrase(text: Column, folded=fold_latin) -> Column:
+    """Latin letters and digits of a name as single-spaced words; names of other scripts give none, and match nothing."""
+    return F.trim(F.regexp_replace(folded(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " "))
 
 
 def ticket_key(url: Column | str) -> Column:
@@ -34,10 +34,14 @@ def ticket_key(url: Column | str) -> Column:
 
 
 def _sides(df: DataFrame, row: str, tag: str) -> DataFrame:
+    from ..plans.staging import cut
+
     bill = F.concat_ws(" + ", "headliner", F.coalesce("co_headliners", F.array().cast("array<string>")))
     keys = {"row": F.col(row), "day": F.to_date("day"), "time": F.nullif(F.col("time"), F.lit("")), "ticket": ticket_key("ticket"), "venue": F.nullif(F.concat_ws("|", fold("venue", "venue"), fold("city", "city")), F.lit("|")), "name": phrase(F.col("headliner")), "bill": phrase(bill), "title": F.col("headliner")}
-    out = df.select(*(v.alias(f"{tag}_{k}") for k, v in keys.items()))
-    return out.withColumn(f"{tag}_alone", F.count("*").over(Window.partitionBy(f"{tag}_ticket")) == 1)
+    out = cut(df.select(*(v.alias(f"{tag}_{k}") for k, v in keys.items())))
+    # counted by an aggregate over real tickets: rows without one never meet
+    alone = out.where(F.col(f"{tag}_ticket").isNotNull()).groupBy(f"{tag}_ticket").agg((F.count("*") == 1).alias(f"{tag}_alone"))
+    return cut(out.join(alone, f"{tag}_ticket", "left"))  # three joins read it
 
 
 def continuity(listings: DataFrame, published: DataFrame, row: str, public_id: str) -> DataFrame:
@@ -62,7 +66,8 @@ def continuity(listings: DataFrame, published: DataFrame, row: str, public_id: s
     dressed = reduce(lambda x, w: x | (old == F.concat(new, F.lit(f" {w}"))) | (new == F.concat(old, F.lit(f" {w}"))), PRESENTATION, F.lit(False))
     # a ratio of 0.96 bounds the difference of the lengths, so most pairs never reach Python
     longer, both = F.abs(F.length(old) - F.length(new)), F.length(old) + F.length(new)
-    close = (old != "") & (new != "") & (longer <= (1 - LEAST_RATIO) * both)
+    # names of one length that differ match in one letter less at most
+    close = (old != "") & (new != "") & (longer <= (1 - LEAST_RATIO) * both) & ((old == new) | (longer > 0) | (both * (1 - LEAST_RATIO) >= 1.999))
     certain = ((eq("bill") & known("bill")) | (eq("name") & known("name")) | richer | (dressed & known("name") & (old != "")))
     edges = [a.join(b, eq("ticket") & eq("day") & calm), a.join(b, moved & calm), a.join(b, eq("venue") & eq("day") & calm & (certain | close))]
     pairs = reduce(DataFrame.unionByName, edges).distinct()
@@ -136,7 +141,7 @@ def changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 
     change is an array: an event can gain openers, a genre and a status at once. Openers compare by folded name.
     """
-    names = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), phrase)
+    names = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda v: phrase(v, fold_letters))
     j = before.alias("b").join(after.alias("a"), F.col(f"b.{key}") == F.col(f"a.{key}"), "full")
     old, new = F.col(f"b.{key}"), F.col(f"a.{key}")
     gained = F.array_except(names(F.col("a.openers")), names(F.col("b.openers")))

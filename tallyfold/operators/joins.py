@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .components import components
+
 
 def priority_lookup(df: DataFrame, lookups: list[tuple[DataFrame, str, str]], output: str) -> DataFrame:
     """The first lookup (table, key, value) that knows the key wins; keys are unique in each table.
@@ -19,9 +21,11 @@ def priority_lookup(df: DataFrame, lookups: list[tuple[DataFrame, str, str]], ou
 
 
 def unique_in_range(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, first: str, last: str, value: str) -> DataFrame:
-    """Points with the value of the ranges that hold them, where all of those agree on one."""
-    hit = points.join(ranges, keys).where(F.col(at).between(F.col(first), F.col(last)))
-    return hit.groupBy(*points.columns).agg(F.count_distinct(value).alias("_n"), F.min(value).alias(value)).where("_n = 1").drop("_n")
+    """Points with the value of the ranges that hold them, where all of those agree on one; repeated points stay repeated."""
+    places = points.select(*keys, at).distinct()
+    hit = places.join(ranges, keys).where(F.col(at).between(F.col(first), F.col(last)))
+    agreed = hit.groupBy(*keys, at).agg(F.count_distinct(value).alias("_n"), F.min(value).alias(value)).where("_n = 1").drop("_n")
+    return points.join(agreed, [*keys, at]).select(*points.columns, value)
 
 
 def one_to_one(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,21 +41,61 @@ def full_compare(before: DataFrame, after: DataFrame, key: str, differs: Column)
     return both.withColumn("change", change)
 
 
+#: Edges of the largest component that one task matches in a pass.
+MOST_EDGES = 5_000_000
+
+
 def greedy_match(edges: DataFrame, left: str, right: str, score: str, rounds: int = 50) -> DataFrame:
     """One-to-one matches, best score first, ties by (left, right): what a sorted greedy loop would take.
 
-    Each round takes every edge that ranks first at both its ends, then drops
-    the edges of matched ends; under a strict order the results are the same.
+    Components of the edges do not bear on each other: each is dealt to a task,
+    which passes once over its edges in order and holds the taken ends only. A
+    component of over MOST_EDGES edges is matched by rounds over the whole
+    cluster instead; one that takes more than `rounds` is an error, never a
+    partial result. Edges with a null end match nothing.
     """
     from ..plans.staging import cut
 
-    order = [F.desc(score), F.col(left), F.col(right)]
-    best = lambda d, c: F.row_number().over(Window.partitionBy(c).orderBy(*order))
-    edges, taken = cut(edges.select(left, right, score).distinct()), None
+    edges = cut(edges.select(left, right, score).where(F.col(left).isNotNull() & F.col(right).isNotNull()).distinct())
+    ends = [F.xxhash64(F.lit(i), c) for i, c in enumerate((left, right))]  # equal hashes would only join two components
+    roots = components(edges.select(ends[0].alias("u"), ends[1].alias("v")))
+    placed = edges.withColumn("_u", ends[0]).join(roots.select(F.col("node").alias("_u"), F.col("root").alias("_root")), "_u").drop("_u")
+    large = cut(placed.groupBy("_root").agg(F.count("*").alias("_n")).where(F.col("_n") > MOST_EDGES).select("_root"))
+    if large.isEmpty():
+        return _passes(placed, left, right, score)
+    small = placed.join(large, "_root", "left_anti")
+    return _passes(small, left, right, score).union(_rounds(cut(placed.join(large, "_root", "left_semi").drop("_root")), left, right, score, rounds))
+
+
+def _passes(placed: DataFrame, left: str, right: str, score: str) -> DataFrame:
+    schema = placed.select(left, right, score).schema
+
+    def run(batches):
+        root, taken = None, (set(), set())
+        for b in batches:
+            keep = []
+            for r, x, y in zip(b["_root"].tolist(), b[left].tolist(), b[right].tolist(), strict=True):
+                if r != root:
+                    root, taken = r, (set(), set())
+                free = x not in taken[0] and y not in taken[1]
+                keep.append(free)
+                if free:
+                    taken[0].add(x)
+                    taken[1].add(y)
+            yield b.loc[keep, [left, right, score]]
+
+    return placed.repartition("_root").sortWithinPartitions("_root", F.desc(score), left, right).mapInPandas(run, schema)
+
+
+def _rounds(edges: DataFrame, left: str, right: str, score: str, rounds: int) -> DataFrame:
+    """Each round takes every edge that ranks first at both its ends among edges with free ends; hot ends meet in partial minima."""
+    from ..plans.staging import cut
+
+    taken, kind = None, edges.schema[score].dataType
+    rank = F.struct((-F.col(score)).alias("_s"), F.col(left).alias("_l"), F.col(right).alias("_r"))
     for _ in range(rounds):
-        # each end's first edge by itself, so that no filter of one rank reaches below the other
-        firsts = [edges.withColumn("_n", best(edges, c)).where("_n = 1").select(left, right) for c in (left, right)]
-        won = cut(edges.join(firsts[0], [left, right], "left_semi").join(firsts[1], [left, right], "left_semi"))
+        first = [edges.groupBy(c).agg(F.min(rank).alias("_b")).select("_b.*") for c in (left, right)]
+        won = cut(first[0].join(first[1], ["_s", "_l", "_r"], "left_semi").select(F.col("_l").alias(left), F.col("_r").alias(right), (-F.col("_s")).cast(kind).alias(score)))
         taken = won if taken is None else taken.union(won)
         edges = cut(edges.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti"))
         if edges.isEmpty():

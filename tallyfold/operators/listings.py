@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import fold_promoter, fold_text
+from ..functions.keys import canonical_url, fold_promoter, fold_text, normal_time
 
 # Wordings that part or qualify bills.
 _PART = re.compile(r"\s+(?:&|x|\+|/|,|et|and)\s+|\s*,\s+", re.I)
@@ -100,7 +100,17 @@ def groups_of(block: list[dict]) -> dict:
 
 
 def merge(df: DataFrame, row: str = "row") -> DataFrame:
-    """df(row, day, venue_key, title, time, source, official, ticket) to (row, group)."""
+    """df(row, day, venue_key, title, time, source, official, ticket) to (row, group).
+
+    Times are compared as HH:MM, tickets without tracking parameters. Rows
+    without a day or a place merge with nothing: each is its own group.
+    """
+    df = df.withColumns({"time": F.coalesce(normal_time(F.col("time")), F.nullif(F.trim("time"), F.lit(""))), "ticket": F.coalesce(canonical_url("ticket"), F.nullif(F.trim("ticket"), F.lit("")))})
+    placed = F.col("day").isNotNull() & F.col("venue_key").isNotNull() & (F.col("venue_key").cast("string") != "")
+    return _merge(df.where(placed), row).unionByName(df.where(~placed).select(row, F.col(row).alias("group")))
+
+
+def _merge(df: DataFrame, row: str) -> DataFrame:
     same = ["day", "venue_key", "title", "time", "source", "official", "ticket"]
     slim = df.select(row, "day", "venue_key", "title", "time", "source", F.coalesce("official", F.lit(False)).alias("official"), "ticket")
     once = slim.groupBy(*same).agg(F.min(row).alias(row))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -124,24 +125,23 @@ class _PageReader(DataSourceReader):
         self.folder, self.attempts, self.delay = options["path"], int(options.get("attempts", 3)), float(options.get("delay", 0.5))
 
     def partitions(self) -> list[InputPartition]:
-        import os
+        import os  # pages are landed in a folder that driver and executors mount alike
 
-        return [_Page(os.path.join(self.folder, f)) for f in sorted(os.listdir(self.folder)) if f[0] not in "._"]
+        return [_Page(posixpath.join(self.folder, f)) for f in sorted(os.listdir(self.folder)) if f[0] not in "._"]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        import os
-
+        name = posixpath.basename(partition.path)
         for attempt in range(1, self.attempts + 1):
-            try:
-                if os.path.getsize(partition.path) or attempt == self.attempts:
-                    break
+            try:  # stat, open and every read belong to the attempt; lines wait until all of them came
+                with open(partition.path, encoding="utf-8") as f:
+                    lines = [(name, i, line.rstrip("\n")) for i, line in enumerate(f)]
+                if lines or attempt == self.attempts:
+                    yield from lines
+                    return
             except OSError:
                 if attempt == self.attempts:
                     raise
             time.sleep(min(30.0, self.delay * attempt))
-        with open(partition.path, encoding="utf-8") as f:
-            for i, line in enumerate(f):
-                yield os.path.basename(partition.path), i, line.rstrip("\n")
 
 
 def expect_count(df: DataFrame, declared: int) -> DataFrame:

@@ -30,17 +30,20 @@ def digest(df: DataFrame) -> tuple[str, int]:
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """One small file, written beside and renamed, so that readers see the old or the new one."""
+    """One small file, written beside and renamed over the old one in a single step, so that readers see the old or the new one."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, old = jvm.org.apache.hadoop.fs.Path(path + ".next"), jvm.org.apache.hadoop.fs.Path(path)
-    fs = old.getFileSystem(conf)
-    stream = fs.create(new, True)
+    hadoop = jvm.org.apache.hadoop.fs
+    new, old = hadoop.Path(path + ".next"), hadoop.Path(path)
+    context = hadoop.FileContext.getFileContext(old.getFileSystem(conf).getUri(), conf)
+    stream = new.getFileSystem(conf).create(new, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    fs.delete(old, False)
-    fs.rename(new, old)
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(new, old, options)
 
 
 def publish(df: DataFrame, folder: str, name: str, published_at: str) -> dict:

@@ -38,6 +38,64 @@ def test_title_rules(title, artist, event_title, rule):
     assert x.originals == ([title] if rule else [])
 
 
+@pytest.mark.parametrize(
+    ("title", "artist", "event_title", "rule"),
+    [
+        ("Anna (Opening Act: Bob)", "Anna", None, "support"),
+        ("Anna (support: Bob)", "Anna (support: Bob)", None, None),
+        ("Anna - Album Release Party at noon", "Anna", "Album Release Party at noon", "release"),
+        ("Anna - 19h30", "Anna", None, "time"),
+        ("Anna, 19:30", "Anna", None, "time"),
+        ("Anna 20h", "Anna 20h", None, None),
+        ("Anna | 14.11.2026", "Anna", None, "day"),
+        ("Anna “Tournée d'adieu”", "Anna", "Tournée d'adieu", "quoted tour"),
+        ("Anna « Red Tour »", "Anna", "Red Tour", "quoted tour"),
+        ("Anna with Very Special Guest", "Anna", "Anna with Very Special Guest", "unnamed guest"),
+        ("Anna with Bob", "Anna with Bob", None, None),
+        ("Scène Ouverte + Anna + Bob", "Anna + Bob", "Scène Ouverte", "open stage"),
+        ("Anna + Bob", "Anna + Bob", None, None),
+        ("Radio presents Anna", "Anna", "Radio", "presents"),
+        ("Club présentent: Anna", "Anna", "Club", "presents"),
+        ("Blue Club invite : Anna b2b Bob", "Anna", "Blue Club", "invites"),
+        ("Blue Club invites Anna, TBA", "Blue Club invites Anna, TBA", None, None),
+        ("Launch Party of Red — Anna", "Anna", "Launch Party of Red", "release party"),
+        ("Anna – Nouvel album Rouge", "Anna", "Nouvel album Rouge", "album"),
+        ("Anna - The Blue Show", "Anna", "The Blue Show", "tribute show"),
+        ("Anna Release Party II", "Anna", "Anna Release Party II", "release suffix"),
+        ('Anna launch party "Red"', "Anna", 'Anna launch party "Red"', "release suffix"),
+        ("Anna release party + Bob", "Anna release party + Bob", None, None),
+        ("Anna: The Red Tour", "Anna", "Anna: The Red Tour", "tour"),
+        ("Anna – Detour", "Anna – Detour", None, None),
+        ("Anna (release party)", "Anna", "Release Party", "label"),
+        ("Anna (usa)", "Anna", None, "label"),
+    ],
+)
+def test_title_marks(title, artist, event_title, rule):
+    test_title_rules(title, artist, event_title, rule)
+
+
+def test_title_rules_follow_each_other():
+    x = titles.rewrite(titles.Listing('Radio présente : Anna "Red Tour" (FR)', day="2026-11-14"))
+    assert (x.title, x.event_title, x.rules) == ('Anna "Red Tour"', "Radio", ["presents", "label"])
+    x = titles.rewrite(titles.Listing("Anna (première partie : Bob) (FR)"))
+    assert x.rules == ["label"]  # brackets in the middle are no mark
+    x = titles.rewrite(titles.Listing("Jam menée par X", about="Jam menée par Zoé Durand, et amis"))
+    assert x.rules == []
+    x = titles.rewrite(titles.Listing("Jam Zoé Durand", about="Jam menée par Zoé Durand, et amis"))
+    assert (x.title, x.event_title, x.rules) == ("Zoé Durand", "Jam Zoé Durand", ["described"])
+
+
+def test_article_types(spark):
+    cases = [
+        ("x", ["Concert Review"], "concert_review"), ("x", ["concert", "review"], "concert_review"), ("x", ["Interview", "album review"], "interview"), ("Album review : Red", [], "album_review"), ("Album Review: Red", ["news"], "album_review"),
+        ("x", ["Friday's Playlist"], "playlist"), ("Interview: x", ["Announcement"], "news"), ("Anna @ Hall, Paris – March 3rd, 2024", None, "concert_review"), ("Anna @ Hall - March 2024", None, "other"), ("Anna - March 3, 2024", None, "other"),
+        ("An interview with Anna", None, "interview"), ("An interview without", None, "other"), ("Friday’s Playlist 12", None, "playlist"), ("Playlist: May", None, "playlist"), ("Anna announces tour", None, "news"), ("Anna shares a new song", None, "news"), ("Anna shared the new", None, "news"), ("New Albums", None, "other"), ("Anna, new album", None, "news"), (None, None, "other"),
+    ]
+    df = spark.createDataFrame([(i, t, l) for i, (t, l, _) in enumerate(cases)], "i int, t string, l array<string>")
+    got = {r.i: r.k for r in df.select("i", payloads.article_type(F.col("t"), F.col("l")).alias("k")).collect()}
+    assert got == {i: k for i, (_, _, k) in enumerate(cases)}
+
+
 def test_locked_rows_keep_wrappers_only():
     assert titles.rewrite(titles.Listing("Club X présente : Anna"), locked=True).rules == []
     assert titles.rewrite(titles.Listing('Anna "Big Tour"'), locked=True).title == "Anna"
@@ -111,8 +169,10 @@ def test_listing_merge_rules(rows, merged):
 def test_untimed_row_is_no_bridge_and_copies_follow(spark):
     schema = "row int, day string, venue_key string, title string, time string, source string, official boolean, ticket string"
     rows = [(1, "d", "v", "A", "19:00", "a", None, None), (2, "d", "v", "A", None, "b", None, None), (3, "d", "v", "A", "21:00", "c", None, None), (4, "d", "v", "A", "19:00", "a", False, None), (5, "d", "w", None, None, None, None, None)]
+    rows += [(6, "d", None, "A", "19:00", "a", None, None), (7, "d", None, "A", "19:00", "a", None, None), (8, None, "v", "A", "19:00", "b", None, None), (9, "d", "", "A", None, "b", None, None)]
+    rows += [(10, "e", "v", "A", "19:00", "a", None, None), (11, "e", "v", "A", "19h00", "b", None, None), (12, "f", "v", "X", None, "a", None, "https://t.org/e/1?utm_source=a"), (13, "f", "v", "Y", None, "b", None, "https://T.org/e/1/")]
     got = {r.row: r.group for r in listings.merge(spark.createDataFrame(rows, schema)).collect()}
-    assert got == {1: 1, 2: 2, 3: 3, 4: 1, 5: 5}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 1, 5: 5, 6: 6, 7: 7, 8: 8, 9: 9, 10: 10, 11: 10, 12: 12, 13: 12}
     assert listings.merge(spark.createDataFrame([], schema)).count() == 0
 
 
@@ -190,6 +250,23 @@ def test_sources(spark, tmp_path):
     spark.dataSource.register(registry.Pages)
     got = spark.read.format("tallyfold_pages").option("path", str(tmp_path)).option("delay", "0").load()
     assert [(r.page, r.line, r.value) for r in got.orderBy("line").collect()] == [("p1.json", 0, '{"a":1}'), ("p1.json", 1, '{"a":2}')]
+    opened = []
+
+    def flaky(path, **kw):
+        opened.append(path)
+        if len(opened) < 3:
+            raise OSError("busy")
+        return open(path, **kw)
+
+    reader = registry._PageReader({"path": str(tmp_path), "delay": "0"})
+    import builtins
+
+    registry.__dict__["open"] = flaky
+    try:
+        assert len(list(reader.read(registry._Page(str(tmp_path / "p1.json"))))) == 2 and len(opened) == 3
+    finally:
+        del registry.__dict__["open"]
+    assert registry.__dict__.get("open", builtins.open) is builtins.open
     reads = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "a"), (3, "c"), (4, "a"), (4, "c")], "read int, k string")
     assert {r.k for r in registry.fullest_read(reads, "read", "k").collect()} == {"a", "c"}
 
@@ -249,3 +326,11 @@ def test_enrichment_rungs(spark):
     acts = spark.createDataFrame([(3, "x")], "row int, artist string")
     known = spark.createDataFrame([("x", "P")], "artist string, genre string")
     assert [tuple(r) for r in enrichment.agreed_context(ctx, "row", "t", {"E": ["techno"], "P": ["punk"]}, acts, known).collect()] == [(1, "E")]
+
+
+def test_ranges_keep_repeated_points(spark):
+    from tallyfold.operators import joins
+
+    points = spark.createDataFrame([("v", 1, "x"), ("v", 1, "x"), ("v", 9, "y"), (None, 1, "z")], "k string, at int, note string")
+    ranges = spark.createDataFrame([("v", 0, 5, "A"), ("v", 1, 2, "A"), ("v", 8, 9, "A"), ("v", 9, 9, "B")], "k string, first int, last int, credit string")
+    assert sorted(map(tuple, joins.unique_in_range(points, ranges, ["k"], "at", "first", "last", "credit").collect())) == [("v", 1, "x", "A")] * 2
