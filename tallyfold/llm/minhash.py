@@ -5,8 +5,9 @@ minima give candidates; collision-corrected bit counts screen pairs; full
 shingle sets confirm them. Documents with equal sets are one node, so copies
 are never paired. Candidate buckets join nodes into blocks through their
 smallest node; inside a block only pairs of still separate groups are tested,
-so no bucket is expanded into all of its pairs. A block beyond BLOCK_DOCS is
-dealt over several tasks, and what those leave apart is compared across tasks.
+so no bucket is expanded into all of its pairs. A block beyond BLOCK_DOCS texts
+or BLOCK_SHINGLES shingles is dealt over several tasks, and what those leave
+apart is compared across tasks.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ HASHES, ROWS, BITS = 160, 5, 4
 BANDS = HASHES // ROWS
 #: Screening margin below the threshold: six standard deviations of the estimate at 0.8.
 MARGIN = 0.2
-BLOCK_DOCS = 3000
+#: Texts and shingles that one task holds, about (a longer text is a task's share by itself).
+BLOCK_DOCS, BLOCK_SHINGLES = 3000, 3_000_000
 _rng = np.random.default_rng(811)
 _A = _rng.integers(1, 2**62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(1, 2**63, HASHES, dtype=np.uint64)
@@ -174,14 +176,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     signed = materialize(arrow_map(docs, signatures, "doc_id long, n_shingles long, node binary, sig binary, bands binary"))
     linkable = signed.where("doc_id is not null and node is not null")
-    nodes = materialize(linkable.groupBy("node").agg(F.min("doc_id").alias("min_id"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "sig", "bands")).alias("s")).select("node", "min_id", "copies", "s.sig", "s.bands"))
-
-    banded = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(k.alias("band"), F.substring("bands", k * 8 + 1, F.lit(8)).alias("key")))).alias("b")).select("node", "b.band", "b.key")
-    hubs = banded.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    blocks = components(banded.join(hubs, ["band", "key"]).select(F.col("node").alias("u"), F.col("hub").alias("v")))
-    sizes = blocks.groupBy("root").agg(F.count("*").alias("n"))
-    # tasks: (block, chunk); a block within BLOCK_DOCS has one chunk
-    members = materialize(blocks.join(sizes, "root").join(nodes, "node").select("node", "min_id", "sig", "bands", "root", F.ceil(F.col("n") / BLOCK_DOCS).alias("parts"), F.expr(f"pmod(xxhash64(node), ceil(n / {BLOCK_DOCS}))").alias("part")))
+    nodes = linkable.groupBy("node").agg(F.min("doc_id").alias("min_id"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "sig", "bands", "n_shingles")).alias("s"))
+    # numbered once written, so that everything after meets on longs
+    nodes = materialize(nodes.select("node", "min_id", "copies", "s.sig", "s.bands", F.col("s.n_shingles").alias("size"), F.monotonically_increasing_id().alias("id")))
+
+    banded = nodes.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(k.alias("band"), F.substring("bands", k * 8 + 1, F.lit(8)).alias("key")))).alias("b")).select("id", "b.band", "b.key")
+    hubs = banded.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    blocks = components(banded.join(hubs, ["band", "key"]).select(F.col("id").alias("u"), F.col("hub").alias("v"))).withColumnRenamed("node", "id")
+    placed = blocks.join(nodes, "id")
+    parts = placed.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("size") / BLOCK_SHINGLES)).alias("parts"))
+    # tasks: (block, chunk); a block within the bounds has one chunk
+    members = materialize(placed.join(parts, "root").select("id", "node", "min_id", "sig", "bands", "root", "parts", F.expr("pmod(xxhash64(id), parts)").alias("part")))
     with_text = lambda m: m.join(docs, m["min_id"] == docs["doc_id"]).drop("doc_id", "min_id")
 
     def solve(tag):
@@ -201,29 +206,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 bands = np.frombuffer(b"".join(t.column("bands").take(own).to_pylist()), np.int64).reshape(len(own), -1)
                 side = np.array(t.column("side").take(own).to_pylist()) if tag else None
                 label = link([sets[i] for i in own], sig, bands, percent, side)
-                nodes_ = [want[i] for i in own]
-                root: dict[int, bytes] = {}
-                for l, k in zip(label.tolist(), nodes_, strict=True):
+                ids = t.column("id").take(own).to_pylist()
+                root: dict[int, int] = {}
+                for l, k in zip(label.tolist(), ids, strict=True):
                     root[l] = min(root.get(l, k), k)
-                pairs = [(k, root[l]) for l, k in zip(label.tolist(), nodes_, strict=True) if root[l] != k]
+                pairs = [(k, root[l]) for l, k in zip(label.tolist(), ids, strict=True) if root[l] != k]
                 if pairs:
-                    yield pa.RecordBatch.from_pydict({"u": pa.array([p[0] for p in pairs], pa.binary()), "v": pa.array([p[1] for p in pairs], pa.binary())})
+                    yield pa.RecordBatch.from_pydict({"u": pa.array([p[0] for p in pairs], pa.int64()), "v": pa.array([p[1] for p in pairs], pa.int64())})
 
         return run
 
     def tasks(df: DataFrame, tag: bool) -> DataFrame:
-        return arrow_map(df.repartition("task").sortWithinPartitions("task"), solve(tag), "u binary, v binary")
+        return arrow_map(df.repartition("task").sortWithinPartitions("task"), solve(tag), "u long, v long")
 
     task = F.xxhash64("root", "part")
     edges = materialize(tasks(with_text(members.withColumn("task", task)), False))
     split = members.where("parts > 1")
     if split.isEmpty():
-        linked = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
-        linked = linked.union(linked.select(F.col("root").alias("node"), "root").distinct())
+        linked = edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("root"))
+        linked = linked.union(linked.select(F.col("root").alias("id"), "root").distinct())
     else:
         # within chunks all is settled; what lies outside a block's largest group meets all other chunks
         groups = components(edges)
-        placed = split.join(groups.withColumnRenamed("root", "g"), "node", "left").withColumn("g", F.coalesce("g", "node"))
+        placed = split.join(groups.select(F.col("node").alias("id"), F.col("root").alias("g")), "id", "left").withColumn("g", F.coalesce("g", "id"))
         per = placed.groupBy("root", "g").agg(F.count("*").alias("c"))
         main = per.groupBy("root").agg(F.max_by("g", F.struct("c", "g")).alias("main"))
         placed = materialize(placed.join(main, "root").withColumn("side", F.col("g") != F.col("main")))
@@ -231,10 +236,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         fan = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("other <> part")
         fan = fan.withColumn("task", F.xxhash64("root", F.least("part", "other"), F.greatest("part", "other")))
         live = fan.where("side").select("task").distinct()
-        more = tasks(with_text(fan.join(live, "task", "left_semi").select("node", "min_id", "sig", "bands", "task", "side")), True)
-        linked = components(edges.union(materialize(more)))
+        more = tasks(with_text(fan.join(live, "task", "left_semi").select("id", "node", "min_id", "sig", "bands", "task", "side")), True)
+        linked = components(edges.union(materialize(more))).withColumnRenamed("node", "id")
 
-    named = linked.join(nodes.select("node", "min_id"), "node")
+    named = linked.join(nodes.select("id", "node", "min_id"), "id")
     lowest = named.groupBy("root").agg(F.min("min_id").alias("component_id"))
     grouped = named.join(lowest, "root").select("node", "component_id")
     special = materialize(nodes.select("node", "min_id", "copies").join(grouped, "node", "left").where("copies > 1 or component_id is not null").select("node", "copies", F.coalesce("component_id", "min_id").alias("component_id")))

@@ -41,9 +41,10 @@ def sets_of(text, k):
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
 
-@pytest.mark.parametrize("block", [3000, 2])
-def test_minhash(spark, docs, empty, block, monkeypatch):
+@pytest.mark.parametrize(("block", "shingles"), [(3000, 3_000_000), (2, 3_000_000), (3000, 150)])
+def test_minhash(spark, docs, empty, block, shingles, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK_DOCS", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
     got = minhash.near_duplicates(docs, shingle=4).collect()
     s = {i: sets_of(t, 4) for i, t in ROWS if i is not None}
     root = {i: i for i in s}
@@ -62,6 +63,24 @@ def test_minhash(spark, docs, empty, block, monkeypatch):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize(("block", "shingles"), [(3000, 3_000_000), (3, 3_000_000), (3000, 40)])
+def test_minhash_links_at_the_very_threshold(spark, block, shingles, monkeypatch):
+    """Sets of 80 and 100 shingles of which 80 are shared link; 79 of 99 or 80 of 101 do not; chains of links make one group."""
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
+    run = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    texts = {}
+    for k in range(12):  # n words give n - 3 shingles of four
+        texts[10 * k] = run(f"a{k}x", 103)
+        texts[10 * k + 1] = run(f"a{k}x", 83)  # 80 of 100
+        texts[10 * k + 2] = run(f"b{k}x", 104)
+        texts[10 * k + 3] = run(f"b{k}x", 83)  # 80 of 101
+        texts[10 * k + 4] = run(f"a{k}x", 67)  # 64 of 80 with the second, 64 of 100 with the first
+    s = {i: sets_of(t, 4) for i, t in texts.items()}
+    for i, r in ((r["doc_id"], r) for r in minhash.near_duplicates(_docs(spark, list(texts.items())), shingle=4).collect()):
+        assert r["component_id"] == {0: i, 1: i - 1, 4: i - 4}.get(i % 10, i) and r["n_shingles"] == len(s[i])
+
+
 @pytest.mark.parametrize("giant", [10_000, 1])
 def test_suffix_dedup(docs, empty, giant, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "GIANT", giant)
