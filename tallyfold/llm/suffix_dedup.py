@@ -30,6 +30,8 @@ GRAM = 48
 SORT_BYTES = 1_500_000
 #: A minimizer with more distinct segments than this has its windows counted by hash instead of sorted in one task.
 GIANT = 10_000
+#: Minimizers that are broadcast, at most: those that each hold at least such a part of the rows.
+MOST_HOT = 1000
 
 
 def segments(buf: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -111,8 +113,14 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column("t1").take(take), b.column("t2").take(take), pa.array(mini), pa.array(seg), pa.array((lo - off[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], ["t1", "t2", "mini", "seg", "lo", "n"])
 
     rows = arrow_map(docs, cut, "t1 long, t2 long, mini long, seg long, lo int, n int")
-    shared = rows.groupBy("mini").agg(F.count("*").alias("c"), F.min("seg").alias("s0"), F.max("seg").alias("s1")).where("c > 1").select("mini", (F.col("s0") != F.col("s1")).alias("mixed"))
-    rows = materialize(rows.join(shared, "mini"))  # a hot minimizer on the left: AQE splits it, the right side is unique
+    shared = materialize(rows.groupBy("mini").agg(F.count("*").alias("c"), F.min("seg").alias("s0"), F.max("seg").alias("s1")).where("c > 1").select("mini", "c", (F.col("s0") != F.col("s1")).alias("mixed")))
+    # at most MOST_HOT minimizers can each hold so many of the rows: those are broadcast, and their rows go round the join by keys of their own
+    cut_ = max(2, (shared.agg(F.sum("c")).first()[0] or 0) // MOST_HOT + 1)
+    hot = shared.where(F.col("c") >= cut_).select("mini", F.col("mixed").alias("_hot"))
+    cold = shared.where(F.col("c") < cut_).select(F.lit(False).alias("_is_hot"), F.col("mini").alias("_key"), F.col("mixed").alias("_cold"))
+    rows = rows.join(F.broadcast(hot), "mini", "left").withColumn("_is_hot", F.col("_hot").isNotNull()).withColumn("_key", F.when(F.col("_is_hot"), F.xxhash64("t1", "lo")).otherwise(F.col("mini")))
+    rows = rows.join(cold, ["_is_hot", "_key"], "left").withColumn("mixed", F.coalesce("_hot", "_cold")).where("mixed is not null")
+    rows = materialize(rows.select("t1", "t2", "mini", "seg", "lo", "n", "mixed"))
     mixed = rows.where("mixed")
     kinds = materialize(mixed.groupBy("mini", "seg").agg(F.count("*").alias("c"), F.min(F.struct("t1", "t2", "lo", "n")).alias("r")))
     alone = kinds.where("c = 1")
