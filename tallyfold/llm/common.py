@@ -24,9 +24,11 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def shared_dir(spark: SparkSession) -> None:
-    """Set a checkpoint directory only where the cluster names none (as in tests)."""
+    """Set the checkpoint directory the cluster names; one of our own only in a local session that names none (as in tests)."""
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyfold-ckpt-"))
 
 

@@ -11,14 +11,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import ALNUM, LOWER, arrow_map, mix, prefix_hash, scan_words, slices, span_hash, text_buffers
+from .common import ALNUM, LOWER, arrow_map, materialize, mix, prefix_hash, scan_words, slices, span_hash, text_buffers
 
 #: Labelled rows that the model is fitted on, at most (least by a hash of the id).
 SAMPLE = 6000
+#: Bytes of text of those rows, at most.
+SAMPLE_BYTES = 64_000_000
 MIN_PREFIX, MAX_PREFIX = 4, 9
 #: Features kept: those whose rates differ most between toxic and other rows.
 FEATURES = 4096
@@ -143,12 +145,20 @@ def fit(texts: list[str | None] | pa.ChunkedArray, toxic: np.ndarray) -> Ordinal
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
-    """Fit on at most SAMPLE labelled rows, the least by a hash of the id, classes in their natural shares."""
+    """Fit on at most SAMPLE labelled rows of at most SAMPLE_BYTES of text, the least by a hash of the id, classes in their natural shares.
+
+    The bounds are the fit's only: every document is scored. Of rows that
+    repeat an id the least text counts; unlabelled and null rows are no part.
+    """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     # at most SAMPLE ids
-    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).orderBy("doc_id").toArrow()
+    rows = materialize(texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")))
+    sizes = rows.select("doc_id", F.octet_length("text").cast("long").alias("size"), F.xxhash64("doc_id").alias("h"))
+    before = F.sum("size").over(Window.orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    fits = sizes.select("doc_id", before.alias("sum")).where(F.col("sum") <= SAMPLE_BYTES).select("doc_id")  # numbers of at most SAMPLE rows meet
+    rows = rows.join(F.broadcast(fits), "doc_id").orderBy("doc_id").toArrow()
     return fit(rows.column("text"), rows.column("toxic").to_numpy().astype(float))
 
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfold.llm.common import mix, prefix_hash, span_hash
 from tallyfold.llm import ann, decontam, license_scan, line_dedup, minhash, packing, pii, sharding, suffix_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, spans string, node string, grade string, shard string"
@@ -84,6 +85,7 @@ def test_minhash_links_at_the_very_threshold(spark, block, shingles, monkeypatch
 @pytest.mark.parametrize("giant", [10_000, 1])
 def test_suffix_dedup(docs, empty, giant, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "GIANT", giant)
+    monkeypatch.setattr(suffix_dedup, "MOST_HOT", 1000 if giant > 1 else 5)
     got = collections.Counter(tuple(r) for r in suffix_dedup.repeated_spans(docs).collect())
     raw = [(i, (t or "").encode()) for i, t in ROWS]
     seen = collections.Counter(t[k : k + 200] for _, t in raw for k in range(len(t) - 199))
@@ -373,7 +375,37 @@ def test_toxicity(spark, docs, empty):
     severe = [scored[i]["expected_severity"] for i, b in enumerate(bad[400:]) if b >= 7]
     mild = [scored[i]["expected_severity"] for i, b in enumerate(bad[400:]) if b == 1]
     assert np.mean(severe) > np.mean(mild) > 0.5
-    assert toxicity.score(docs, model).count() == len(ROWS) and toxicity.score(empty, model).count() == 0
+    assert toxicity.score(empty, model).count() == 0
+    # every odd row by the formula itself: features named and counted the plain way
+    place = {int(h): i for i, h in enumerate(model.known)}
+    odd = [*ROWS, (60, "VileWord grossly"), (61, "vilewords,hateful-hateful " * 3), (62, "h\u00e4teful \u0130 x" * 40)]
+    docs = _docs(spark, odd).withColumns({"toxic": F.lit("x"), "word": F.lit(1)})
+    scored = collections.Counter((r["doc_id"], r["text"], r["grade"], round(r["expected_severity"], 9), r["toxic"]) for r in toxicity.score(docs, model).collect())
+    want = collections.Counter()
+    for i, t in odd:
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
+        seen = collections.Counter()
+        for w in words:
+            for n in (0, *range(toxicity.MIN_PREFIX, toxicity.MAX_PREFIX + 1)):
+                if not n or len(w) > n:
+                    h = span_hash(prefix_hash(np.frombuffer(w, np.uint8)), np.array([0]), np.array([n or len(w)]))
+                    seen[int((mix(h + np.uint64(n)) if n else h)[0])] += 1
+        z = sum(model.weights[place[h]] * np.log(1 + c) for h, c in seen.items() if h in place) + model.weights[len(place) + toxicity.size_class(np.array([len(words)]))[0]]
+        at_most = [*(1 / (1 + np.exp(z - c)) for c in model.cuts), 1.0]
+        p = np.diff([0.0, *at_most])
+        want[(i, t, int(np.argmax(p)), round(float(sum(k * q for k, q in enumerate(p))), 9), bool(1 - p[0] >= toxicity.THRESHOLD))] += 1
+    assert scored == want
+
+
+def test_toxicity_fits_on_bounded_text(spark, monkeypatch):
+    texts = [(i, ("vileword bad " if i % 3 == 0 else "fine day ") * (1 + i % 5)) for i in range(60)] + [(None, "x"), (3, "vileword")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(None, 1), (7, None), (900, 1)], "doc_id long, toxic int")
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda t, y: sizes.append((len(t), sum(len(x) for x in t.to_pylist()))) or "model")
+    toxicity.train(_docs(spark, texts), labels)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 500)
+    toxicity.train(_docs(spark, texts), labels)
+    assert sizes[0][0] == 60 and 0 < sizes[1][0] < 60 and sizes[1][1] <= 500
 
 
 def plain_spans(text):
