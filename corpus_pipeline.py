@@ -34,9 +34,21 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, 0.8) stays: the one with the smallest id."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """One document of each group of near duplicates (five-word shingles, 0.8) stays: the one with the smallest id.
+
+    Ids that are null or repeated name no document, so rows then get numbers
+    of their own, and of equal ids the first number counts; null ids come last.
+    Documents without words stay.
+    """
+    docs = docs.select(*COLUMNS)
+    n = docs.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    if n["rows"] == n["ids"]:
+        kept = minhash.near_duplicates(docs).where("kept").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    rows = common.materialize(docs.withColumn("_row", F.monotonically_increasing_id()))
+    groups = minhash.near_duplicates(rows, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first"))
+    return rows.join(first.select("first._row"), "_row", "left_semi").select(*COLUMNS)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
