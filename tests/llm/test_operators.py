@@ -501,3 +501,37 @@ def test_pipeline_stages(spark, tmp_path):
     assert minhash.near_duplicates(docs.where(F.length("text") > 0)).where("not kept").count() <= 2
     assert decontam.contamination(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).where("contaminated").count() == 0
     assert corpus_pipeline.run(spark, sf).select("doc_id").distinct().count() == n
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs, empty):
+    """Nulls in every column, repeated rows and ids, empty tables and clashing columns through every stage."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        got = collections.Counter((r["doc_id"], r["text"]) for r in out.collect()) if name != "packing" else None
+        none = stage(spark, empty, sf)
+        assert none.count() == 0
+        if name == "packing":
+            assert out.where("piece = 0").count() == len(ROWS)
+            continue
+        assert out.columns == none.columns == list(corpus_pipeline.COLUMNS)
+        if name in ("toxicity", "decontamination"):
+            assert got == collections.Counter(ROWS)
+        elif name == "line_dedup":
+            assert sum(got.values()) == len(ROWS) and got == collections.Counter((i, t and t.replace("shared line\n", "")) for i, t in ROWS)
+        else:
+            s = [sets_of(t, 5) for _, t in ROWS]
+            root = list(range(len(ROWS)))
+            for _ in ROWS:
+                for a in range(len(s)):
+                    for b in range(len(s)):
+                        if s[a] and 100 * len(s[a] & s[b]) >= 80 * len(s[a] | s[b]):
+                            root[a] = root[b] = min(root[a], root[b])
+            groups = collections.defaultdict(list)
+            for k, (i, t) in enumerate(ROWS):
+                groups[root[k]].append((i is None, i or 0, t))
+            firsts = collections.Counter(min(i for n, i, _ in g if not n) if not all(n for n, _, _ in g) else None for g in groups.values())
+            assert sum(got.values()) == len(groups) and collections.Counter(i for i, _ in got) == firsts
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.where("doc_id > 12"), sf).count() == docs.where("doc_id > 12").count()
