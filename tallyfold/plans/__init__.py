@@ -1,6 +1,6 @@
 """Registered queries over the star-schema tables."""
 
-from . import catalogue  # noqa: F401  (registers its queries)
+from . import catalogue, decisions  # noqa: F401  (register their queries)
 from .flagship import flagship
 from .registry import oracle_sql, queries
 
