@@ -388,3 +388,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             yield pa.RecordBatch.from_arrays([col if n == "text" else c for n, c in zip(b.schema.names, b.columns, strict=True)][: len(schema.names)], schema.names)
 
     return arrow_map(keyed.join(found, row, "left").drop(row), cut, schema)
+
+
+def contamination_sql(window: int = WINDOW) -> str:
+    """The same by joining windows as texts, for DuckDB; ids are unique."""
+    words = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark WHERE item_id IS NOT NULL),
+asked AS (SELECT DISTINCT item, least(len(w), {window}) AS n, array_to_string(w[i : i + {window} - 1], ' ') AS x FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {window}, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM asked),
+places AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS x FROM (SELECT doc_id, w, n, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS i FROM d, sizes WHERE len(w) >= n)),
+found AS (SELECT doc_id, item, i, p.n FROM places p JOIN asked a ON a.n = p.n AND a.x = p.x),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, CAST(i + n AS BIGINT))) AS k FROM found) GROUP BY 1),
+own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)"""

@@ -250,3 +250,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = out.unionByName(alone.select("doc_id", "n_shingles", "component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def near_duplicates_sql(shingle: int = 4, percent: int = 80) -> str:
+    """The same by exact counts of shared shingles, for DuckDB; ids are unique."""
+    return f"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {shingle} THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - {shingle} + 2), lambda i: array_to_string(w[i : i + {shingle} - 1], ' '))) END AS s FROM words),
+nodes AS (SELECT min(doc_id) AS node, len(list_sort(s)) AS n, list_sort(s) AS key FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+flat AS (SELECT node, n, hash(x) AS x FROM (SELECT node, n, unnest(key) AS x FROM nodes)),
+links AS (SELECT a.node AS u, b.node AS v FROM flat a JOIN flat b ON a.x = b.x AND a.node < b.node AND 100 * a.n >= {percent} * b.n AND 100 * b.n >= {percent} * a.n GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+pairs AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach(node, other) AS (SELECT node, node FROM nodes UNION SELECT reach.node, pairs.v FROM reach JOIN pairs ON pairs.u = reach.other),
+roots AS (SELECT node, min(other) AS root FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(root, d.doc_id) AS component_id, coalesce(root, d.doc_id) = d.doc_id AS kept
+FROM sets d LEFT JOIN nodes ON nodes.key = list_sort(d.s) AND len(d.s) > 0 LEFT JOIN roots ON roots.node = nodes.node"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import ann, decontam, license_scan, line_dedup, minhash, packing, pii, sharding, suffix_dedup, toxicity
@@ -53,11 +54,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline
-
     own = (op1_line_dedup, op2_license_scan, op3_toxicity, op4_packing, op5_ann, op6_decontamination, op7_suffix_dedup, op8_minhash, op9_sharding, op10_pii)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.line_dedup_sql(), "op9_sharding": sharding.place_sql()}
+    return {"op1_line_dedup": line_dedup.line_dedup_sql(), "op6_decontamination": decontam.contamination_sql(), "op8_minhash": minhash.near_duplicates_sql(), "op9_sharding": sharding.place_sql()}

@@ -535,3 +535,18 @@ def test_pipeline_stages_on_odd_rows(spark, docs, empty):
             firsts = collections.Counter(min(i for n, i, _ in g if not n) if not all(n for n, _, _ in g) else None for g in groups.values())
             assert sum(got.values()) == len(groups) and collections.Counter(i for i, _ in got) == firsts
     assert corpus_pipeline.drop_near_duplicates(spark, docs.where("doc_id > 12"), sf).count() == docs.where("doc_id > 12").count()
+
+
+def test_queries_equal_their_sql(spark):
+    import duckdb
+
+    from tallyfold.llm import queries
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    for name, sql in queries.oracle_sql().items():
+        theirs, ours = con.sql(sql).df(), queries.queries()[name](spark, sf).toPandas()
+        columns = sorted(theirs.columns)
+        rows = lambda f: sorted((tuple(r) for r in f[columns].astype(object).values.tolist()), key=str)  # noqa: B023, E731
+        assert columns == sorted(ours.columns) and rows(ours) == rows(theirs), name
