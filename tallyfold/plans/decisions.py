@@ -42,12 +42,12 @@ def genre_branches(spark, d):
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'reviewed_event' WHEN o_orderkey % 7 = 0 THEN 'structured_source' WHEN o_orderkey % 13 = 0 THEN 'reviewed_registry' WHEN o_orderstatus = 'P' THEN 'known_identity' WHEN o_orderkey % 5 = 0 THEN 'cross_source' WHEN o_orderkey % 3 = 0 THEN 'canonical_identity' WHEN o_orderkey % 2 = 0 AND 80 + o_custkey % 20 >= 90 THEN 'external_corroboration' ELSE 'unresolved' END AS method,
-CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 13 = 0 THEN 100 WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderkey % 5 = 0 THEN 95 WHEN o_orderkey % 3 = 0 THEN 90 WHEN o_orderkey % 2 = 0 AND 80 + o_custkey % 20 >= 90 THEN CAST(80 + o_custkey % 20 AS INTEGER) END AS confidence FROM orders""")
+CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 13 = 0 THEN 100 WHEN o_orderstatus = 'P' THEN 0 WHEN o_orderkey % 5 = 0 THEN 95 WHEN o_orderkey % 3 = 0 THEN 90 WHEN o_orderkey % 2 = 0 AND 80 + o_custkey % 20 >= 90 THEN CAST(80 + o_custkey % 20 AS INTEGER) ELSE 0 END AS confidence FROM orders""")
 def bill_evidence(spark, d):
     k = F.col("o_orderkey")
     pair = lambda n, v="b": F.when(k % n == 0, F.array(F.lit("a"), F.lit(v)))
     o = table(spark, d, "orders").select("o_orderkey", pair(11).alias("reviewed_event"), pair(7).alias("structured"), F.lit(None).cast("string").alias("reviewed_description"), pair(13).alias("reviewed_bill"), F.lit(None).cast("string").alias("canonical"), (F.col("o_orderstatus") == "P").alias("known"), pair(5).alias("cross_source"), F.when(k % 4 == 0, F.array(F.lit("a"))).alias("same_source"), pair(3).alias("catalogue"), pair(2).alias("external"), (F.lit(80) + F.col("o_custkey") % 20).cast("int").alias("external_confidence"))
-    return cascades.resolve_bills(o, "o_orderkey").select("o_orderkey", "method", "confidence")
+    return cascades.resolve_bills(o, "o_orderkey").select("o_orderkey", "method", F.coalesce("confidence", F.lit(0)).alias("confidence"))
 
 
 @query("""WITH e AS (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, lower(c_name) AS h, 'hall ' || c_nationkey AS v, o_orderkey % 3 AS kind, o_orderdate FROM orders JOIN customer ON o_custkey = c_custkey),

@@ -78,7 +78,8 @@ def slug(spark, d):
     return table(spark, d, "part").select("p_partkey", K.slug(F.col("p_name")).alias("slug"))
 
 
-@query()
+@query(r"""WITH t AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages)
+SELECT page_id, CASE WHEN length(text) <= 300 THEN text ELSE regexp_replace(substr(text, 1, 300), '\s+\S*$', '') || '…' END AS summary FROM t""")
 def html_strip(spark, d):
     return table(spark, d, "pages").select("page_id", K.summarize(K.strip_html(F.col("html"))).alias("summary"))
 
