@@ -40,3 +40,26 @@ def listed(df: DataFrame, text: str, columns: list[str]) -> DataFrame:
     """Rows whose columns, read one after the other without case and accents, hold the text; an empty one keeps all."""
     whole = fold_latin(F.concat_ws(" ", *columns))
     return df.where(F.contains(whole, fold_latin(F.lit(text)))) if text.strip() else df
+
+
+def concert_order() -> list[Column]:
+    """Concerts of a newsletter: day, artist, venue without case, id."""
+    return [F.asc("day"), F.lower("headliner").asc(), F.lower("venue").asc(), F.asc("id")]
+
+
+def venue_order() -> list[Column]:
+    """Events of one venue: day, time (none first), artist without case, id."""
+    return [F.asc("day"), F.coalesce("start_time", F.lit("")).asc(), F.lower("headliner").asc(), F.asc("id")]
+
+
+def canonical_order(row: Column) -> list[Column]:
+    """Order of a stored snapshot that does not depend on how it was made: its names, then the whole row as JSON."""
+    blank = lambda c: F.coalesce(c, F.lit("")).asc()
+    return [F.asc("day"), F.asc("headliner"), F.asc("venue"), blank("start_time"), blank("public_id"), F.to_json(row).asc()]
+
+
+def in_genres(df: DataFrame, genre: str, asked: list[str], tree: DataFrame) -> DataFrame:
+    """Rows whose genre is one of those asked for or lies below one; tree(genre, ancestor) is a closure."""
+    below = tree.where(F.col("ancestor").isin(*asked)).select(F.col("genre").alias(genre))
+    own = df.sparkSession.createDataFrame([(g,) for g in asked], f"{genre} string")
+    return df.join(below.union(own).distinct(), genre, "left_semi")
