@@ -1,7 +1,8 @@
 """Personal data by fixed patterns and a semi-Markov conditional random field.
 
 The patterns give the base spans, which always stay. The field then looks where
-patterns do not reach (obfuscated addresses, numbers without their usual marks).
+patterns do not reach (obfuscated addresses, numbers without their usual marks,
+keys and passwords that a text gives away beside their name).
 Its segments are whole candidate spans of at most SPAN tokens, scored by
 features of the span as a whole (shape, digit count, checks, the word before
 it); everything else is single tokens of kind O. Dynamic programming over the
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, slices
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds of the field: those of the patterns, and secrets.
+FIELD_KINDS = (*KINDS, "secret")
 #: The base patterns of the contract (fixed values).
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -35,12 +38,15 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Tokens in the longest segment.
 SPAN = 9
-TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
-#: Every segment holds a digit, or the word that stands for @.
-HOT = re.compile(r"[0-9]+|(?<![^\W\d_])[aA][tT](?![^\W\d_])")
+#: Runs of at least KEY letters and digits, both among them, are one token; they read the same backwards, as all tokens do.
+KEY = 20
+TOKEN = re.compile(rf"(?<![^\W_])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{{{KEY},}}+(?![^\W_])|[0-9]+|[^\W\d_]+|[^\w\s]|_")
+#: Every segment holds a run of letters and digits with a digit, or the word that stands for @.
+HOT = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+|(?<![^\W\d_])[aA][tT](?![^\W\d_])")
+_RUN = re.compile(r"[^\W_]*")
 #: Tokens on each side of it that its segments and their features can reach.
 REACH = SPAN + 3
-CUES = {"email": {"mail", "email", "contact", "write"}, "ip": {"ip", "host", "address", "server"}, "card": {"card", "visa", "mastercard", "amex"}, "phone": {"phone", "call", "tel", "mobile", "fax", "telephone"}}
+CUES = {"email": {"mail", "email", "contact", "write"}, "ip": {"ip", "host", "address", "server"}, "card": {"card", "visa", "mastercard", "amex"}, "phone": {"phone", "call", "tel", "mobile", "fax", "telephone"}, "secret": {"token", "key", "apikey", "secret", "password", "passwd", "pwd", "bearer"}}
 
 
 def luhn(digits: str) -> bool:
@@ -52,7 +58,11 @@ def luhn(digits: str) -> bool:
 
 
 def _number(word: str) -> bool:
-    return "0" <= word[0] <= "9"
+    return word.isascii() and word.isdigit()
+
+
+def _keylike(word: str) -> bool:
+    return len(word) >= KEY and word.isascii() and word.isalnum() and not word.isalpha() and not word.isdigit()
 
 
 def _digits(text: str) -> str:
@@ -101,6 +111,9 @@ def span_features(kind: str, words: list[str], a: int, b: int, seen: str) -> tup
     low = [w.lower() for w in own]
     d = _digits(seen)
     before = next((w.lower() for w in reversed(words[max(0, a - 3) : a]) if w[0].isalpha()), "")
+    if kind == "secret":
+        marks = [w for w in words[max(0, a - 2) : a] if not w[0].isalnum()]
+        return tuple(f"{kind}|{x}" for x in ("bias", f"cue{before in CUES[kind]}", f"given{any(w in '=:' for w in marks)}", f"hex{set(low[0]) <= set('0123456789abcdef')}", f"length{min(len(seen) // 8, 10)}"))
     groups = [w for w in own if _number(w)]
     shape = re.sub("[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", seen))
     f = [f"digits{min(len(d), 20)}", f"shape:{shape}", f"groups{len(groups)}", f"cue{before in CUES[kind]}", "bias"]
@@ -143,7 +156,7 @@ def candidates(words: list[str], spans: list[tuple[int, int]], text: str) -> lis
                     out.append((a, b, "card"))
                 if 7 <= digits <= 15 and b - a >= 2:
                     out.append((a, b, "phone"))
-    return out
+    return out + [(i, i + 1, "secret") for i, w in enumerate(words) if _keylike(w)]
 
 
 def _logadd(x: float, y: float) -> float:
@@ -216,9 +229,9 @@ def _reach(ahead, left: int) -> int:
     """Characters that hold the next REACH tokens of ahead(n), the next n of `left` characters (tokens read the same backwards)."""
     n = 200
     while True:
-        last = 0
-        for k, m in enumerate(TOKEN.finditer(ahead(n)), 1):
-            if m.end() == n and n < left:  # the token may go on
+        last, seen = 0, ahead(n)
+        for k, m in enumerate(TOKEN.finditer(seen), 1):
+            if n < left and (m.end() == n or _RUN.fullmatch(seen, m.start())):  # the token, or a run that may be one, goes on
                 break
             last = m.end()
             if k == REACH:
@@ -235,12 +248,18 @@ def examples(n: int, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
     word = lambda: "".join(rng.choice(syll) for _ in range(rng.randint(1, 3)))
     num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
 
+    def mixed() -> str:
+        letters = rng.choice(["abcdef", "abcdef", "ABCDEF", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+        return "a" + "".join(rng.choice("0123456789" + letters) for _ in range(rng.choice([22, 30, 38, 62]))) + "7"
+
     def card() -> str:
         d = rng.choice("3456") + num(14)
         return next(d + c for c in "0123456789" if luhn(d + c))
 
     def entity() -> tuple[str, str]:
-        kind = rng.choice(KINDS)
+        kind = rng.choice(FIELD_KINDS)
+        if kind == "secret":
+            return kind, mixed()
         if kind == "email":
             at, dot = rng.choice([(" at ", " dot "), ("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", "."), (" AT ", " DOT ")])
             return kind, f"{word()}{at}{word()}{dot}{rng.choice(['com', 'org', 'net', 'de', 'fr'])}"
@@ -253,7 +272,7 @@ def examples(n: int, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
         return kind, rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"({a}) {b} {c}"])
 
     def other() -> str:
-        return rng.choice([num(rng.randint(1, 6)), num(16), f"{num(4)}-{num(2)}-{num(2)}", f"{num(2)}:{num(2)}", f"{num(1)}.{num(2)}", f"{num(3)} {num(3)}", f"at {word()}", f"{word()} at {word()} and {word()}", f"look at the {word()}. {word().title()}", f"{num(4)}/{num(4)}", f"{num(2)}-{num(5)}", f"{num(4)} {num(4)} {num(4)} {num(4)}", f"v{num(1)}.{num(1)}.{num(2)}"])
+        return rng.choice([num(rng.randint(1, 6)), num(16), f"{num(4)}-{num(2)}-{num(2)}", f"{num(2)}:{num(2)}", f"{num(1)}.{num(2)}", f"{num(3)} {num(3)}", f"at {word()}", f"{word()} at {word()} and {word()}", f"look at the {word()}. {word().title()}", f"{num(4)}/{num(4)}", f"{num(2)}-{num(5)}", f"{num(4)} {num(4)} {num(4)} {num(4)}", f"v{num(1)}.{num(1)}.{num(2)}", f"{rng.choice(['sha', 'commit', 'id', 'etag', word()])}{rng.choice([' ', ': ', '='])}{mixed()}"])
 
     out = []
     for _ in range(n):
@@ -262,11 +281,13 @@ def examples(n: int, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
             text += " " + " ".join(word() for _ in range(rng.randint(0, 4)))
             if rng.random() < 0.5:
                 kind, e = entity()
-                if rng.random() < 0.4:
+                secret = kind == "secret"
+                if secret or rng.random() < 0.4:
                     text += f" {rng.choice(sorted(CUES[kind]))}"
-                text += " "
+                text += rng.choice([' = "', '="', "=", ": ", " "]) if secret else " "
+                quoted = text.endswith('"')
                 spans.append((kind, len(text), len(text) + len(e)))
-                text += e
+                text += e + '"' * quoted
             else:
                 text += f" {other()}"
         out.append((text + f" {word()}", spans))
@@ -327,16 +348,16 @@ def all_spans(text: str, field: SemiMarkov) -> tuple[list[tuple[str, int, int]],
         before = bisect_left(starts, b)  # of the disjoint stretches that begin before b, the last ends last
         if not before or taken[before - 1][1] <= a:
             more.append((kind, a, b))
-    order = {k: i for i, k in enumerate(KINDS)}
+    order = {k: i for i, k in enumerate(FIELD_KINDS)}
     return base, sorted(base + more, key=lambda s: (order[s[0]], s[1]))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row of `docs`.
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, n_spans) for every row of `docs`.
 
     Counts and digest are of the base spans (kind:start:end, code points, end
     exclusive, by kind in the order of KINDS, then start, comma-joined); spans
-    also holds the field's. Null counts as empty; texts are scanned whole;
+    also holds the field's, secrets last; n_secret and n_spans count there. Null counts as empty; texts are scanned whole;
     repeated rows and null ids are kept; other columns are ignored; an empty
     table gives no rows.
     """
@@ -349,8 +370,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for text in b.column("text").to_pylist():
                 base, spans = all_spans(text or "", field)
                 name = lambda s: ",".join(f"{k}:{x}:{y}" for k, x, y in s)
-                rows.append((*[sum(s[0] == k for s in base) for k in KINDS], hashlib.sha256(name(base).encode()).hexdigest(), name(spans)))
+                rows.append((*[sum(s[0] == k for s in base) for k in KINDS], hashlib.sha256(name(base).encode()).hexdigest(), name(spans), sum(s[0] == "secret" for s in spans), len(spans)))
             cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:4]], *[pa.array(c) for c in cols[4:]]], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:4]], *[pa.array(c) for c in cols[4:6]], *[pa.array(c, pa.int64()) for c in cols[6:]]], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_secret", "n_spans"])
 
-    return arrow_map(docs, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return arrow_map(docs, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_secret long, n_spans long")

@@ -438,7 +438,7 @@ def test_pii_base_spans_equal_the_plain_patterns():
 def test_pii_windows_hold_every_segment():
     """The field over its stretches equals the field over whole texts, whatever stands between the tokens."""
     rng = np.random.default_rng(5)
-    parts = ["jo", "at", "AT", "aT", "site", "dot", "com", " ", " ", "\t", "\n", "[", "]", "(", ")", "_", ".", "h" * 70, " " * 90, "12", "345", "6789", "²", "+", "-", "/", "word " * 30, "look at the "]
+    parts = ["jo", "at", "AT", "aT", "site", "dot", "com", " ", " ", "\t", "\n", "[", "]", "(", ")", "_", ".", "h" * 70, " " * 90, "12", "345", "6789", "²", "+", "-", "/", "word " * 30, "look at the ", "token", "key", "=", '"', "a1b2c3d4e5f6a7b8c9d0e1", "f00", "é", "A1" * 120]
     field, seen = pii.model(), 0
     for _ in range(6000):
         text = "".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(3, 40)))
@@ -482,6 +482,10 @@ def test_pii(docs, empty, spark):
                 assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in base) for k in pii.KINDS]
                 assert set(name.split(",")) - {""} <= set(r["spans"].split(","))
     assert got[102][0]["spans"].startswith("email:")
+    key = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
+    told = {1: f'the token = "{key}" of', 2: f"commit {key}", 3: f"PASSWORD: {key}", 4: f"mail a@b.c, token={key}", 5: "token = short1", 6: f"token = é{key}"}
+    secrets = {r["doc_id"]: (r["n_secret"], r["n_spans"], r["spans"]) for r in pii.personal_data(_docs(spark, [*told.items()])).collect()}
+    assert secrets == {1: (1, 1, "secret:13:53"), 2: (0, 0, ""), 3: (1, 1, "secret:10:50"), 4: (1, 2, "email:5:10,secret:18:58"), 5: (0, 0, ""), 6: (0, 0, "")}
     assert pii.personal_data(empty).count() == 0
 
 
