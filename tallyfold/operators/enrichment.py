@@ -87,8 +87,9 @@ def pending(wanted: DataFrame, cache: DataFrame, key: str) -> DataFrame:
 
 def single_match(results: DataFrame, key: str, least: int = 90) -> DataFrame:
     """Lookup results with a score of `least` or more, where the key has exactly one."""
-    good = results.where(F.col("score") >= least)
-    return good.withColumn("_n", F.count("*").over(Window.partitionBy(key))).where("_n = 1").drop("_n")
+    # an aggregate, so a key with very many results holds one row in memory
+    good = results.where(F.col("score") >= least).groupBy(key).agg(F.count("*").alias("_n"), F.first(F.struct(*results.columns)).alias("_r"))
+    return good.where("_n = 1").select("_r.*")
 
 
 def bill_links(bills: DataFrame, artists: DataFrame) -> DataFrame:

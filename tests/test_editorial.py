@@ -129,3 +129,21 @@ def test_orders_and_genre_lists(spark):
     g = spark.createDataFrame([(1, "Rock"), (2, "Punk"), (3, "Pop"), (4, None)], "id int, genre string")
     tree = spark.createDataFrame([("Punk", "Rock")], "genre string, ancestor string")
     assert {r.id for r in calendar.in_genres(g, "genre", ["Rock"], tree).collect()} == {1, 2}
+
+
+def test_feeds_and_calendar_files(spark):
+    from tallyfold.sources import registry, sinks
+
+    pages = spark.createDataFrame([("a", "b"), ("b", None)], "cursor string, after string")
+    assert registry.whole_feed(pages, "cursor", "after").count() == 2
+    for bad in ([("a", "b"), ("b", "b")], [("a", "c"), ("b", "c")]):
+        with pytest.raises(ValueError):
+            registry.whole_feed(spark.createDataFrame(bad, pages.schema), "cursor", "after")
+    text = spark.range(1).select(sinks.ics_file(F.lit("BEGIN:VEVENT\r\nEND:VEVENT"), "-//x//y")).first()[0]
+    assert text.split("\r\n") == ["BEGIN:VCALENDAR", "VERSION:2.0", "PRODID:-//x//y", "CALSCALE:GREGORIAN", "BEGIN:VEVENT", "END:VEVENT", "END:VCALENDAR", ""]
+
+
+def test_names_keep_the_place_of_their_first_spelling():
+    from tallyfold.functions import titles
+
+    assert titles.unique(["Anna", "Bob", " ANNA ", "", "Carl", "bob"]) == ["Anna", "Bob", "Carl"]
