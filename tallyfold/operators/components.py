@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.staging import cut
+from ..sources.staging import cut
 
 
 def _large(e: DataFrame) -> DataFrame:

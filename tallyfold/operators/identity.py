@@ -34,7 +34,7 @@ def ticket_key(url: Column | str) -> Column:
 
 
 def _sides(df: DataFrame, row: str, tag: str) -> DataFrame:
-    from ..plans.staging import cut
+    from ..sources.staging import cut
 
     bill = F.concat_ws(" + ", "headliner", F.coalesce("co_headliners", F.array().cast("array<string>")))
     keys = {"row": F.col(row), "day": F.to_date("day"), "time": F.nullif(F.col("time"), F.lit("")), "ticket": ticket_key("ticket"), "venue": F.nullif(F.concat_ws("|", fold("venue", "venue"), fold("city", "city")), F.lit("|")), "name": phrase(F.col("headliner")), "bill": phrase(bill), "title": F.col("headliner")}

@@ -54,7 +54,7 @@ def greedy_match(edges: DataFrame, left: str, right: str, score: str, rounds: in
     cluster instead; one that takes more than `rounds` is an error, never a
     partial result. Edges with a null end match nothing.
     """
-    from ..plans.staging import cut
+    from ..sources.staging import cut
 
     edges = cut(edges.select(left, right, score).where(F.col(left).isNotNull() & F.col(right).isNotNull()).distinct())
     ends = [F.xxhash64(F.lit(i), c) for i, c in enumerate((left, right))]  # equal hashes would only join two components
@@ -89,7 +89,7 @@ def _passes(placed: DataFrame, left: str, right: str, score: str) -> DataFrame:
 
 def _rounds(edges: DataFrame, left: str, right: str, score: str, rounds: int) -> DataFrame:
     """Each round takes every edge that ranks first at both its ends among edges with free ends; hot ends meet in partial minima."""
-    from ..plans.staging import cut
+    from ..sources.staging import cut
 
     taken, kind = None, edges.schema[score].dataType
     rank = F.struct((-F.col(score)).alias("_s"), F.col(left).alias("_l"), F.col(right).alias("_r"))

@@ -11,9 +11,9 @@ from ..functions import keys as K
 from ..operators import enrichment, identity, listings, places, reports, snapshots
 from ..sources import registry as sources
 from ..sources import sinks
+from ..sources.staging import folder
 from ..sources.tables import table
 from .registry import HALF, NOW, day, query
-from .staging import folder
 
 
 def _ntz(text: str):

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.staging import folder
+from ..sources.staging import folder
 
 
 def first_seen(events: DataFrame, delay: str = "7 days") -> DataFrame:

@@ -147,3 +147,11 @@ def test_names_keep_the_place_of_their_first_spelling():
     from tallyfold.functions import titles
 
     assert titles.unique(["Anna", "Bob", " ANNA ", "", "Carl", "bob"]) == ["Anna", "Bob", "Carl"]
+
+
+def test_periods_begin_on_mondays(spark):
+    from tallyfold.streaming.first_seen import period_counts
+
+    e = spark.createDataFrame([("2026-11-15 23:59:59", "a"), ("2026-11-16 00:00:00", "a"), ("2026-11-22 23:00:00", "a"), ("2026-11-18 10:00:00", "b")], "at string, event_type string").select(F.to_timestamp_ntz("at").alias("ts"), "event_type")
+    got = {(str(r.window.start)[:10], r.event_type): r["count"] for r in period_counts(e).collect()}
+    assert got == {("2026-11-09", "a"): 1, ("2026-11-16", "a"): 2, ("2026-11-16", "b"): 1}
