@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontam, license_scan, line_dedup, minhash, packing, pii, sharding, suffix_dedup, toxicity
+from . import alignment, ann, centroids, decontam, license_scan, line_dedup, minhash, packing, pii, sharding, suffix_dedup, toxicity, warc
 from .common import read_table
 
 
@@ -53,10 +53,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_statistics(read_table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(warc.archived(read_table(spark, sf_dir, "pages")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_line_dedup, op2_license_scan, op3_toxicity, op4_packing, op5_ann, op6_decontamination, op7_suffix_dedup, op8_minhash, op9_sharding, op10_pii)
+    own = (op1_line_dedup, op2_license_scan, op3_toxicity, op4_packing, op5_ann, op6_decontamination, op7_suffix_dedup, op8_minhash, op9_sharding, op10_pii, op11_alignment, op12_centroids, op13_warc)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.line_dedup_sql(), "op6_decontamination": decontam.contamination_sql(), "op8_minhash": minhash.near_duplicates_sql(), "op9_sharding": sharding.place_sql()}
+    return {"op1_line_dedup": line_dedup.line_dedup_sql(), "op6_decontamination": decontam.contamination_sql(), "op8_minhash": minhash.near_duplicates_sql(), "op9_sharding": sharding.place_sql(), "op12_centroids": centroids.cluster_sql(), "op13_warc": warc.page_records_sql()}
