@@ -173,6 +173,8 @@ class _Stream:
             data = self.rest or self.raw.read(self.chunk)
             self.rest = b""
             if not data:
+                if self.gzip and not self.member.eof:
+                    raise ValueError("an archive ends inside a gzip member")
                 return False
             if not self.gzip:
                 self.held += data
