@@ -165,12 +165,16 @@ class Index:
             out[own] = self.first[i] + self.inner[i](x[own]).argmax(1)
         return out
 
-    def probes(self, x: np.ndarray) -> list[tuple[np.ndarray, int]]:
-        """For each query its parts, most probable first, and how many of them hold FIRST of the probability."""
+    def probes(self, x: np.ndarray, sizes: np.ndarray, k: int) -> list[tuple[np.ndarray, int]]:
+        """For each query its parts, most probable first, and how many of them hold FIRST of the probability.
+
+        sizes: rows of each part. Parts go on until they hold k rows besides the query itself, or all rows.
+        """
         p = self.probabilities(x)
         order = np.argsort(-p, axis=1, kind="stable").astype(np.int32)
         mass = np.cumsum(np.take_along_axis(p, order, 1), axis=1)
-        n = np.minimum(np.maximum((mass < MASS).sum(1) + 1, PROBES), p.shape[1])
+        enough = (np.cumsum(sizes[order], axis=1) <= k).sum(1) + 1
+        n = np.minimum(np.maximum(np.maximum((mass < MASS).sum(1) + 1, PROBES), enough), p.shape[1])
         early = np.minimum(np.maximum((mass < FIRST).sum(1) + 1, PROBES), n)
         return [(o[:m], int(e)) for o, m, e in zip(order, n, early, strict=True)]
 
@@ -248,18 +252,29 @@ def train(base: DataFrame, count: int) -> tuple[Index, int]:
 
 
 def routed(base: DataFrame, index: Index, size: int) -> DataFrame:
-    """(id, v, part, probes, early): each row's part, and for queries the parts to search and how many of them come first."""
+    """(id, v, part, query): the part of each row."""
 
     def route(batches):
         for b in batches:
             if b.num_rows:
-                x = matrix(b.column("v"), size)
-                query = b.column("query").to_numpy(zero_copy_only=False)
-                asks = iter(index.probes(x[query]) if query.any() else ())
-                mine = [next(asks) if q else (None, None) for q in query]
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(index.places(x)), pa.array([m[0] for m in mine], pa.list_(pa.int32())), pa.array([m[1] for m in mine], pa.int32())], ["id", "v", "part", "probes", "early"])
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(index.places(matrix(b.column("v"), size))), b.column("query")], ["id", "v", "part", "query"])
+
+    return arrow_map(base.where(F.size("v") == size), route, f"id long, v {base.schema['v'].dataType.simpleString()}, part int, query boolean")
+
+
+def asked(rows: DataFrame, index: Index, size: int, k: int) -> DataFrame:
+    """(id, v, probes, early) of the queries among routed rows: the parts to search and how many of them come first."""
+    sizes = np.zeros(index.parts, np.int64)
+    for r in rows.groupBy("part").count().collect():  # a row for each part, MOST * MOST at most
+        sizes[r["part"]] = r["count"]
+
+    def ask(batches):
+        for b in batches:
+            if b.num_rows:
+                probes = index.probes(matrix(b.column("v"), size), sizes, k)
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array([p for p, _ in probes], pa.list_(pa.int32())), pa.array([e for _, e in probes], pa.int32())], ["id", "v", "probes", "early"])
 
-    return arrow_map(base.where(F.size("v") == size), route, f"id long, v {base.schema['v'].dataType.simpleString()}, part int, probes array<int>, early int")
+    return arrow_map(rows.where("query").select("id", "v"), ask, f"id long, v {rows.schema['v'].dataType.simpleString()}, probes array<int>, early int")
 
 
 def search(rows: DataFrame, asked: DataFrame, size: int, k: int) -> DataFrame:
@@ -297,7 +312,9 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vector_col
     zero vectors, vectors with null or non-finite components, of another length
     than most of the sample, or without an id take no part. Equal vectors tie
     and go by id; a repeated id counts once (its least vector). Every row is
-    indexed; only the fit uses a sample. An empty table gives no rows.
+    indexed; only the fit uses a sample. A query whose probable parts hold fewer
+    than k other rows goes on to further ones, so it gets k rows, or all others
+    where there are fewer. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -307,7 +324,7 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vector_col
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index, size = train(base, count)
     rows = materialize(routed(base, index, size))
-    asks = rows.where("probes is not null")
+    asks = materialize(asked(rows, index, size, k))
     none = F.lit(float("-inf"))
     first = materialize(search(rows.select("id", "v", "part"), asks.select("id", "v", F.explode(F.slice("probes", F.lit(1), F.col("early"))).alias("part"), none.alias("floor")), size, k))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

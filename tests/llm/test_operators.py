@@ -289,9 +289,10 @@ def test_ann_answers_from_learned_partitions(spark, clustered, most, monkeypatch
     base = ann.materialize(ann.usable(vectors, "vec_id % 20 = 0", "vec_id", "embedding"))
     index, size = ann.train(base, n)
     assert (index.inner is not None) == (most == 8) and index.parts >= 32
-    rows = ann.routed(base, index, size).select("id", "part", "probes").toPandas().set_index("id").sort_index()
-    part, asks = rows["part"].to_numpy(), [i for i in range(n) if i % 20 == 0]
-    scanned = np.mean([np.isin(part, rows["probes"][i]).mean() for i in asks])
+    rows = ann.materialize(ann.routed(base, index, size))
+    part, asks = rows.select("id", "part").toPandas().set_index("id").sort_index()["part"].to_numpy(), [i for i in range(n) if i % 20 == 0]
+    probes = ann.asked(rows, index, size, 20).select("id", "probes").toPandas().set_index("id")["probes"]
+    scanned = np.mean([np.isin(part, probes[i]).mean() for i in asks])
     assert scanned < (0.25 if clustered else 0.85)
     got = ann.nearest(vectors, "vec_id % 20 = 0").toPandas()
     found = got.groupby("query_id")["vec_id"].apply(set)
@@ -554,3 +555,34 @@ def test_queries_equal_their_sql(spark):
         columns = sorted(theirs.columns)
         rows = lambda f: sorted((tuple(r) for r in f[columns].astype(object).values.tolist()), key=str)  # noqa: B023, E731
         assert columns == sorted(ours.columns) and rows(ours) == rows(theirs), name
+
+
+@pytest.mark.parametrize("n", [2, 12, 25, 60])
+def test_ann_small_tables_give_all_answers(spark, n):
+    rng = np.random.default_rng(n)
+    vectors = spark.createDataFrame([(20 * i, [float(x) for x in rng.normal(size=64)]) for i in range(n)], "vec_id long, embedding array<float>")
+    got = collections.Counter(r["query_id"] for r in ann.nearest(vectors, "vec_id % 20 = 0").collect())
+    assert got == {20 * i: min(20, n - 1) for i in range(n)}
+
+
+def test_ann_one_part_holds_nearly_all(spark):
+    rng = np.random.default_rng(0)
+    rows = [(20 * i, [float(x) for x in rng.normal(size=8)]) for i in range(40)] + [(1000 + i, [1.0, *[0.0] * 7]) for i in range(800)]
+    got = collections.Counter(r["query_id"] for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id < 800").collect())
+    assert got == {20 * i: 20 for i in range(40)}
+
+
+def test_minhash_many_texts_of_one_id(spark):
+    words = [f"w{i}" for i in range(300)]
+    texts = [(7, " ".join(f"v{k}" if i == k % 300 else w for i, w in enumerate(words))) for k in range(600)]
+    got = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert len(got) == 600 and {r["component_id"] for r in got} == {7}
+
+
+def test_license_scan_of_a_text_of_many_lines(spark):
+    notice = license_scan.TEMPLATES["mpl-2.0"][-1]
+    lines = [f"line {i} of the program" for i in range(40_000)]
+    for at in (0, 20_000, 39_999):
+        lines[at] = notice
+    got = license_scan.license_paragraphs(spark.createDataFrame([(1, "\n".join(lines)), (2, notice)], "doc_id long, text string")).where("confirmed").collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["family"]) for r in got) == [(1, 0, "mpl-2.0"), (1, 20_000, "mpl-2.0"), (1, 39_999, "mpl-2.0"), (2, 0, "mpl-2.0")]
