@@ -16,7 +16,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Short notices of the licence families (fixed values).
@@ -195,11 +195,10 @@ def license_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for w in (*CUES, *part_cues()):
         here = F.contains(low, F.lit(w))  # quick; short words also need bounds
         some |= here if len(w) > 4 else here & low.rlike(f"(?<![a-z0-9]){re.escape(w)}(?![a-z0-9])")
-    parts = F.transform(F.split(text, "\n", -1), lambda t, p: F.struct(p.alias("p"), t.alias("t"), _words(t).alias("w")))
-    texts = docs.where(some).select(F.col(id_col).alias("doc_id"), F.filter(parts, lambda x: F.size(x["w"]) > 0).alias("_l"))
-    # each line with those behind it that a notice beginning in it can reach
-    reach = F.transform(F.sequence(F.lit(1), F.size("_l")), lambda i: F.slice("_l", i, F.least(F.lit(LONGEST), F.size("_l") - i + 1)))
-    starts = texts.withColumn("_row", F.monotonically_increasing_id()).select("_row", "doc_id", F.explode(F.when(F.size("_l") > 0, reach)).alias("_s"))
+    texts = docs.where(some).select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"), text.alias("text")).select("_row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "t"))
+    # each line with those behind it that a notice beginning in it can reach: a row holds LONGEST lines at most, however long the text
+    reach = Window.partitionBy("_row").orderBy("p").rowsBetween(0, LONGEST - 1)
+    starts = texts.withColumn("w", _words(F.col("t"))).where(F.size("w") > 0).select("_row", "doc_id", F.collect_list(F.struct("p", "t", "w")).over(reach).alias("_s"))
     more = lambda a, x: F.when(a["n"] < LONGEST - 1, F.struct((a["n"] + F.size(x["w"])).alias("n"), (a["k"] + 1).alias("k"))).otherwise(a)
     most = F.aggregate(F.slice("_s", 2, LONGEST), F.struct(F.lit(0).alias("n"), F.lit(1).alias("k")), more)["k"]
     starts = starts.withColumn("_k", most).withColumn("_w", F.flatten(F.transform(F.slice("_s", F.lit(1), F.col("_k")), lambda x: x["w"])))
@@ -232,7 +231,11 @@ def license_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lines = lines.withColumn("confirmed", sure)
     one = F.struct((-F.col("similarity")).alias("far"), F.col("_k").alias("k"), "paragraph", F.col("_end").alias("end"), "text", "family", "probability", "similarity", "confirmed")
     kept = F.col("confirmed") | ((F.col("_k") == 1) & cue(F.col("text")))
-    found = lines.groupBy("_row").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.when(kept, one))).alias("_all"))
+    # what overlaps, directly or through others, is settled together
+    before = Window.partitionBy("_row").orderBy("paragraph", "_end")
+    lines = lines.where(kept).withColumn("_reached", F.max("_end").over(before.rowsBetween(Window.unboundedPreceding, -1)))
+    lines = lines.withColumn("_island", F.count_if(F.col("_reached").isNull() | (F.col("paragraph") > F.col("_reached"))).over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    found = lines.groupBy("_row", "_island").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(one)).alias("_all"))
     meets = lambda x, y: (x["paragraph"] <= y["end"]) & (y["paragraph"] <= x["end"])
     place = lambda x: F.struct(x["paragraph"].alias("paragraph"), x["end"].alias("end"))
     taken = F.aggregate(F.filter("_all", lambda x: x["confirmed"]), F.array().cast("array<struct<paragraph:int,end:int>>"), lambda a, x: F.when(F.exists(a, lambda y: meets(x, y)), a).otherwise(F.array_append(a, place(x))))
