@@ -17,7 +17,6 @@ pairs back.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, shared_dir, ship, slices
+from .common import arrow_map, ship, slices, staged
 from .packing import Encoder, vocabulary_path
 
 #: Bytes of text of one block; a longer single text forms a block of its own.
@@ -245,7 +244,6 @@ def _scored(blocks: pa.Table, found: pa.Table) -> pa.Table:
 
 def blocks_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, pieces: str | None = None) -> DataFrame:
     """Aligned blocks of some MB of text, written once into the shared folder and read back."""
-    spark = docs.sparkSession
 
     def run(batches):
         tok = _pair(vocabulary, pieces)
@@ -253,10 +251,7 @@ def blocks_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
         for k, batch in enumerate(slices(batches, limit=BLOCK_BYTES)):
             yield _block(batch, tok, first + k)
 
-    shared_dir(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/alignment-{uuid.uuid4().hex}"
-    arrow_map(_read(docs, id_col, text_col), run, _BLOCK).write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    return staged(arrow_map(_read(docs, id_col, text_col), run, _BLOCK), "alignment")
 
 
 def pair_counts(blocks: DataFrame, n_b: int) -> DataFrame:

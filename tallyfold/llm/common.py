@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -56,6 +57,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df, written once as compressed Parquet into the shared folder and read back; smaller than a checkpoint where rows hold texts."""
+    df.write.option("compression", "zstd").parquet(path := f"{shared_uri(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+    return df.sparkSession.read.parquet(path)
+
+
+def shared_uri(spark: SparkSession) -> str:
+    """The checkpoint folder with all the slashes that a URI has."""
+    shared_dir(spark)
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"file:///{folder[5:].lstrip('/')}" if folder.startswith("file:") else folder
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

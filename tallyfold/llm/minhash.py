@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, NONSPACE, arrow_map, heavy_light, materialize, mix, prefix_hash, scan_words, slices, span_hash, text_buffers
+from .common import LOWER, NONSPACE, arrow_map, heavy_light, materialize, mix, prefix_hash, scan_words, slices, span_hash, staged, text_buffers
 from .components import components
 
 HASHES, ROWS, BITS = 160, 5, 4
@@ -158,6 +158,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns of any name are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    n = docs.agg(F.count("doc_id").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    # what names the text of a node: its id, or a number where ids repeat
+    docs = docs.withColumn("row", F.col("doc_id")) if n["rows"] == n["ids"] else staged(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
 
     def signatures(batches):
         for b in slices(batches):
@@ -168,17 +171,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             at = dict(zip(full, range(len(full)), strict=True))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"),
+                "row": b.column("row"),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "node": pa.array(keys, pa.binary()),
                 "sig": pa.array([sig[at[i]].tobytes() if i in at else None for i in range(len(sets))], pa.binary()),
                 "bands": pa.array([bands[at[i]].tobytes() if i in at else None for i in range(len(sets))], pa.binary()),
             })
 
-    signed = materialize(arrow_map(docs, signatures, "doc_id long, n_shingles long, node binary, sig binary, bands binary"))
+    signed = materialize(arrow_map(docs, signatures, "doc_id long, row long, n_shingles long, node binary, sig binary, bands binary"))
     linkable = signed.where("doc_id is not null and node is not null")
-    nodes = linkable.groupBy("node").agg(F.min("doc_id").alias("min_id"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "sig", "bands", "n_shingles")).alias("s"))
+    nodes = linkable.groupBy("node").agg(F.min("doc_id").alias("min_id"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "row", "sig", "bands", "n_shingles")).alias("s"))
     # numbered once written, so that everything after meets on longs
-    nodes = materialize(nodes.select("node", "min_id", "copies", "s.sig", "s.bands", F.col("s.n_shingles").alias("size"), F.monotonically_increasing_id().alias("id")))
+    nodes = materialize(nodes.select("node", "min_id", "s.row", "copies", "s.sig", "s.bands", F.col("s.n_shingles").alias("size"), F.monotonically_increasing_id().alias("id")))
 
     banded = nodes.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(k.alias("band"), F.substring("bands", k * 8 + 1, F.lit(8)).alias("key")))).alias("b")).select("id", "b.band", "b.key")
     hubs = banded.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
@@ -186,8 +190,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = blocks.join(nodes, "id")
     parts = placed.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("size") / BLOCK_SHINGLES)).alias("parts"))
     # tasks: (block, chunk); a block within the bounds has one chunk
-    members = materialize(placed.join(parts, "root").select("id", "node", "min_id", "sig", "bands", "root", "parts", F.expr("pmod(xxhash64(id), parts)").alias("part")))
-    with_text = lambda m: m.join(docs, m["min_id"] == docs["doc_id"]).drop("doc_id", "min_id")
+    members = materialize(placed.join(parts, "root").select("id", "node", "row", "sig", "bands", "root", "parts", F.expr("pmod(xxhash64(id), parts)").alias("part")))
+    with_text = lambda m: m.join(docs.select("row", "text"), "row").drop("row")
 
     def solve(tag):
         def run(batches):
@@ -195,13 +199,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 t = t.combine_chunks()
                 sets = shingle_sets(*text_buffers(t.column("text")), shingle)
                 keys, want = set_keys(sets), t.column("node").to_pylist()
-                first: dict[bytes, int] = {}
-                for i, (k, w) in enumerate(zip(keys, want, strict=True)):
-                    if k == w:  # rows that repeat an id may have other texts
-                        first.setdefault(k, i)
-                own = list(first.values())
-                if not own:
-                    continue
+                if keys != want:
+                    raise RuntimeError("a text is not the one that was signed")
+                own = list(range(len(keys)))
                 sig = np.frombuffer(b"".join(t.column("sig").take(own).to_pylist()), np.uint8).reshape(len(own), -1)
                 bands = np.frombuffer(b"".join(t.column("bands").take(own).to_pylist()), np.int64).reshape(len(own), -1)
                 side = np.array(t.column("side").take(own).to_pylist()) if tag else None
@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         fan = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("other <> part")
         fan = fan.withColumn("task", F.xxhash64("root", F.least("part", "other"), F.greatest("part", "other")))
         live = fan.where("side").select("task").distinct()
-        more = tasks(with_text(fan.join(live, "task", "left_semi").select("id", "node", "min_id", "sig", "bands", "task", "side")), True)
+        more = tasks(with_text(fan.join(live, "task", "left_semi").select("id", "node", "row", "sig", "bands", "task", "side")), True)
         linked = components(edges.union(materialize(more))).withColumnRenamed("node", "id")
 
     named = linked.join(nodes.select("id", "node", "min_id"), "id")

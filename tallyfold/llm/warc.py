@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, heavy_light, materialize, shared_dir, text_buffers
+from .common import arrow_map, heavy_light, materialize, shared_uri, staged, text_buffers
 
 #: Bytes of a chunk.
 CHUNK = 1 << 18
@@ -295,16 +295,14 @@ def archived(pages: DataFrame, path: str | None = None, id_col: str = "page_id",
     default.
     """
     spark = pages.sparkSession
-    shared_dir(spark)
-    path = path or f"{_uri(spark)}/archives-{uuid.uuid4().hex}"
+    path = path or f"{shared_uri(spark)}/archives-{uuid.uuid4().hex}"
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("target_uri"), F.col(payload_col).cast("string").alias("payload"))
     ids = rows.agg(F.count("*").alias("rows"), F.count_distinct("id").alias("ids")).first()
     if ids["rows"] == ids["ids"]:
         rows = rows.withColumn("key", F.col("id"))
         facts = payload_facts(rows, "key", "payload", chunk).withColumn("id", F.col("key"))
     else:
-        rows.withColumn("key", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(staged := f"{_uri(spark)}/pages-{uuid.uuid4().hex}")
-        rows = spark.read.parquet(staged)
+        rows = staged(rows.withColumn("key", F.monotonically_increasing_id()), "pages")
         facts = payload_facts(rows, "key", "payload", chunk).join(rows.select("key", "id"), "key")
     kinds = revisits(materialize(facts), least)
     name = lambda i, k: F.concat(F.lit("urn:page:"), F.coalesce(i.cast("string"), F.lit("")), F.lit(":"), k.cast("string"))
@@ -312,12 +310,6 @@ def archived(pages: DataFrame, path: str | None = None, id_col: str = "page_id",
     return write_archives(rows.drop("id").join(kinds, "key"), path, chunk, file_bytes)
 
 
-def _uri(spark) -> str:
-    """The checkpoint folder with all the slashes that a URI has."""
-    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return f"file:///{folder[5:].lstrip('/')}" if folder.startswith("file:") else folder
-
-
 def page_records(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each page record, from the last chunks read back."""
     page = lambda c: F.nullif(F.split(c, ":")[2], F.lit("")).cast("long")
