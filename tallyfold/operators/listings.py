@@ -3,21 +3,29 @@
 Equal rows meet first in a native aggregate, so a block holds distinct
 (title, time, ticket, source) combinations whatever the volume of copies. The
 merge itself is not transitive and depends on an order, so it runs over a
-block's combinations, looked up by key, never over pairs.
+block's combinations, looked up by key, never over pairs. Rows only ever join a
+group through a key they share, so a large block falls apart into the connected
+parts of its rows and keys, which are merged each for itself with the same
+result.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import canonical_url, fold_promoter, fold_text, normal_time
+from ..functions.keys import canonical_url, fold_latin, fold_promoter, fold_text, normal_time
+from ..sources.staging import cut
+from .components import components
+from .programmes import headlined, reviewed_titles
 
 # Wordings that part or qualify bills.
-_PART = re.compile(r"\s+(?:&|x|\+|/|,|et|and)\s+|\s*,\s+", re.I)
+_PART = re.compile(r"\s+(?:&|x|\+|/|,)\s+|\s*,\s+", re.I)
 _QUALIFIER = re.compile(r"\s*\((?:live|[A-Z]{2,3}|(?:19|20)\d\d)\)|\s+(?:19|20)\d\d$|\s+live$", re.I)
 _TOUR = re.compile(r"\s*[–—:-]\s+.*\btour\b.*$|\s+\S*\s*tour(?:\s+\d{4})?$", re.I)
 _TRIBUTE = re.compile(r"\b(?:tribute|hommage|experience|cover)\b", re.I)
@@ -25,6 +33,9 @@ _PASS = re.compile(r"\b(?:pass|package|forfait)\b", re.I)
 _SET = re.compile(r"\b(?:1er set|2e set|first set|second set|early show|late show|matin[ée]e)\b", re.I)
 _GUESTS = re.compile(r"\s*\+\s*(?:special )?guests?\s*$", re.I)
 
+#: Rows of a block up to which one task takes it whole.
+BLOCK_ROWS = 2000
+
 
 def names_of(title: str) -> frozenset[str]:
     """Folded acts of a title without qualifiers and unnamed guests."""
@@ -32,6 +43,23 @@ def names_of(title: str) -> frozenset[str]:
     return frozenset(n for n in (fold_promoter(p) for p in _PART.split(bare)) if n)
 
 
+def read(x: dict) -> dict:
+    """A row {title, ...} with its acts, those of the title without a tour, and the kind of show."""
+    title = x["title"] or ""
+    marks = tuple(sorted(m.lower() for m in _SET.findall(title)))
+    bare = names_of(_TOUR.sub("", title)) or names_of(title)
+    return x | {"title": title, "strict": fold_text(_QUALIFIER.sub("", title)), "acts": names_of(title), "bare": bare, "kind": (marks, bool(_TRIBUTE.search(title)), bool(_PASS.search(title)))}
+
+
+def keys(x: dict) -> list[tuple]:
+    """What a row can meet others by; rows without a common key never share a group."""
+    kind, acts = (x["kind"],), x["acts"]
+    out = [("strict", x["strict"], *kind), ("acts", acts, *kind), *(("act", a, *kind) for a in acts)]
+    out += [("ticket", x["ticket"], *kind)] if x["ticket"] else []
+    out += [("acts", x["bare"], *kind), *(("act", a, *kind) for a in x["bare"])] if x["bare"] != acts else []
+    return out
+
+
 def groups_of(block: list[dict]) -> dict:
     """row -> group (least row) for one block's rows {row, title, time, source, official, ticket}.
 
@@ -43,17 +71,9 @@ def groups_of(block: list[dict]) -> dict:
     groups: list[dict] = []
     index: dict[tuple, list[int]] = {}
 
-    def keys(x: dict) -> list[tuple]:
-        kind = (x["kind"],)
-        strict, acts = fold_text(_QUALIFIER.sub("", x["title"])), x["acts"]
-        out = [("strict", strict, *kind), ("acts", acts, *kind), *(("act", a, *kind) for a in acts)]
-        out += [("ticket", x["ticket"], *kind)] if x["ticket"] else []
-        out += [("acts", x["bare"], *kind), *(("act", a, *kind) for a in x["bare"])] if x["bare"] != acts else []
-        return out
-
     def fits(x: dict, g: dict) -> bool:
         outside = x["source"] not in g["sources"]
-        strict = fold_text(_QUALIFIER.sub("", x["title"])) in g["strict"]
+        strict = x["strict"] in g["strict"]
         ticket = bool(x["ticket"]) and x["ticket"] in g["tickets"]
         equal = outside and x["acts"] in g["acts"]
         toured = outside and (x["bare"] in g["acts"] or x["acts"] in g["bares"] ) and not (x["bare"] != x["acts"] and g["toured"])
@@ -64,12 +84,7 @@ def groups_of(block: list[dict]) -> dict:
             return True
         return (strict or equal) and x["official"] != g["official"] and len(g["times"]) == 1
 
-    rows = []
-    for x in block:
-        title = x["title"] or ""
-        marks = tuple(sorted(m.lower() for m in _SET.findall(title)))
-        bare = names_of(_TOUR.sub("", title)) or names_of(title)
-        rows.append(x | {"title": title, "acts": names_of(title), "bare": bare, "kind": (marks, bool(_TRIBUTE.search(title)), bool(_PASS.search(title)))})
+    rows = [read(x) for x in block]
     for x in sorted(rows, key=lambda r: (not r["time"], not r["official"], -len(r["acts"]), r["title"], r["time"] or "", r["source"] or "", r["row"])):
         near = sorted({i for k in keys(x) for i in index.get(k, ())})
         fitting = [i for i in near if fits(x, groups[i])]
@@ -85,7 +100,7 @@ def groups_of(block: list[dict]) -> dict:
         g = groups[at]
         g["rows"].append(x["row"])
         g["sources"].add(x["source"])
-        g["strict"].add(fold_text(_QUALIFIER.sub("", x["title"])))
+        g["strict"].add(x["strict"])
         g["acts"].add(x["acts"])
         g["bares"].add(x["bare"])
         g["toured"] |= x["bare"] != x["acts"]
@@ -110,21 +125,90 @@ def merge(df: DataFrame, row: str = "row") -> DataFrame:
     return _merge(df.where(placed), row).unionByName(df.where(~placed).select(row, F.col(row).alias("group")))
 
 
-def _merge(df: DataFrame, row: str) -> DataFrame:
-    same = ["day", "venue_key", "title", "time", "source", "official", "ticket"]
-    slim = df.select(row, "day", "venue_key", "title", "time", "source", F.coalesce("official", F.lit(False)).alias("official"), "ticket")
-    once = slim.groupBy(*same).agg(F.min(row).alias(row))
-    kind = df.schema[row].dataType.simpleString()
+_SAME = ("day", "venue_key", "title", "time", "source", "official", "ticket")
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        plain = block.astype(object).where(block.notna(), None).rename(columns={row: "row"})
-        out = groups_of(plain.to_dict("records"))
-        return pd.DataFrame({"row": list(out), "group": list(out.values())}).rename(columns={"row": row})
 
-    groups = once.groupBy("day", "venue_key").applyInPandas(run, f"{row} {kind}, `group` {kind}")
-    first = once.select(*(F.col(c).alias(f"_{c}") for c in same), F.col(row).alias("_first")).join(groups.withColumnRenamed(row, "_first"), "_first")
-    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same]
-    return slim.join(first, on).select(row, "group")
+def _combination() -> list[Column]:
+    """Two 64-bit hashes of what makes rows equal, nulls apart from texts."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in _SAME]
+    return [F.xxhash64(F.lit(k), *told).alias(f"_c{k}") for k in (1, 2)]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        yield from b.to_pylist()
+
+
+def _merge(df: DataFrame, row: str) -> DataFrame:
+    kind = df.schema[row].dataType.simpleString()
+    slim = df.select(F.col(row).alias("_row"), "day", "venue_key", "title", "time", "source", F.coalesce("official", F.lit(False)).alias("official"), "ticket").select("*", *_combination())
+    once = cut(slim.groupBy("_c1", "_c2", *_SAME).agg(F.min("_row").alias("row")))
+    large = once.groupBy("day", "venue_key").count().where(F.col("count") > BLOCK_ROWS).drop("count")
+    none = F.lit(None).cast(kind).alias("part")
+    if large.isEmpty():
+        parts = once.select("*", none)
+    else:
+        wide = once.join(large, ["day", "venue_key"], "left_semi")
+        met = components(shared_keys(wide)).select(F.col("node").alias("row"), F.col("root").alias("part"))
+        parts = once.join(large, ["day", "venue_key"], "left_anti").select("*", none).unionByName(wide.join(met, "row", "left").withColumn("part", F.coalesce("part", "row")))
+
+    def run(batches):
+        for _, block in itertools.groupby(_rows(batches), lambda x: (x["day"], x["venue_key"], x["part"])):
+            out = groups_of(list(block))
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), schema), pa.array(list(out.values()), schema)], ["row", "group"])
+
+    schema = pa.string() if kind == "string" else pa.int64() if kind == "bigint" else pa.int32()
+    place = ["day", "venue_key", "part"]
+    groups = parts.drop("_c1", "_c2").repartition(*place).sortWithinPartitions(*place).mapInArrow(run, f"row {kind}, `group` {kind}")
+    first = once.select("_c1", "_c2", "row").join(groups, "row").drop("row")
+    return slim.select("_row", "_c1", "_c2").join(first, ["_c1", "_c2"]).select(F.col("_row").alias(row), "group")
+
+
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """Edges (u, v) from each row to the least row of its block that shares a key with it."""
+    kind = rows.schema["row"].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            told = [["\x1f".join(map(str, (k[0], sorted(k[1]) if isinstance(k[1], frozenset) else k[1], k[2]))) for k in keys(read(x))] for x in b.select(["title", "ticket"]).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("block"), pa.array(told, pa.list_(pa.string()))], ["row", "block", "keys"])
+
+    blocks = rows.select("row", F.to_json(F.struct("day", "venue_key")).alias("block"), "title", "ticket")
+    flat = cut(blocks.mapInArrow(run, f"row {kind}, block string, keys array<string>").select("row", "block", F.explode("keys").alias("key")))
+    hubs = flat.groupBy("block", "key").agg(F.min("row").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    return flat.join(hubs, ["block", "key"]).select(F.col("row").alias("u"), F.col("hub").alias("v"))
+
+
+def merged(df: DataFrame, fills: list[str], reviewed: DataFrame | None = None, row: str = "row") -> DataFrame:
+    """One row for each engagement among df(row, day, venue_key, title, time, source, official, ticket, first_seen, sold_out, programme, fills).
+
+    (group, day, venue_key, headliner, co_headliners, time, programme, sources,
+    first_seen, sold_out, rows, fills). reviewed(day, venue, key, same) names
+    folded titles that are one on a day at a place: they become candidates, and
+    still part by their times. The merge's groups get their bill and their
+    survivor; groups that then share day, place, bill, time and programme are
+    one in the end. A bill with unnamed guests yields to any other. Rows
+    without a day or a place stay alone.
+    """
+    told = df.withColumn("_title", F.col("title"))
+    if reviewed is not None:
+        keyed = told.withColumns({"key": fold_latin(F.col("title")), "venue": F.col("venue_key"), "_own": fold_latin(F.col("title"))})
+        told = reviewed_titles(keyed, reviewed).withColumn("title", F.when(F.equal_null("key", "_own"), F.col("title")).otherwise(F.col("key"))).drop("key", "venue", "_own")
+    rows = cut(told.join(merge(told, row), row).withColumns({"title": F.col("_title"), "time": F.coalesce(normal_time(F.col("time")), F.nullif(F.trim("time"), F.lit("")))}).drop("_title"))
+    once = _engagements(rows, fills, row)
+    placed = F.col("day").isNotNull() & F.col("venue_key").isNotNull() & (F.col("venue_key") != "")
+    identity = [F.col("day"), F.col("venue_key"), fold_latin(F.col("headliner")), F.coalesce("time", F.lit("")), F.coalesce("programme", F.lit("")), F.when(~placed, F.col("group"))]
+    ends = once.select("group", F.min("group").over(Window.partitionBy(*identity)).alias("_final"))
+    return _engagements(rows.join(ends, "group").withColumn("group", F.col("_final")).drop("_final"), fills, row)
+
+
+def _engagements(rows: DataFrame, fills: list[str], row: str) -> DataFrame:
+    """Groups of rows folded to one row each, with their bill."""
+    unnamed = F.lower("title").rlike(r"\+ *(special )?guests?$")
+    named = rows.withColumn("_n", F.min(unnamed.cast("int")).over(Window.partitionBy("group"))).where(unnamed.cast("int") == F.col("_n"))
+    bills = headlined(named, split=r"\s+\+\s+")
+    about = rows.groupBy("group").agg(F.min("day").alias("day"), F.min("venue_key").alias("venue_key"), F.count("*").alias("rows"))
+    return fold_groups(rows, "group", row, [*fills, "time", "programme"]).join(bills, "group").join(about, "group")
 
 
 def fold_groups(df: DataFrame, group: str, row: str, fills: list[str]) -> DataFrame:

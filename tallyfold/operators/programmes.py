@@ -66,19 +66,21 @@ def structured_identities(events: DataFrame, known: DataFrame, artist: Column |
     return all_.select("key", status.alias("status"), F.coalesce("given", "first").alias("name"), "sources", "events")
 
 
-def headlined(listings: DataFrame, group: str = "group") -> DataFrame:
+def headlined(listings: DataFrame, group: str = "group", split: str = BILL_MARKS) -> DataFrame:
     """(group, headliner, co_headliners): what a merged group of listings(group, title, source) bills.
 
     The shortest title is the headliner and is never split. If the longest one
     begins with it, followed by a mark between names, and several sources
-    speak, the names behind become co-headliners.
+    speak, the names behind become co-headliners; where that mark is none of
+    `split`, the longest title is the headliner as it stands.
     """
     size = F.struct(F.length("title"), "title")
     g = listings.groupBy(group).agg(F.min_by("title", size).alias("headliner"), F.max_by("title", size).alias("whole"), F.min("source").alias("low"), F.max("source").alias("high"))
     rest = F.substr("whole", F.length("headliner") + 1)
     longer = (F.col("low") < F.col("high")) & F.startswith(F.lower("whole"), F.lower("headliner")) & rest.rlike(f"^(?:{BILL_MARKS})")
     names = F.filter(F.transform(F.split(rest, BILL_MARKS), F.trim), lambda n: n != "")
-    return g.select(group, "headliner", F.when(longer, names).otherwise(F.array().cast("array<string>")).alias("co_headliners"))
+    parted = longer & rest.rlike(f"^(?:{split})")
+    return g.select(group, F.when(longer & ~parted, F.col("whole")).otherwise(F.col("headliner")).alias("headliner"), F.when(parted, names).otherwise(F.array().cast("array<string>")).alias("co_headliners"))
 
 
 def reviewed_titles(listings: DataFrame, equal: DataFrame) -> DataFrame:
