@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import cut
+
 #: What stands between the names of a bill (fixed values).
 BILL_MARKS = r"\s+(?:\+|&|/|x)\s+|\s*,\s+"
 
@@ -36,6 +39,39 @@ def bisected(windows: DataFrame) -> DataFrame:
     return windows.where("more and start < stop").select(F.explode(halves).alias("w")).select("w.*")
 
 
+def adaptive_windows(windows: DataFrame, fetch: Callable[[DataFrame], tuple[DataFrame, DataFrame]], most: int = 95) -> tuple[DataFrame, DataFrame]:
+    """(rows, windows asked) of fetch over windows(start, stop), halved until none has more than it gave.
+
+    fetch takes windows(start, stop) and gives (rows with start and stop,
+    windows with `more`). Every window is one request; where a round would go
+    beyond `most` requests, its earliest windows are asked and the others told
+    as not asked. Windows asked: (start, stop, round, status), where status is
+    complete, halved, overflow (a single day with more), or not asked; only
+    rows of windows that are complete or overflow count, so no row comes twice.
+    The load is incomplete if any window overflows or was not asked.
+    """
+    spent, got, told, number = 0, [], [], 0
+    windows = cut(windows.select("start", "stop"))
+    while (n := windows.count()) and spent < most:
+        number += 1
+        left = most - spent
+        if n > left:
+            told.append(windows.orderBy("start").offset(left).select("start", "stop", F.lit(number).alias("round"), F.lit("not asked").alias("status")))
+            windows = windows.orderBy("start").limit(left)
+        rows, seen = fetch(windows)
+        spent += min(n, left)
+        status = F.when(~F.col("more"), "complete").when(F.col("start") < F.col("stop"), "halved").otherwise("overflow")
+        seen = cut(seen.select("start", "stop", "more", status.alias("status")))
+        told.append(seen.select("start", "stop", F.lit(number).alias("round"), "status"))
+        got.append(cut(rows.join(seen.where("status <> 'halved'").select("start", "stop"), ["start", "stop"], "left_semi")))
+        windows = cut(bisected(seen))
+    if n:
+        told.append(windows.select("start", "stop", F.lit(number + 1).alias("round"), F.lit("not asked").alias("status")))
+    if not got:
+        raise ValueError("no window was asked")
+    return reduce(DataFrame.unionByName, got), reduce(DataFrame.unionByName, told)
+
+
 def within_windows(rows: DataFrame, day: str) -> DataFrame:
     """rows(start, stop, ...) whose day lies in the window that was asked for."""
     return rows.where(F.col(day).between(F.col("start"), F.col("stop")))

@@ -11,6 +11,7 @@ from ..functions import keys as K
 from ..operators import filters, graph, joins, resolution, state
 from ..sources.tables import table
 from ..streaming.first_seen import stream_first_seen
+from ..streaming.keyed_state import stream_keyed_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -30,11 +31,14 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    return _QUERIES | {"stream_first_seen": stream_first_seen}
+    return _QUERIES | {"stream_first_seen": stream_first_seen, "stream_keyed_state": stream_keyed_state}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | {
+        "stream_keyed_state": "SELECT user_id, strftime(max(CAST(ts AS DATE)), '%Y-%m-%d') AS day, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1",
+        "stream_first_seen": "SELECT DISTINCT user_id, event_type FROM events",
+    }
 
 
 def day(c):
