@@ -136,19 +136,20 @@ def kept_apart(merged: DataFrame, group: str = "group") -> DataFrame:
 
 
 #: Flags of an archived post and the reasons they give, in order (fixed values).
-FLAGS = {"wrong_primary": "WRONG_PRIMARY", "catalogue_owner_mismatch": "CATALOGUE_OWNER_MISMATCH", "context_as_artist": "CONTEXT_PROMOTED_AS_ARTIST", "contamination": "CHARLI_CONTAMINATION", "shared_id": "SUSPICIOUS_SHARED_APPLE_ID", "unproven_recovery": "UNPROVEN_HISTORICAL_RECOVERY"}
+FLAGS = {"wrong_primary": "WRONG_PRIMARY", "catalogue_owner_mismatch": "CATALOGUE_OWNER_MISMATCH", "context_as_artist": "CONTEXT_PROMOTED_AS_ARTIST", "contamination": "CONTAMINATION", "shared_id": "SUSPICIOUS_SHARED_APPLE_ID", "unproven_recovery": "UNPROVEN_HISTORICAL_RECOVERY"}
 
 
-def archive_tiers(posts: DataFrame, row: str = "post") -> DataFrame:
+def archive_tiers(posts: DataFrame, row: str = "post", reasons: dict[str, str] | None = None) -> DataFrame:
     """(post, tier, reasons) of posts(post, ordinary, subject, artist_key, confident, has_payload, the columns of FLAGS, found, found_key, found_name, found_id, payload_id, valid, exact).
 
-    D: nobody surely named. C: nothing to show, or the catalogue does not know
+    reasons: names of single reasons of FLAGS that a catalogue words in its own
+    way. D: nobody surely named. C: nothing to show, or the catalogue does not know
     the artist. A: to repair, by flag or by evidence that does not agree. B: sound.
     """
     yes = lambda c: F.coalesce(F.col(c).cast("boolean"), F.lit(False))
     some = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
     all_ = lambda *tests: reduce(lambda a, b: a & b, tests)
-    flags = F.array_compact(F.array(*[F.when(yes(c), reason) for c, reason in FLAGS.items()]))
+    flags = F.array_compact(F.array(*[F.when(yes(c), reason) for c, reason in (FLAGS | (reasons or {})).items()]))
     agrees = all_(F.equal_null(F.lower(F.trim("subject")), F.lower(F.trim("found_name"))), F.equal_null("artist_key", "found_key"), some("payload_id"), F.equal_null("payload_id", "found_id"), yes("valid"), yes("exact"))
     told = lambda tier, reason: F.struct(F.lit(tier).alias("tier"), F.array(F.lit(reason)).alias("reasons"))
     out = F.when(~all_(yes("ordinary"), some("subject"), some("artist_key"), yes("confident")), told("D", "DEFERRED_NON_ORDINARY_OR_AMBIGUOUS"))

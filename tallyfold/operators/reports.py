@@ -95,17 +95,20 @@ def row_faults(genres: list[str]) -> Column:
     return F.array_compact(F.array(*(F.when(c, n) for n, c in tests)))
 
 
-def gate(rows: DataFrame, previous: int, genres: list[str], least: int = 100, low: float = 0.6, high: float = 2.5, coverage: float = 0.1) -> DataFrame:
+def gate(rows: DataFrame, previous: int, genres: list[str], least: int = 100, low: float = 0.6, high: float = 2.5, coverage: float = 0.1, collisions: DataFrame | None = None) -> DataFrame:
     """One row of counts and the array `refusals`; empty means that the rows may be published.
 
     Rows need at least `least`, 60 to 250 % of the previous count (if there was
     one), a genre on ten percent, unique public_ids, no faults, no two rows
-    alike in (day, headliner, venue, time).
+    alike in (day, headliner, venue, time), and no bill inside another's:
+    collisions(message), as `semantic_collisions` tells them; the least message
+    stands in `collision`.
     """
     ids = rows.groupBy("public_id").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated_ids"))
     twins = rows.groupBy("day", "headliner", "venue", "time").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("twins"))
     all_ = rows.agg(F.count("*").alias("n"), F.count_if(F.coalesce("genre", F.lit("")) != "").alias("with_genre"), F.count_if(F.size(row_faults(genres)) > 0).alias("faulty"))
-    one = all_.join(ids).join(twins)  # three single rows
+    met = collisions.agg(F.count("*").alias("collisions"), F.min("message").alias("collision")) if collisions is not None else rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("collisions"), F.lit(None).cast("string").alias("collision"))
+    one = all_.crossJoin(ids).crossJoin(twins).crossJoin(met)  # four single rows
     n = F.col("n")
-    tests = [("too few", n < least), ("count", F.lit(previous > 0) & ~n.between(low * previous, high * previous)), ("genre coverage", F.col("with_genre") < coverage * n), ("repeated ids", F.col("repeated_ids") > 0), ("twins", F.col("twins") > 0), ("faults", F.col("faulty") > 0)]
+    tests = [("too few", n < least), ("count", F.lit(previous > 0) & ~n.between(low * previous, high * previous)), ("genre coverage", F.col("with_genre") < coverage * n), ("repeated ids", F.col("repeated_ids") > 0), ("twins", F.col("twins") > 0), ("collisions", F.col("collisions") > 0), ("faults", F.col("faulty") > 0)]
     return one.withColumn("refusals", F.array_compact(F.array(*(F.when(c, m) for m, c in tests))))

@@ -17,8 +17,3 @@ def upsert(state: DataFrame, seen: DataFrame, key: str, now: Column, oldest: Col
     out = both.select(key, F.coalesce("n.day", "s.day").alias("day"), F.coalesce("s.first_seen", now).alias("first_seen"), F.when(new, now).otherwise(F.col("s.last_seen")).alias("last_seen"))
     return out.where(F.col("day") >= oldest)
 
-
-def replay(fresh: DataFrame, held: DataFrame, status: DataFrame, source: str, key: str) -> DataFrame:
-    """Fresh rows, and held rows of failed sources that no fresh row equals."""
-    failed = held.join(status.where("status = 'failed'").select(source), source, "left_semi")
-    return fresh.unionByName(failed.join(fresh.select(key), key, "left_anti"))

@@ -239,7 +239,7 @@ def release_difference(spark, d):
 CAST(count(*) - count(DISTINCT (o_orderdate, o_custkey, o_orderpriority)) AS BIGINT) AS twins, array_to_string(list_filter([CASE WHEN count(*) < 100 THEN 'too few' END, CASE WHEN count(*) > count(DISTINCT (o_orderdate, o_custkey, o_orderpriority)) THEN 'twins' END, CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'P') > 0 THEN 'faults' END], lambda x: x IS NOT NULL), '|') AS refusals FROM orders""")
 def gate_refusals(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("public_id"), day("o_orderdate").alias("day"), F.col("o_custkey").cast("string").alias("headliner"), F.col("o_orderpriority").alias("venue"), F.lit("20:00").alias("time"), F.col("o_orderstatus").alias("genre"))
-    return reports.gate(o, 0, ["F", "O"]).withColumn("refusals", F.array_join("refusals", "|"))
+    return reports.gate(o, 0, ["F", "O"]).drop("collisions", "collision").withColumn("refusals", F.array_join("refusals", "|"))
 
 
 def _opener_changes(events):

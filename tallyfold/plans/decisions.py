@@ -21,24 +21,22 @@ def eligibility_checks(spark, d):
     return eligibility.judged(e).select("c_custkey", "headliner", "reason")
 
 
-@query("""WITH l AS (SELECT DISTINCT l_partkey, l_returnflag AS raw, CASE WHEN l_linestatus = 'O' THEN [l_returnflag] WHEN l_linenumber = 1 THEN ['A', 'N', 'R'] WHEN l_linenumber = 2 THEN ['A', 'N'] ELSE [] END AS genres, l_linestatus <> 'O' AND l_linenumber = 1 AS unordered, l_quantity < 20 AS weak FROM lineitem WHERE l_partkey % 3 > 0 AND l_linenumber < 4 AND l_quantity < 25),
+@query("""WITH l AS (SELECT DISTINCT l_orderkey, l_returnflag AS raw, CASE WHEN l_linestatus = 'O' THEN [l_returnflag] WHEN l_linenumber = 1 THEN ['A', 'N', 'R'] WHEN l_linenumber = 2 THEN ['A', 'N'] ELSE [] END AS genres, l_linestatus <> 'O' AND l_linenumber = 1 AS unordered, l_quantity < 20 AS weak FROM lineitem),
 s AS (SELECT *, CASE WHEN unordered THEN [] ELSE genres END AS one FROM l),
-g AS (SELECT l_partkey, list_sort(list_distinct(flatten(list(one)))) AS mapped, list_distinct(list(one)) AS sets, bool_or(unordered) AS unresolved, bool_and(weak) AS weak, list(raw) AS raws FROM s GROUP BY 1),
-e AS (SELECT p.*, g.*, p_size > 48 AS festival, p_size % 2 = 0 AS artist, p_size % 5 = 0 AS override, p_size % 3 > 0 AS alone FROM part p LEFT JOIN g ON l_partkey = p_partkey),
-m AS (SELECT p_partkey, CASE WHEN festival THEN 'blank_festival' WHEN unresolved AND len(mapped) = 0 THEN 'blank_unresolved_taxonomy' WHEN artist AND len(mapped) = 1 AND weak THEN 'artist_mapping' WHEN len(mapped) = 1 AND list_contains(raws, mapped[1]) THEN 'source_explicit' WHEN len(mapped) = 1 THEN 'source_mapping'
- WHEN len(mapped) > 1 AND list_contains(sets, mapped) THEN 'source_mapping' WHEN override AND alone THEN 'manual_override' WHEN len(mapped) > 1 THEN 'conflict' WHEN artist AND alone THEN 'artist_mapping' WHEN contains(p_type, 'BRASS') THEN 'event_context' WHEN contains(p_type, 'SMALL') THEN 'event_context' WHEN p_brand = 'Brand#11' THEN 'bill_consensus' WHEN mapped IS NULL THEN 'blank_no_raw' ELSE 'blank_unresolved_raw' END AS method, mapped, p_type FROM e)
-SELECT p_partkey, method, CASE method WHEN 'artist_mapping' THEN 'Artist' WHEN 'manual_override' THEN 'Override' WHEN 'source_explicit' THEN mapped[1] WHEN 'source_mapping' THEN mapped[1] WHEN 'event_context' THEN CASE WHEN contains(p_type, 'BRASS') THEN 'Jazz' ELSE 'Pop' END WHEN 'bill_consensus' THEN 'Rock' END AS genre FROM m""")
+g AS (SELECT l_orderkey, list_sort(list_distinct(flatten(list(one)))) AS mapped, list_distinct(list(one)) AS sets, bool_or(unordered) AS unresolved, bool_and(weak) AS weak, list(raw) AS raws FROM s GROUP BY 1),
+e AS (SELECT o.*, g.*, o_totalprice > 480000 AS festival, o_orderpriority IN ('1-URGENT', '2-HIGH') AS artist, o_totalprice < 150000 AS override, o_orderstatus <> 'P' AS alone FROM orders o LEFT JOIN g ON l_orderkey = o_orderkey),
+m AS (SELECT o_orderkey, CASE WHEN festival THEN 'blank_festival' WHEN unresolved AND len(mapped) = 0 THEN 'blank_unresolved_taxonomy' WHEN artist AND len(mapped) = 1 AND weak THEN 'artist_mapping' WHEN len(mapped) = 1 AND list_contains(raws, mapped[1]) THEN 'source_explicit' WHEN len(mapped) = 1 THEN 'source_mapping'
+ WHEN len(mapped) > 1 AND list_contains(sets, mapped) THEN 'source_mapping' WHEN override AND alone THEN 'manual_override' WHEN len(mapped) > 1 THEN 'conflict' WHEN artist AND alone THEN 'artist_mapping' WHEN contains(o_orderpriority, 'LOW') THEN 'event_context' WHEN contains(o_orderpriority, 'MEDIUM') THEN 'event_context' WHEN o_orderstatus = 'O' THEN 'bill_consensus' WHEN mapped IS NULL THEN 'blank_no_raw' ELSE 'blank_unresolved_raw' END AS method, mapped, o_orderpriority FROM e)
+SELECT o_orderkey, method, CASE method WHEN 'artist_mapping' THEN 'Artist' WHEN 'manual_override' THEN 'Override' WHEN 'source_explicit' THEN mapped[1] WHEN 'source_mapping' THEN mapped[1] WHEN 'event_context' THEN CASE WHEN contains(o_orderpriority, 'LOW') THEN 'Jazz' ELSE 'Pop' END WHEN 'bill_consensus' THEN 'Rock' END AS genre FROM m""")
 def genre_branches(spark, d):
-    l = table(spark, d, "lineitem").where("l_partkey % 3 > 0 and l_linenumber < 4 and l_quantity < 25")  # noqa: E741
-    open_ = F.col("l_linestatus") == "O"
-    line = F.col("l_linenumber")
+    open_, line = F.col("l_linestatus") == "O", F.col("l_linenumber")
     genres = F.when(open_, F.array("l_returnflag")).when(line == 1, F.array(*map(F.lit, "ANR"))).when(line == 2, F.array(*map(F.lit, "AN"))).otherwise(F.array().cast("array<string>"))
-    e = l.select(F.col("l_partkey").alias("p_partkey"), F.col("l_returnflag").alias("raw"), genres.alias("genres"), (~open_ & (line == 1)).alias("unordered"), (F.col("l_quantity") < 20).alias("weak"))
-    p = table(spark, d, "part").join(cascades.source_genres(e, "p_partkey"), "p_partkey", "left")
+    e = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_returnflag").alias("raw"), genres.alias("genres"), (~open_ & (line == 1)).alias("unordered"), (F.col("l_quantity") < 20).alias("weak"))
+    o = table(spark, d, "orders").join(cascades.source_genres(e, "o_orderkey"), "o_orderkey", "left")
     known = lambda test, g: F.when(test, F.struct(F.lit(g).alias("genre"), F.lit("registry").alias("source")))
-    size, kind = F.col("p_size"), F.col("p_type")
-    p = p.withColumns({"festival": F.when(size > 48, "f"), "artist": known(size % 2 == 0, "Artist"), "override": known(size % 5 == 0, "Override"), "co_headliners": F.when(size % 3 == 0, F.array(F.lit("x"))), "venue_genre": F.when(F.contains(kind, F.lit("BRASS")), "Jazz"), "context_genre": F.when(F.contains(kind, F.lit("SMALL")), "Pop"), "bill_genre": F.when(F.col("p_brand") == "Brand#11", "Rock")})
-    return cascades.genre_cascade(p, "p_partkey").select("p_partkey", "method", "genre")
+    price, priority, status = F.col("o_totalprice"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    o = o.withColumns({"festival": F.when(price > 480000, "f"), "artist": known(priority.isin("1-URGENT", "2-HIGH"), "Artist"), "override": known(price < 150000, "Override"), "co_headliners": F.when(status == "P", F.array(F.lit("x"))), "venue_genre": F.when(F.contains(priority, F.lit("LOW")), "Jazz"), "context_genre": F.when(F.contains(priority, F.lit("MEDIUM")), "Pop"), "bill_genre": F.when(status == "O", "Rock")})
+    return cascades.genre_cascade(o, "o_orderkey").select("o_orderkey", "method", "genre")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'reviewed_event' WHEN o_orderkey % 7 = 0 THEN 'structured_source' WHEN o_orderkey % 13 = 0 THEN 'reviewed_registry' WHEN o_orderstatus = 'P' THEN 'known_identity' WHEN o_orderkey % 5 = 0 THEN 'cross_source' WHEN o_orderkey % 3 = 0 THEN 'canonical_identity' WHEN o_orderkey % 2 = 0 AND 80 + o_custkey % 20 >= 90 THEN 'external_corroboration' ELSE 'unresolved' END AS method,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
-from ..operators import filters, graph, joins, resolution, state
+from ..operators import filters, graph, joins, resolution, state, votes
 from ..sources.tables import table
 from ..streaming.first_seen import stream_first_seen
 from ..streaming.keyed_state import stream_keyed_state
@@ -182,8 +182,9 @@ def overlap_residual_join(spark, d):
 
 @query("SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT s_name)), ' | ') AS promoters FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1")
 def promoter_array_canonical(spark, d):
-    l = table(spark, d, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("s_suppkey")).join(table(spark, d, "supplier").select("s_suppkey", "s_name"), "s_suppkey")
-    return l.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("s_name")), " | ").alias("promoters"))
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    told = votes.canonical_list(table(spark, d, "lineitem").join(s, "l_suppkey"), "l_orderkey", "s_name")
+    return told.select("l_orderkey", F.array_join("names", " | ").alias("promoters"))
 
 
 @query("SELECT md5(coalesce(text, '')) AS key, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
@@ -247,20 +248,17 @@ def greedy_match(spark, d):
 @query("""WITH g AS (SELECT user_id, event_type, count(DISTINCT CAST(ts AS DATE)) AS days FROM events GROUP BY 1, 2 HAVING count(DISTINCT CAST(ts AS DATE)) >= 13)
 SELECT user_id, min(event_type) AS genre, max(days) AS days FROM g GROUP BY 1 HAVING count(*) = 1""")
 def artist_consensus(spark, d):
-    g = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count_distinct(day("ts")).alias("days")).where("days >= 13")
-    return g.groupBy("user_id").agg(F.count("*").alias("n"), F.min("event_type").alias("genre"), F.max("days").alias("days")).where("n = 1").drop("n")
+    return votes.consensus(table(spark, d, "events"), "user_id", "event_type", day("ts"), 13).withColumnsRenamed({"event_type": "genre", "units": "days"})
 
 
 @query("SELECT l_partkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) >= 2 AND count(DISTINCT (l_orderkey, CAST(l_shipdate AS DATE))) >= 2")
 def two_source_admission(spark, d):
-    g = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.count_distinct("l_suppkey").alias("s"), F.count_distinct(F.struct("l_orderkey", day("l_shipdate"))).alias("e"))
-    return g.where("s >= 2 and e >= 2").select("l_partkey")
+    return votes.admitted(table(spark, d, "lineitem"), "l_partkey", "l_suppkey", F.struct("l_orderkey", day("l_shipdate")))
 
 
 @query("SELECT l_partkey, CASE WHEN count(DISTINCT l_returnflag) > 1 THEN 'ambiguous' WHEN count(DISTINCT l_suppkey) >= 2 THEN 'resolved' ELSE 'review' END AS verdict FROM lineitem GROUP BY 1")
 def provider_vote(spark, d):
-    g = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.count_distinct("l_returnflag").alias("v"), F.count_distinct("l_suppkey").alias("p"))
-    return g.select("l_partkey", F.when(F.col("v") > 1, "ambiguous").when(F.col("p") >= 2, "resolved").otherwise("review").alias("verdict"))
+    return votes.verdict(table(spark, d, "lineitem"), "l_partkey", "l_returnflag", "l_suppkey").select("l_partkey", "verdict")
 
 
 @query("SELECT event_type, strftime(ts, '%Y-%m') AS month, count(*) AS n FROM events GROUP BY 1, 2")
@@ -276,18 +274,18 @@ def year_month_day_rollup(spark, d):
 
 @query("SELECT o_custkey, max_by(o_orderkey, struct_pack(r := o_orderstatus = 'F', t := o_orderdate, k := o_orderkey)) AS o_orderkey FROM orders GROUP BY 1")
 def preferred_row(spark, d):
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct(F.col("o_orderstatus") == "F", "o_orderdate", "o_orderkey")).alias("o_orderkey"))
+    return votes.preferred(table(spark, d, "orders"), "o_custkey", "o_orderkey", F.col("o_orderstatus") == "F", F.col("o_orderdate"), F.col("o_orderkey"))
 
 
 @query("SELECT l_orderkey, min(l_linenumber) AS first_line, bool_and(l_returnflag = 'R') AS sold_out, count(*) AS sessions FROM lineitem GROUP BY 1")
 def session_collapse(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_linenumber").alias("first_line"), F.bool_and(F.col("l_returnflag") == "R").alias("sold_out"), F.count("*").alias("sessions"))
+    return votes.collapsed(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber", F.col("l_returnflag") == "R").withColumnRenamed("first", "first_line")
 
 
 @query("SELECT source, max_by(doc_id, struct_pack(n := n_chars, i := -doc_id)) AS hero FROM documents JOIN labels USING (doc_id) WHERE quality = 1 GROUP BY 1")
 def article_hero_pick(spark, d):
-    j = table(spark, d, "documents").select("doc_id", "source", "n_chars").join(table(spark, d, "labels").where("quality = 1").select("doc_id"), "doc_id")
-    return j.groupBy("source").agg(F.max_by("doc_id", F.struct("n_chars", -F.col("doc_id"))).alias("hero"))
+    good = table(spark, d, "labels").where("quality = 1").select("doc_id")
+    return votes.preferred(table(spark, d, "documents").join(good, "doc_id"), "source", "doc_id", F.col("n_chars"), -F.col("doc_id")).withColumnRenamed("doc_id", "hero")
 
 
 @query("SELECT lang, round(100.0 * count(quality) / count(*), 2) AS percent FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
@@ -358,14 +356,12 @@ def search_score_ladder(spark, d):
 
 @query("SELECT conv_id, turn, role, CASE WHEN turn = min(turn) OVER (PARTITION BY conv_id) THEN 'headliner' WHEN role = 'user' THEN 'co_headliner' ELSE 'opener' END AS part FROM conversations")
 def bill_role_explode(spark, d):
-    c = table(spark, d, "conversations").select("conv_id", "turn", "role")
-    first = F.min("turn").over(Window.partitionBy("conv_id"))
-    return c.withColumn("part", F.when(F.col("turn") == first, "headliner").when(F.col("role") == "user", "co_headliner").otherwise("opener"))
+    return votes.roles(table(spark, d, "conversations").select("conv_id", "turn", "role"), "conv_id", "turn", F.col("role") == "user")
 
 
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS missing, count(DISTINCT user_id) AS artists, round(avg(value), 2) AS mean FROM events GROUP BY 1")
 def quality_report(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("missing"), F.count_distinct("user_id").alias("artists"), F.round(F.avg("value"), 2).alias("mean"))
+    return votes.quality(table(spark, d, "events"), "event_type", "value", "user_id").withColumnRenamed("people", "artists")
 
 
 @query("""WITH c AS (SELECT count(*) AS n, count(*) - count(DISTINCT o_orderkey) AS dup, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01') AS prev FROM orders)
