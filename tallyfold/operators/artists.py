@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import fold, slug
+from ..sources.staging import cut
 from .components import components
 
 
@@ -38,14 +39,14 @@ def identities(labels: DataFrame, reviewed: DataFrame, others: list[DataFrame],
     layer = lambda d, i, order: d.select("name", F.lit(i).alias("layer"), order.alias("order"))
     told = [layer(reviewed, 0, none), layer(seen, 1, F.struct((-F.col("n")).alias("n"), "first")), *(layer(d, i + 2, none) for i, d in enumerate(others))]
     ranked = _keyed(reduce(DataFrame.unionByName, told)).join(_keyed(blocked.select("name")).select("key").distinct(), "key", "left_anti")
-    best = ranked.groupBy("key").agg(F.min(F.struct("layer", "order", "name")).alias("best"))
-    edges = _keyed(_keyed(aliases, "alias", "u"), "name", "v").select("u", "v").where("u <> v").distinct()
+    best = cut(ranked.groupBy("key").agg(F.min(F.struct("layer", "order", "name")).alias("best")))
+    edges = cut(_keyed(_keyed(aliases, "alias", "u"), "name", "v").select("u", "v").where("u <> v").distinct())
     tied = components(edges)
     member = tied.join(best.withColumnRenamed("key", "node"), "node", "left").join(edges.select(F.col("u").alias("node"), F.lit(True).alias("alias")).distinct(), "node", "left").withColumn("alias", F.coalesce("alias", F.lit(False)))
     about = member.groupBy("root").agg(F.bool_and("alias").alias("ring"), F.min(F.when(F.col("best").isNotNull(), F.struct("alias", "best"))).alias("m"))
     chosen = about.where("m is not null and (ring or not m.alias)").select("root", F.col("m.best.name").alias("name"))
     told = member.where("alias").join(chosen, "root").select(F.col("node").alias("key"), "name")
-    return told.unionByName(best.join(told, "key", "left_anti").select("key", "best.name"))
+    return cut(told.unionByName(best.join(told, "key", "left_anti").select("key", "best.name")))
 
 
 def article_links(labels: DataFrame, names: DataFrame, more: DataFrame, excluded: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def article_links(labels: DataFrame, names: DataFrame, more: DataFrame, excluded
     gone = _keyed(excluded).select("article", "key").distinct()
     kept = _keyed(by_label).join(gone, ["article", "key"], "left_anti").drop("key")
     reviewed = more.select("article", "name", F.lit(1 << 30).alias("place"), F.lit(True).alias("direct"))
-    return kept.unionByName(reviewed).groupBy("article", "name").agg(F.min("place").alias("place"), F.bool_or(F.coalesce("direct", F.lit(False))).alias("direct"))
+    return cut(kept.unionByName(reviewed).groupBy("article", "name").agg(F.min("place").alias("place"), F.bool_or(F.coalesce("direct", F.lit(False))).alias("direct")))
 
 
 def slug_owners(names: DataFrame) -> DataFrame:
@@ -77,7 +78,7 @@ def artist_index(links: DataFrame, articles: DataFrame, labels: DataFrame, names
     direct, hero (image, url, day of the newest concert review with an image; of
     one day the least article). Collisions: slug, owner, name.
     """
-    owners = slug_owners(links)
+    owners = cut(slug_owners(links))
     mine = links.join(owners.where("not collides").select("name", "slug"), "name")
     shown = articles.where((F.col("type") == "concert_review") & (F.coalesce("image", F.lit("")) != ""))
     heroes = mine.join(shown, "article").groupBy("name").agg(F.max_by(F.struct("image", "url", "day"), F.struct("day", (-F.col("article")).alias("back"))).alias("hero"))

@@ -27,6 +27,28 @@ def ordered(df: DataFrame, mode: str) -> DataFrame:
     return df.orderBy(*sort_keys(mode))
 
 
+def in_locale(column: Column | str, locale: str = "fr", case: bool = True, accents: bool = True) -> Column:
+    """The text under a locale's collation, so that sorting, joining and grouping follow it; without case or accents these make no difference."""
+    return F.collate(F.col(column) if isinstance(column, str) else column, locale + ("" if case else "_CI") + ("" if accents else "_AI"))
+
+
+def locale_order(df: DataFrame, mode: str, locale: str = "fr") -> DataFrame:
+    """`ordered` with names in the order of a locale: first without case and accents, then with them."""
+    loose = lambda c: in_locale(c, locale, False, False)
+    names = {"headliner": [loose("headliner"), in_locale("headliner", locale)], "venue": [loose("venue"), in_locale("venue", locale)]}
+    keys = {"date-asc": [F.asc("day"), *names["headliner"]], "date-desc": [F.desc("day"), *names["headliner"]], "artist-asc": [*names["headliner"], F.asc("day")], "venue-asc": [*names["venue"], F.asc("day"), *names["headliner"]]}
+    if mode not in keys:
+        raise ValueError(mode)
+    return df.orderBy(*keys[mode], F.asc("id"))
+
+
+def same_names(df: DataFrame, name: str, locale: str = "fr") -> DataFrame:
+    """(name, spellings, rows): names that are one without case and accents, under their first spelling in the locale's order."""
+    key, order = in_locale(name, locale, False, False), in_locale(name, locale)
+    g = df.where(F.col(name).isNotNull()).groupBy(key.alias("_k"))
+    return g.agg(F.min_by(name, F.struct(order.alias("o"), F.col(name))).alias(name), F.count_distinct(name).alias("spellings"), F.count("*").alias("rows")).drop("_k")
+
+
 def facets(query: str, venues: Iterable[str], genres: Iterable[str], months: Iterable[str]) -> dict:
     """The facets of an address's query; unknown values are dropped, a quick range beats a month."""
     asked = parse_qs(query.lstrip("?"))

@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import autolinks, programmes
-from ..sources import payload_files
+from ..operators import autolinks, calendar, programmes
+from ..sources import payload_files, registry
 from ..sources.staging import cut, folder
 from ..sources.tables import table
 from .registry import day, query
@@ -60,3 +60,38 @@ def adaptive_windows(spark, d):
     rows, asked = programmes.adaptive_windows(programmes.date_windows(spark, first, 56), fetch)
     found = rows.groupBy("start", "stop").agg(F.count("*").alias("found"))
     return asked.join(found, ["start", "stop"], "left").select(F.col("start").cast("string").alias("start"), F.col("stop").cast("string").alias("stop"), "status", F.coalesce("found", F.lit(0).cast("long")).alias("found"))
+
+
+@query("""WITH w AS (SELECT DISTINCT regexp_extract(text, '^[A-Za-zÀ-ÿ]+') AS word, lang FROM documents), k AS (SELECT word, lang, strip_accents(lower(word)) AS key FROM w WHERE word <> '')
+SELECT lang, word, CAST(row_number() OVER (PARTITION BY lang, substr(key, 1, 1) ORDER BY key COLLATE fr, word COLLATE fr, word) AS INTEGER) AS place FROM k""")
+def locale_places(spark, d):
+    """First words of the documents in French order, numbered under each first letter."""
+    words = table(spark, d, "documents").select("lang", F.regexp_extract("text", "^[A-Za-zÀ-ÿ]+", 0).alias("word")).where("word <> ''").distinct()
+    loose = calendar.in_locale("word", "fr", False, False)
+    first = calendar.in_locale(F.substring("word", 1, 1), "fr", False, False)
+    place = F.row_number().over(Window.partitionBy("lang", first).orderBy(loose, calendar.in_locale("word"), F.col("word")))
+    return words.select("lang", "word", place.alias("place"))
+
+
+@query("""WITH w AS (SELECT regexp_extract(text, '^[A-Za-zÀ-ÿ]+') AS word FROM documents)
+SELECT replace(strip_accents(lower(word)), 'ß', 'ss') AS key, count(DISTINCT word) AS spellings, count(*) AS rows FROM w WHERE word <> '' GROUP BY 1""")
+def locale_spellings(spark, d):
+    words = table(spark, d, "documents").select(F.regexp_extract("text", "^[A-Za-zÀ-ÿ]+", 0).alias("word")).where("word <> ''")
+    return calendar.same_names(words, "word").select(calendar.fold_latin(F.col("word")).alias("key"), "spellings", "rows")
+
+
+@query("""SELECT lpad(CAST(page_id % 7 AS VARCHAR), 3, '0') AS shard, 1 AS attempts, count(*) AS declared, count(*) AS lines, 'ok' AS status FROM pages GROUP BY page_id % 7""")
+def page_loads(spark, d):
+    """Addresses of the pages, landed as files that declare their number, and how each was loaded."""
+    base = f"{folder(spark)}/landed-{uuid.uuid4().hex}"
+    p = table(spark, d, "pages").select("url", (F.col("page_id") % 7).alias("k"))
+    head = p.groupBy("k").agg(F.concat(F.lit("# rows "), F.count("*").cast("string")).alias("url"))
+    p.unionByName(head.select("url", "k")).repartition("k").sortWithinPartitions("k").write.partitionBy("k").text(base)
+    local = base.removeprefix("file:") if base.startswith("file:") else base
+    spark.dataSource.register(registry.Pages)
+    shards = [r["k"] for r in p.select("k").distinct().collect()]
+    read = lambda k: spark.read.format("tallyfold_pages").option("path", f"{local}/k={k}").option("declared", "# rows ").option("loads", "true").load().withColumn("shard", F.lpad(F.lit(str(k)), 3, "0"))
+    loads = read(shards[0])
+    for k in shards[1:]:
+        loads = loads.unionByName(read(k))
+    return registry.page_health(loads).select("shard", "attempts", "declared", "lines", "status")

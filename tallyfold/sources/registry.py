@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from .staging import cut
+
 Load = Callable[[SparkSession], DataFrame]
 
 
@@ -100,8 +102,13 @@ class Pages(DataSource):
     """Format "tallyfold_pages": the lines of landed page files, a task for each file, with retries.
 
     Options: path (folder that every executor reaches), attempts (3), delay in
-    seconds before the second attempt (0.5, growing by as much, at most 30).
-    An empty file is tried again like a failing one, and is empty in the end.
+    seconds before the second attempt (0.5, growing by as much, at most 30);
+    `delay.<error>` sets it for one kind of error by its class name, and a
+    negative one ends the attempts. A line that begins with the option
+    `declared` and goes on with a number tells how many lines the page should
+    have, and is none of them. An empty file is tried again like a failing one,
+    and is empty in the end. With the option `loads` set to true the scan gives
+    what each load was like instead of its lines, and an error is a result.
     """
 
     @classmethod
@@ -109,12 +116,16 @@ class Pages(DataSource):
         return "tallyfold_pages"
 
     def schema(self) -> str:
-        return "page string, line long, value string"
+        return LOADS if self.options.get("loads") == "true" else "page string, line long, value string"
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _PageReader(dict(self.options))
 
 
+#: How a page was loaded: attempts, seconds waited between them, lines declared and read, the last error.
+LOADS = "page string, attempts int, waited double, declared long, lines long, error string"
+
+
 @dataclass
 class _Page(InputPartition):
     path: str
@@ -123,29 +134,64 @@ class _Page(InputPartition):
 class _PageReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.folder, self.attempts, self.delay = options["path"], int(options.get("attempts", 3)), float(options.get("delay", 0.5))
+        self.delays = {k[len("delay.") :].lower(): float(v) for k, v in options.items() if k.lower().startswith("delay.")}
+        self.declared, self.loads = options.get("declared"), options.get("loads") == "true"
 
     def partitions(self) -> list[InputPartition]:
         import os  # pages are landed in a folder that driver and executors mount alike
 
         return [_Page(posixpath.join(self.folder, f)) for f in sorted(os.listdir(self.folder)) if f[0] not in "._"]
 
-    def read(self, partition: _Page) -> Iterator[tuple]:
-        name = posixpath.basename(partition.path)
+    def load(self, path: str) -> tuple[list[str], int | None, int, float, Exception | None]:
+        """(lines, lines declared, attempts, seconds waited, error)."""
+        waited, lines, declared, error = 0.0, [], None, None
         for attempt in range(1, self.attempts + 1):
             try:  # stat, open and every read belong to the attempt; lines wait until all of them came
-                with open(partition.path, encoding="utf-8") as f:
-                    lines = [(name, i, line.rstrip("\n")) for i, line in enumerate(f)]
+                with open(path, encoding="utf-8") as f:
+                    lines, declared = self.taken(line.rstrip("\n") for line in f)
+                error = None
                 if lines or attempt == self.attempts:
-                    yield from lines
-                    return
-            except OSError:
-                if attempt == self.attempts:
-                    raise
-            time.sleep(min(30.0, self.delay * attempt))
+                    return lines, declared, attempt, waited, None
+                pause = self.delay
+            except (OSError, UnicodeDecodeError) as e:
+                error, pause = e, self.delays.get(type(e).__name__.lower(), self.delay)
+                if attempt == self.attempts or pause < 0:
+                    return [], None, attempt, waited, e
+            pause = min(30.0, pause * attempt)
+            time.sleep(pause)
+            waited += pause
+        return lines, declared, self.attempts, waited, error
+
+    def taken(self, lines: Iterator[str]) -> tuple[list[str], int | None]:
+        out, declared = [], None
+        for line in lines:
+            number = line[len(self.declared) :].strip() if self.declared and line.startswith(self.declared) else ""
+            if number.isdigit():
+                declared = int(number)
+            else:
+                out.append(line)
+        return out, declared
+
+    def read(self, partition: _Page) -> Iterator[tuple]:
+        name = posixpath.basename(partition.path)
+        lines, declared, attempts, waited, error = self.load(partition.path)
+        if self.loads:
+            yield name, attempts, waited, declared, len(lines), f"{type(error).__name__}: {str(error)[:200]}" if error else None
+        elif error:
+            raise error
+        else:
+            yield from ((name, i, line) for i, line in enumerate(lines))
+
+
+def page_health(loads: DataFrame, allow_empty: bool = False) -> DataFrame:
+    """loads with status: failed (an error, or nothing where that is not allowed), partial (fewer or more lines than declared), empty, ok."""
+    status = F.when(F.col("error").isNotNull(), "failed").when(F.col("declared").isNotNull() & (F.col("declared") != F.col("lines")), "partial")
+    return loads.withColumn("status", status.when(F.col("lines") > 0, "ok").otherwise("empty" if allow_empty else "failed"))
 
 
 def expect_count(df: DataFrame, declared: int) -> DataFrame:
-    """`df` if it holds as many rows as its feed declares, else an error."""
+    """`df`, written once, if it holds as many rows as its feed declares, else an error."""
+    df = cut(df)
     found = df.count()
     if found != declared:
         raise ValueError(f"the feed declares {declared} rows and holds {found}")

@@ -48,3 +48,35 @@ def test_facets_and_the_collision_gate(spark):
     told = spark.createDataFrame([("b lies in c",), ("a lies in b",)], "message string")
     one = reports.gate(public, 0, ["Rock"], collisions=told).first()
     assert (one["refusals"], one["collisions"], one["collision"]) == (["collisions"], 2, "a lies in b")
+
+
+def test_page_loads_tell_of_errors_and_counts(spark, tmp_path):
+    from tallyfold.sources import registry
+
+    (tmp_path / "a.txt").write_text("# rows 2\nx\ny\n")
+    (tmp_path / "b.txt").write_text("# rows 3\nx\n# rows of seats\n")
+    (tmp_path / "c.txt").write_text("")
+    (tmp_path / "d.txt").write_bytes(b"\xff\xfe")
+    (tmp_path / "e.txt").mkdir()
+    spark.dataSource.register(registry.Pages)
+    read = lambda **o: spark.read.format("tallyfold_pages").options(path=str(tmp_path), delay="0.01", declared="# rows ", **o)
+    loads = read(loads="true", **{"delay.IsADirectoryError": "-1"}).load()
+    got = {r["page"]: (r["attempts"], r["declared"], r["lines"], r["error"] is None, r["status"]) for r in registry.page_health(loads).collect()}
+    assert got == {"a.txt": (1, 2, 2, True, "ok"), "b.txt": (1, 3, 2, True, "partial"), "c.txt": (3, None, 0, True, "failed"), "d.txt": (3, None, 0, False, "failed"), "e.txt": (1, None, 0, False, "failed")}
+    with pytest.raises(Exception, match="e.txt|d.txt|decode|directory"):
+        read().load().collect()
+    ok = registry.expect_count(spark.range(3), 3)
+    assert ok.count() == 3
+    with pytest.raises(ValueError, match="declares 4"):
+        registry.expect_count(spark.range(3), 4)
+
+
+def test_locale_orders(spark):
+    from tallyfold.operators import calendar
+
+    names = ["zoo", "Étoile", "etoile", "été", "Eté", "cote", "côte", "coté", "côté", "œuf", "oeuf", "ours", "Ånd"]
+    df = spark.createDataFrame([(i, n, n, dt.date(2026, 1, 1)) for i, n in enumerate(names)], "id int, headliner string, venue string, day date")
+    assert [r["headliner"] for r in calendar.locale_order(df, "artist-asc").collect()] == ["Ånd", "cote", "coté", "côte", "côté", "Eté", "été", "etoile", "Étoile", "oeuf", "œuf", "ours", "zoo"]
+    assert [r["id"] for r in calendar.locale_order(df, "venue-asc").collect()] == [r["id"] for r in calendar.locale_order(df, "date-asc").collect()]
+    got = {r["headliner"]: (r["spellings"], r["rows"]) for r in calendar.same_names(df, "headliner").collect()}
+    assert got["cote"] == (4, 4) and got["etoile"] == (2, 2) and len(got) == 8 - ("oeuf" in got and "œuf" not in got)
