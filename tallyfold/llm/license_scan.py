@@ -191,11 +191,17 @@ def license_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     weights, bias = model()
     text = F.col(text_col).cast("string")
     cue = lambda c: F.lower(c).rlike("|".join(CUES))
-    low, some = F.lower(text), F.lit(False)
-    for w in (*CUES, *part_cues()):
-        here = F.contains(low, F.lit(w))  # quick; short words also need bounds
-        some |= here if len(w) > 4 else here & low.rlike(f"(?<![a-z0-9]){re.escape(w)}(?![a-z0-9])")
-    texts = docs.where(some).select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"), text.alias("text")).select("_row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "t"))
+
+    def some(low: Column) -> Column:
+        out = F.lit(False)
+        cues = {*CUES, *part_cues()}
+        for w in sorted(w for w in cues if not any(len(c) > 4 and c in w for c in cues - {w})):  # what holds a longer cue is found by that
+            here = F.contains(low, F.lit(w))  # quick; short words also need bounds
+            out |= here if len(w) > 4 else here & low.rlike(f"(?<![a-z0-9]){re.escape(w)}(?![a-z0-9])")
+        return out
+
+    # a text is put into lower case once, whatever the number of words looked for
+    texts = docs.where(F.exists(F.array(F.lower(text)), some)).select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"), text.alias("text")).select("_row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "t"))
     # each line with those behind it that a notice beginning in it can reach: a row holds LONGEST lines at most, however long the text
     reach = Window.partitionBy("_row").orderBy("p").rowsBetween(0, LONGEST - 1)
     starts = texts.withColumn("w", _words(F.col("t"))).where(F.size("w") > 0).select("_row", "doc_id", F.collect_list(F.struct("p", "t", "w")).over(reach).alias("_s"))
@@ -231,11 +237,12 @@ def license_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lines = lines.withColumn("confirmed", sure)
     one = F.struct((-F.col("similarity")).alias("far"), F.col("_k").alias("k"), "paragraph", F.col("_end").alias("end"), "text", "family", "probability", "similarity", "confirmed")
     kept = F.col("confirmed") | ((F.col("_k") == 1) & cue(F.col("text")))
-    # what overlaps, directly or through others, is settled together
+    # what overlaps, directly or through others, is settled together; a filter behind the windows is not worked out again below them
     before = Window.partitionBy("_row").orderBy("paragraph", "_end")
-    lines = lines.where(kept).withColumn("_reached", F.max("_end").over(before.rowsBetween(Window.unboundedPreceding, -1)))
-    lines = lines.withColumn("_island", F.count_if(F.col("_reached").isNull() | (F.col("paragraph") > F.col("_reached"))).over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    found = lines.groupBy("_row", "_island").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(one)).alias("_all"))
+    lines = lines.withColumn("_kept", kept).select("_row", "doc_id", "paragraph", "_end", "_kept", one.alias("_one"))
+    lines = lines.withColumn("_reached", F.max(F.when(F.col("_kept"), F.col("_end"))).over(before.rowsBetween(Window.unboundedPreceding, -1)))
+    lines = lines.withColumn("_island", F.count_if(F.col("_kept") & (F.col("_reached").isNull() | (F.col("paragraph") > F.col("_reached")))).over(before.rowsBetween(Window.unboundedPreceding, 0))).where("_kept")
+    found = lines.groupBy("_row", "_island").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list("_one")).alias("_all"))
     meets = lambda x, y: (x["paragraph"] <= y["end"]) & (y["paragraph"] <= x["end"])
     place = lambda x: F.struct(x["paragraph"].alias("paragraph"), x["end"].alias("end"))
     taken = F.aggregate(F.filter("_all", lambda x: x["confirmed"]), F.array().cast("array<struct<paragraph:int,end:int>>"), lambda a, x: F.when(F.exists(a, lambda y: meets(x, y)), a).otherwise(F.array_append(a, place(x))))
