@@ -120,8 +120,22 @@ def editorial_fill(events: DataFrame, genres: DataFrame) -> DataFrame:
     return out.select(*[F.when(open_, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in ("genre", "method") else F.col(c) for c in events.columns])
 
 
-def review_places(articles: DataFrame, places: DataFrame) -> DataFrame:
-    """(id, venue, status): places(key, venue) of concert reviews titled "artist @ place - date"; others are unresolved, never guessed."""
+def review_places(articles: DataFrame, places: DataFrame, manual: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """(id, venue, status) of concert reviews titled "artist @ place - date".
+
+    places(key, venue) resolves what stands for the place; manual(title, venue)
+    names it for single titles and goes first. Status: associated; outside,
+    where known(venue) is given and lacks the venue; unresolved, never guessed.
+    Of several venues for a key or a title the least counts.
+    """
     place = name_key(F.get(F.split(F.get(F.split("title", " @ ", 2), F.lit(1)), " [–-] |, "), F.lit(0)))
-    r = articles.where("type = 'concert_review'").select("id", place.alias("key")).join(places.select("key", "venue"), "key", "left")
-    return r.select("id", "venue", F.when(F.col("venue").isNull(), "unresolved").otherwise("associated").alias("status"))
+    resolver = places.groupBy("key").agg(F.min("venue").alias("_resolved"))
+    r = articles.where("type = 'concert_review'").select("id", "title", place.alias("key")).join(resolver, "key", "left")
+    if manual is not None:
+        r = r.join(manual.groupBy("title").agg(F.min("venue").alias("_manual")), "title", "left")
+    r = r.withColumn("venue", F.coalesce("_manual", "_resolved") if manual is not None else F.col("_resolved"))
+    status = F.when(F.col("venue").isNull(), "unresolved")
+    if known is not None:
+        r = r.join(known.select("venue", F.lit(True).alias("_known")).distinct(), "venue", "left")
+        status = status.when(F.col("_known").isNull(), "outside")
+    return r.select("id", "venue", status.otherwise("associated").alias("status"))

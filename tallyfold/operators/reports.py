@@ -112,3 +112,35 @@ def gate(rows: DataFrame, previous: int, genres: list[str], least: int = 100, lo
     n = F.col("n")
     tests = [("too few", n < least), ("count", F.lit(previous > 0) & ~n.between(low * previous, high * previous)), ("genre coverage", F.col("with_genre") < coverage * n), ("repeated ids", F.col("repeated_ids") > 0), ("twins", F.col("twins") > 0), ("collisions", F.col("collisions") > 0), ("faults", F.col("faulty") > 0)]
     return one.withColumn("refusals", F.array_compact(F.array(*(F.when(c, m) for m, c in tests))))
+
+
+#: Alerts of the release monitor (fixed values): code, least rows compared and least cases for "investigate", least share of the compared rows.
+WATCHED = (("genre_loss", 100, 5, 0.01), ("billing_churn", 100, 10, 0.02))
+QUEUES = (("flat_bill_review_queue", "flat_bill", 100), ("programme_title_review_queue", "programme_title", 50))
+
+
+def release_monitor(base: DataFrame, candidate: DataFrame, key: str = "public_id") -> DataFrame:
+    """(status, alerts, metrics) of a candidate release against the published one; it advises and refuses nothing.
+
+    Both sides: key, genre, bill (a list), and on the candidate method, flat_bill
+    and programme_title (suspicions). alerts: (code, severity, n) in order.
+    All rows count, never examples; keys are unique on each side; a genre
+    without a method is a provenance defect.
+    """
+    some = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    b = base.select(key, F.col("genre").alias("_genre"), F.col("bill").alias("_bill"), F.lit(True).alias("_b"))
+    j = b.join(candidate.withColumn("_c", F.lit(True)), key, "full")
+    both = F.col("_b").isNotNull() & F.col("_c").isNotNull()
+    new = F.col("_c").isNotNull()
+    counts = {"events": new, "blank": new & ~some("genre"), "compared": both, "new_ids": new & F.col("_b").isNull(), "missing_ids": F.col("_c").isNull(), "genre_provenance": new & some("genre") & ~some("method"), "genre_loss": both & some("_genre") & ~some("genre"), "billing_churn": both & ~F.equal_null("bill", "_bill"), "flat_bill": F.coalesce("flat_bill", F.lit(False)), "programme_title": F.coalesce("programme_title", F.lit(False))}
+    m = j.agg(*[F.count_if(test).alias(name) for name, test in counts.items()])
+    alert = lambda code, severity, n: F.struct(F.lit(code).alias("code"), severity.alias("severity"), F.col(n).alias("n"))
+    raised = [F.when(F.col("genre_provenance") > 0, alert("genre_provenance", F.lit("investigate"), "genre_provenance"))]
+    for code, least, cases, share in WATCHED:
+        grave = (F.col("compared") >= least) & (F.col(code) >= F.greatest(F.lit(cases), F.floor(F.col("compared") * share)))
+        raised.append(F.when(F.col(code) > 0, alert(code, F.when(grave, "investigate").otherwise("review"), code)))
+    raised += [F.when(F.col(n) >= least, alert(code, F.lit("review"), n)) for code, n, least in QUEUES]
+    raised.append(F.when(F.col("blank") * 2 > F.col("events"), alert("low_genre_coverage", F.lit("investigate"), "blank")))
+    m = m.withColumn("alerts", F.array_compact(F.array(*raised)))
+    status = F.when(F.exists("alerts", lambda a: a["severity"] == "investigate"), "investigate").when(F.size("alerts") > 0, "review").otherwise("normal")
+    return m.select(status.alias("status"), "alerts", F.struct(*counts).alias("metrics"))

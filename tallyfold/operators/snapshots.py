@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import cut
+from . import listings
+
 #: A fallback holding under half of the last inventory and missing at least twenty rows is partial (fixed values).
 LEAST_RATIO, LEAST_MISSING = 0.5, 20
 RETENTION_DAYS = 7
@@ -39,6 +42,21 @@ def replay(fresh: DataFrame, held: DataFrame, judged: DataFrame, same: list[str]
     return rows.join(live, same, "left").withColumn("fate", fate).drop("_live")
 
 
+def replay_equivalent(fresh: DataFrame, held: DataFrame, judged: DataFrame, now: Column, today: Column) -> DataFrame:
+    """`replay` where a held row is suppressed when the listing merge would put it into one group with a fresh row.
+
+    fresh and held have the columns of the merge (row, day, venue_key, title,
+    time, source, official, ticket); rows are numbered through both sides.
+    """
+    told = ("row", "day", "venue_key", "title", "time", "source", "official", "ticket")
+    side = lambda d, name: d.select(*[F.concat(F.lit(f"{name}:"), F.col("row").cast("string")).alias("row") if c == "row" else F.col(c) for c in told])
+    weak = held.join(judged.where(F.col("status").isin("failed", "partial")).select("source"), "source", "left_semi")
+    groups = cut(listings.merge(side(fresh, "fresh").unionByName(side(weak, "held"))))
+    live = groups.where("startswith(row, 'fresh:')").select("group").distinct().join(groups.where("startswith(row, 'held:')"), "group").select(F.substring("row", 6, 1 << 20).alias("_key"), F.lit(True).alias("_same"))
+    marked = held.withColumn("_key", F.col("row").cast("string")).join(live, "_key", "left").withColumn("_same", F.coalesce("_same", F.lit(False))).drop("_key")
+    return replay(fresh.sparkSession.createDataFrame([(True,)], "_same boolean"), marked, judged, ["_same"], now, today).drop("_same")
+
+
 def update(fresh: DataFrame, replayed: DataFrame, judged: DataFrame, now: Column, today: Column) -> DataFrame:
     """The next snapshot: ok sources are replaced, empty ones cleared, failed and partial ones carry what replay kept.
 

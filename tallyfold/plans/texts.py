@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import autolinks, calendar, programmes
+from ..operators import autolinks, calendar, editorial, programmes, reports, snapshots
 from ..sources import payload_files, registry
 from ..sources.staging import cut, folder
 from ..sources.tables import table
@@ -95,3 +95,48 @@ def page_loads(spark, d):
     for k in shards[1:]:
         loads = loads.unionByName(read(k))
     return registry.page_health(loads).select("shard", "attempts", "declared", "lines", "status")
+
+
+@query("""WITH r AS (SELECT o_orderkey AS id, 'Act ' || o_custkey || ' @ ' || CASE WHEN o_orderstatus = 'P' THEN 'Nowhere' ELSE n_name END || ' - 2026' AS title, n_name, o_orderstatus, n_regionkey FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
+m AS (SELECT title, min(n_name) AS venue FROM r WHERE o_orderstatus = 'P' AND n_regionkey < 2 GROUP BY 1),
+v AS (SELECT id, coalesce(m.venue, n.n_name) AS venue FROM r LEFT JOIN m USING (title) LEFT JOIN nation n ON lower(n.n_name) = lower(regexp_extract(title, '@ (.*) - ', 1)))
+SELECT id, venue, CASE WHEN venue IS NULL THEN 'unresolved' WHEN venue NOT IN (SELECT n_name FROM nation WHERE n_regionkey > 0) THEN 'outside' ELSE 'associated' END AS status FROM v""")
+def review_venues(spark, d):
+    """Orders as concert reviews at a nation: by the title's place, by reviewed titles, outside the registry, unresolved."""
+    n, c = table(spark, d, "nation"), table(spark, d, "customer")
+    at = c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").alias("o_custkey"), "n_name", "n_regionkey")
+    place = F.when(F.col("o_orderstatus") == "P", "Nowhere").otherwise(F.col("n_name"))
+    r = table(spark, d, "orders").join(at, "o_custkey").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("Act "), "o_custkey", F.lit(" @ "), place, F.lit(" - 2026")).alias("title"), F.lit("concert_review").alias("type"), "n_name", "n_regionkey", "o_orderstatus")
+    manual = r.where("o_orderstatus = 'P' and n_regionkey < 2").select("title", F.col("n_name").alias("venue"))
+    return editorial.review_places(r, n.select(F.lower("n_name").alias("key"), F.col("n_name").alias("venue")), manual, n.where("n_regionkey > 0").select(F.col("n_name").alias("venue")))
+
+
+@query("""WITH l AS (SELECT l_orderkey, min(p_name) FILTER (WHERE l_returnflag = 'A') AS old_genre, list_sort(list(DISTINCT p_brand) FILTER (WHERE l_linenumber < 3)) AS old_bill, min(p_name) FILTER (WHERE l_discount < 0.07) AS genre, list_sort(list(DISTINCT p_brand) FILTER (WHERE l_linenumber < 3 OR l_tax > 0.07)) AS bill FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1),
+o AS (SELECT *, o_orderdate < TIMESTAMP '2001-01-01' AS b, o_orderdate >= TIMESTAMP '1996-01-01' AS c FROM orders JOIN l ON l_orderkey = o_orderkey),
+m AS (SELECT count(*) FILTER (WHERE c) AS events, count(*) FILTER (WHERE c AND genre IS NULL) AS blank, count(*) FILTER (WHERE b AND c) AS compared, count(*) FILTER (WHERE c AND NOT b) AS new_ids, count(*) FILTER (WHERE b AND NOT c) AS missing_ids, count(*) FILTER (WHERE c AND genre IS NOT NULL AND o_orderstatus = 'P') AS genre_provenance, count(*) FILTER (WHERE b AND c AND old_genre IS NOT NULL AND genre IS NULL) AS genre_loss, count(*) FILTER (WHERE b AND c AND bill <> coalesce(old_bill, [])) AS billing_churn, count(*) FILTER (WHERE c AND o_totalprice > 400000) AS flat_bill, count(*) FILTER (WHERE c AND o_orderpriority = '1-URGENT') AS programme_title FROM o)
+SELECT CASE WHEN genre_provenance > 0 OR (compared >= 100 AND (genre_loss >= greatest(5, floor(compared * 0.01)) OR billing_churn >= greatest(10, floor(compared * 0.02)))) OR blank * 2 > events THEN 'investigate' WHEN genre_loss + billing_churn > 0 OR flat_bill >= 100 OR programme_title >= 50 THEN 'review' ELSE 'normal' END AS status,
+concat_ws(' ', CASE WHEN genre_provenance > 0 THEN 'genre_provenance:investigate:' || genre_provenance END, CASE WHEN genre_loss > 0 THEN 'genre_loss:' || CASE WHEN compared >= 100 AND genre_loss >= greatest(5, floor(compared * 0.01)) THEN 'investigate:' ELSE 'review:' END || genre_loss END, CASE WHEN billing_churn > 0 THEN 'billing_churn:' || CASE WHEN compared >= 100 AND billing_churn >= greatest(10, floor(compared * 0.02)) THEN 'investigate:' ELSE 'review:' END || billing_churn END,
+ CASE WHEN flat_bill >= 100 THEN 'flat_bill_review_queue:review:' || flat_bill END, CASE WHEN programme_title >= 50 THEN 'programme_title_review_queue:review:' || programme_title END, CASE WHEN blank * 2 > events THEN 'low_genre_coverage:investigate:' || blank END) AS alerts, events, compared, new_ids, missing_ids FROM m""")
+def release_watch(spark, d):
+    """Orders before 2001 as the published release, those since 1996 as the candidate."""
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
+    own = lambda test, c: F.when(test, F.col(c))
+    line, tax = F.col("l_linenumber") < 3, F.col("l_tax") > 0.07
+    l = table(spark, d, "lineitem").join(p, "l_partkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min(own(F.col("l_returnflag") == "A", "p_name")).alias("old_genre"), F.array_sort(F.collect_set(own(line, "p_brand"))).alias("old_bill"), F.min(own(F.col("l_discount") < 0.07, "p_name")).alias("genre"), F.array_sort(F.collect_set(own(line | tax, "p_brand"))).alias("bill"))  # noqa: E741
+    o = table(spark, d, "orders").join(l, "o_orderkey").withColumnRenamed("o_orderkey", "public_id")
+    when = lambda text: F.lit(text).cast("timestamp_ntz")
+    base = o.where(F.col("o_orderdate") < when("2001-01-01 00:00:00")).select("public_id", F.col("old_genre").alias("genre"), F.col("old_bill").alias("bill"))
+    new = o.where(F.col("o_orderdate") >= when("1996-01-01 00:00:00")).select("public_id", "genre", "bill", F.when(F.col("o_orderstatus") != "P", "source").alias("method"), (F.col("o_totalprice") > 400000).alias("flat_bill"), (F.col("o_orderpriority") == "1-URGENT").alias("programme_title"))
+    told = F.array_join(F.transform("alerts", lambda a: F.concat_ws(":", a["code"], a["severity"], a["n"].cast("string"))), " ")
+    return reports.release_monitor(base, new).select("status", told.alias("alerts"), *[f"metrics.{c}" for c in ("events", "compared", "new_ids", "missing_ids")])
+
+
+@query()
+def replayed_listings(spark, d):
+    """Events of the first half month as held rows of a failed source, judged against the second half's by the merge."""
+    e = table(spark, d, "events")
+    rows = e.select(F.col("event_id").alias("row"), F.to_date(F.date_trunc("month", "ts")).alias("day"), F.get_json_object("props", "$.k").alias("venue_key"), F.concat(F.lit("Artist "), "user_id").alias("title"), F.when(F.minute("ts") < 20, F.date_format("ts", "HH:00")).alias("time"), F.col("event_type").alias("source"), F.lit(False).alias("official"), F.lit(None).cast("string").alias("ticket"), F.col("ts").cast("timestamp").alias("last_success"))
+    first = F.dayofmonth("last_success") < 16
+    judged = e.select(F.col("event_type").alias("source")).distinct().withColumn("status", F.when(F.col("source") == "click", "failed").otherwise("ok"))
+    now = F.lit("2024-01-17 00:00:00").cast("timestamp")
+    return snapshots.replay_equivalent(rows.where(~first), rows.where(first), judged, now, F.lit("2024-01-01").cast("date")).select("row", "source", "fate")

@@ -80,3 +80,40 @@ def test_locale_orders(spark):
     assert [r["id"] for r in calendar.locale_order(df, "venue-asc").collect()] == [r["id"] for r in calendar.locale_order(df, "date-asc").collect()]
     got = {r["headliner"]: (r["spellings"], r["rows"]) for r in calendar.same_names(df, "headliner").collect()}
     assert got["cote"] == (4, 4) and got["etoile"] == (2, 2) and len(got) == 8 - ("oeuf" in got and "œuf" not in got)
+
+
+def test_review_places_with_overrides(spark):
+    from tallyfold.operators import editorial
+
+    articles = spark.createDataFrame([(1, "Ana @ Le Club - 1 mai", "concert_review"), (2, "Bob @ Salle X, Paris", "concert_review"), (3, "Cy live", "concert_review"), (4, "Dee @ Le Club - x", "news"), (5, "Eve @ Elsewhere - x", "concert_review"), (6, None, "concert_review")], "id int, title string, type string")
+    places = spark.createDataFrame([("le club", "Le Club"), ("le club", "Le Club Z"), ("salle x", "Salle X")], "key string, venue string")
+    manual = spark.createDataFrame([("Cy live", "Le Club"), ("Ana @ Le Club - 1 mai", "Salle X")], "title string, venue string")
+    known = spark.createDataFrame([("Le Club",)], "venue string")
+    assert _set(editorial.review_places(articles, places)) == {(1, "Le Club", "associated"), (2, "Salle X", "associated"), (3, None, "unresolved"), (5, None, "unresolved"), (6, None, "unresolved")}
+    assert _set(editorial.review_places(articles, places, manual, known)) == {(1, "Salle X", "outside"), (2, "Salle X", "outside"), (3, "Le Club", "associated"), (5, None, "unresolved"), (6, None, "unresolved")}
+
+
+def test_release_monitor(spark):
+    schema = "public_id int, genre string, bill array<string>, method string, flat_bill boolean, programme_title boolean"
+    base = [(i, "Rock", [f"A{i}"], "m", None, None) for i in range(200)]
+    told = lambda rows: reports.release_monitor(spark.createDataFrame(base, schema), spark.createDataFrame(rows, schema)).first()
+    calm = told(base)
+    assert (calm["status"], calm["alerts"]) == ("normal", []) and calm["metrics"]["compared"] == 200
+    some = told([(i, None if i < 3 else g, b if i > 9 else ["other"], m, f, p) for i, g, b, m, f, p in base])
+    assert some["status"] == "investigate" and [tuple(a) for a in some["alerts"]] == [("genre_loss", "review", 3), ("billing_churn", "investigate", 10)]
+    odd = told([(i + 150, "Rock" if i < 5 else None, [f"A{i + 150}"], None if i < 2 else "m", i < 100, True) for i in range(120)])
+    assert [tuple(a) for a in odd["alerts"]] == [("genre_provenance", "investigate", 2), ("genre_loss", "review", 45), ("flat_bill_review_queue", "review", 100), ("programme_title_review_queue", "review", 120), ("low_genre_coverage", "investigate", 115)]
+    assert (odd["metrics"]["new_ids"], odd["metrics"]["missing_ids"]) == (70, 150)
+
+
+def test_replay_suppresses_what_the_merge_holds_equal(spark):
+    from tallyfold.operators import snapshots
+
+    schema = "row int, day date, venue_key string, title string, time string, source string, official boolean, ticket string, last_success timestamp"
+    d, now = dt.date(2026, 5, 1), dt.datetime(2026, 4, 20)
+    row = lambda i, title, source, time=None, day=d, at=now: (i, day, "v", title, time, source, False, None, at)
+    fresh = spark.createDataFrame([row(1, "Ana & Bob", "b", "19:00"), row(2, "Cy", "b", "21:00")], schema)
+    held = spark.createDataFrame([row(1, "Bob x Ana", "a"), row(2, "Cy", "a", "19:00"), row(3, "Dee", "a"), row(4, "Eve", "a", day=dt.date(2026, 4, 1)), row(5, "Fay", "a", at=dt.datetime(2026, 4, 1)), row(6, "Ana & Bob", "ok")], schema)
+    judged = spark.createDataFrame([("a", "failed"), ("b", "ok"), ("ok", "ok")], "source string, status string")
+    got = snapshots.replay_equivalent(fresh, held, judged, F.lit(now), F.lit(dt.date(2026, 4, 20)))
+    assert {r["row"]: r["fate"] for r in got.collect()} == {1: "suppressed", 2: "restored", 3: "restored", 4: "past", 5: "expired"}
