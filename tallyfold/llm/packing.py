@@ -165,7 +165,7 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Adds sequence_id and offset to pieces(doc_id, piece, length, ...), lengths 1..max_tokens.
 
     Sequences are gapless from offset 0. `pieces` must be materialized (it is
-    read several times). Equal rows get places of their own. No row is dropped.
+    read several times, and its rows are numbered where they lie). Equal rows get places of their own. No row is dropped.
     """
     spark = pieces.sparkSession
     cols = pieces.columns
@@ -181,7 +181,8 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
             at += k * length
         base += times
     buckets = max(1, -(-max(histogram.values(), default=1) // RANK_ROWS))
-    keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(buckets)))
+    # a row's number is in the hash: rows alike in all else are dealt too
+    keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id(), "doc_id", "piece", "start"), F.lit(buckets)))
     sums = keyed.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     before = sums.withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))).select("length", "_bucket", F.coalesce("_before", F.lit(0)).alias("_before"))
     inside = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "ids_crc32") if "ids_crc32" in cols else Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece")
