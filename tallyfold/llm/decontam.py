@@ -13,6 +13,7 @@ their spans merge into removal spans.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -229,17 +230,24 @@ def _runs(batches: Iterator[pa.RecordBatch], p: Phrases) -> Iterator[tuple]:
         yield b, buf, off, starts, ends, at, hit, owned
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple]]:
-    """Test items in blocks of bounded bytes: the stated query set, fetched item by item."""
-    blocks, size = [[]], 0
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple]]:
+    """Test items in blocks of bounded bytes, fetched item by item: the driver holds the one block that is being searched."""
+    block, size = [], 0
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("item is not null and text is not null")
     for r in rows.toLocalIterator():
-        if size + len(r["text"]) > BLOCK_BYTES and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r["item"], r["text"]))
+        if size + len(r["text"]) > BLOCK_BYTES and block:
+            yield block
+            block, size = [], 0
+        block.append((r["item"], r["text"]))
         size += len(r["text"])
-    return blocks
+    yield block
+
+
+def _few(blocks: Iterator[list[tuple]]) -> tuple[list[tuple] | None, Iterator[list[tuple]]]:
+    """(the only block, or None where there are more; all blocks)."""
+    first = next(blocks)
+    second = next(blocks, None)
+    return (first if second is None else None), itertools.chain([first], [] if second is None else [second], blocks)
 
 
 def _spans(starts: np.ndarray, ends: np.ndarray, hit: np.ndarray) -> list[tuple[int, int]]:
@@ -281,9 +289,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         return run
 
-    blocks = _blocks(benchmark, item_col, text_col)
-    if len(blocks) == 1:
-        return arrow_map(docs, whole(blocks[0]), schema)
+    only, blocks = _few(_blocks(benchmark, item_col, text_col))
+    if only is not None:
+        return arrow_map(docs, whole(only), schema)
     # a benchmark beyond one block: one search a block, then hit words and items meet by row
     keyed = materialize(docs.withColumn("row", F.monotonically_increasing_id()))
 
@@ -308,7 +316,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     found = None
     for items in blocks:
-        one = arrow_map(keyed, part(items), "row long, hits array<long>, items array<string>")
+        one = materialize(arrow_map(keyed, part(items), "row long, hits array<long>, items array<string>"))
         found = one if found is None else found.union(one)
     found = found.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     items = F.coalesce("items", F.array().cast("array<string>"))
@@ -334,9 +342,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         out.append(raw[cut:])
         return b"\n".join(out).decode()
 
-    blocks = _blocks(benchmark, item_col, "text")
-    if len(blocks) == 1:
-        p = phrases_of([t for _, t in blocks[0]], window)
+    only, blocks = _few(_blocks(benchmark, item_col, "text"))
+    if only is not None:
+        p = phrases_of([t for _, t in only], window)
 
         def run(batches):
             for b, buf, off, starts, ends, at, hit, owned in _runs(named(batches), p):
@@ -351,7 +359,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
         return arrow_map(docs, run, schema)
     # one search a block over the same rows, then hit words meet by row
-    row, words = "_decontam_row", "_decontam_hits"
+    fresh = lambda name: next(n for k in range(len(docs.columns) + 1) if (n := f"__{name}{k}") not in docs.columns)
+    row, words = fresh("row"), fresh("hits")
     keyed = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
     texts_only = keyed.select(F.col(row).alias("row"), F.col(text_col).cast("string").alias("text"))
 
@@ -367,7 +376,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     found = None
     for items in blocks:
-        one = arrow_map(texts_only, part(items), "row long, hits array<long>")
+        one = materialize(arrow_map(texts_only, part(items), "row long, hits array<long>"))
         found = one if found is None else found.union(one)
     found = found.groupBy(F.col("row").alias(row)).agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias(words))
 

@@ -586,3 +586,24 @@ def test_license_scan_of_a_text_of_many_lines(spark):
         lines[at] = notice
     got = license_scan.license_paragraphs(spark.createDataFrame([(1, "\n".join(lines)), (2, notice)], "doc_id long, text string")).where("confirmed").collect()
     assert sorted((r["doc_id"], r["paragraph"], r["family"]) for r in got) == [(1, 0, "mpl-2.0"), (1, 20_000, "mpl-2.0"), (1, 39_999, "mpl-2.0"), (2, 0, "mpl-2.0")]
+
+
+def test_packing_deals_rows_alike_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_ROWS", 50)
+    pieces = packing.materialize(spark.createDataFrame([(None, 0, 0, 7)] * 1000, "doc_id long, piece int, start long, length long").repartition(4))
+    got = packing.pack(pieces, 100).collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == 1000 and len({r["sequence_id"] for r in got}) == 72
+    from pyspark.sql import functions as F
+    buckets = pieces.select(F.pmod(F.xxhash64(F.monotonically_increasing_id(), "doc_id", "piece", "start"), F.lit(20)).alias("b")).groupBy("b").count().collect()
+    assert len(buckets) == 20 and max(r["count"] for r in buckets) < 100
+
+
+def test_decontaminate_keeps_columns_of_any_name(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 40)
+    phrase = " ".join(f"secret{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"before {phrase} after", 7, "h", "w"), (2, "clean", 8, "i", "x")], "doc_id long, text string, _decontam_row long, _decontam_hits string, __row0 string")
+    bench = spark.createDataFrame([(1, phrase), (2, "other words stand here in this one item too now ok")], "item_id long, text string")
+    got = decontam.decontaminate(docs, bench)
+    assert got.columns == docs.columns
+    rows = {r["doc_id"]: tuple(r) for r in got.collect()}
+    assert "secret3" not in rows[1][1] and rows[1][2:] == (7, "h", "w") and rows[2] == (2, "clean", 8, "i", "x")
