@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import autolinks, calendar, editorial, programmes, reports, snapshots
-from ..sources import payload_files, registry
+from ..sources import payload_files, registry, sites
 from ..sources.staging import cut, folder
 from ..sources.tables import table
 from .registry import day, query
@@ -140,3 +140,12 @@ def replayed_listings(spark, d):
     judged = e.select(F.col("event_type").alias("source")).distinct().withColumn("status", F.when(F.col("source") == "click", "failed").otherwise("ok"))
     now = F.lit("2024-01-17 00:00:00").cast("timestamp")
     return snapshots.replay_equivalent(rows.where(~first), rows.where(first), judged, now, F.lit("2024-01-01").cast("date")).select("row", "source", "fate")
+
+
+@query("""WITH n AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS hrefs, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS titles FROM pages)
+SELECT page_id, CAST(i - 1 AS INTEGER) AS card, titles[i] AS title, 'https://x.org' || hrefs[i] AS link FROM n, range(1, 99) r(i) WHERE i <= len(hrefs)""")
+def site_cards(spark, d):
+    """The links of each page's navigation as the cards of a declared site."""
+    site = {"nav": sites.Site("nav li", {"title": "a", "ticket": "a@href"}, "https://x.org/")}
+    pages = table(spark, d, "pages").select(F.lit("nav").alias("source"), F.col("page_id").alias("page"), "html")
+    return sites.cards(pages, site).select(F.col("page").cast("long").alias("page_id"), "card", F.col("fields")["title"].alias("title"), sites.absolute(F.col("fields")["ticket"], F.lit("https://x.org/")).alias("link"))
