@@ -88,7 +88,9 @@ def html_strip(spark, d):
     return table(spark, d, "pages").select("page_id", K.summarize(K.strip_html(F.col("html"))).alias("summary"))
 
 
-@query()
+@query("""WITH p AS (SELECT page_id, regexp_extract(trim(url), '^(?i:(https?))://([^/?#]*)([^?#]*)[?]?([^#]*)', ['scheme', 'host', 'path', 'query']) AS u FROM pages),
+k AS (SELECT page_id, lower(u.scheme) AS scheme, lower(u.host) AS host, rtrim(u.path, '/') AS path, list_sort(list_transform(list_filter(string_split(u.query, '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_') AND lower(split_part(x, '=', 1)) NOT IN ('lang', 'locale', 'hl', 'language')), lambda x: CASE WHEN contains(x, '=') THEN x ELSE x || '=' END)) AS kept FROM p)
+SELECT page_id, CASE WHEN host <> '' AND (path <> '' OR len(kept) > 0) THEN scheme || '://' || host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS url FROM k""")
 def url_canonical(spark, d):
     return table(spark, d, "pages").select("page_id", K.canonical_url("url").alias("url"))
 
