@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,20 +45,35 @@ def full_compare(before: DataFrame, after: DataFrame, key: str, differs: Column)
 
 #: Edges of the largest component that one task matches in a pass.
 MOST_EDGES = 5_000_000
+#: Rounds over all edges before what is left goes by components.
+FIRST_ROUNDS = 3
 
 
 def greedy_match(edges: DataFrame, left: str, right: str, score: str, rounds: int = 50) -> DataFrame:
     """One-to-one matches, best score first, ties by (left, right): what a sorted greedy loop would take.
 
-    Components of the edges do not bear on each other: each is dealt to a task,
-    which passes once over its edges in order and holds the taken ends only. A
-    component of over MOST_EDGES edges is matched by rounds over the whole
+    An edge that ranks first at both its ends is taken whatever the others do,
+    so a few rounds take most of them. Components of what is left do not bear on
+    each other: each is dealt to a task, which passes once over its edges in
+    order and holds the taken ends only. A component of over MOST_EDGES edges is matched by rounds over the whole
     cluster instead; one that takes more than `rounds` is an error, never a
     partial result. Edges with a null end match nothing.
     """
     from ..sources.staging import cut
 
     edges = cut(edges.select(left, right, score).where(F.col(left).isNotNull() & F.col(right).isNotNull()).distinct())
+    taken = []
+    for _ in range(FIRST_ROUNDS):
+        won, edges = _round(edges, left, right, score)
+        taken.append(won)
+        if edges.isEmpty():
+            return reduce(DataFrame.union, taken)
+    return reduce(DataFrame.union, [*taken, _by_components(edges, left, right, score, rounds)])
+
+
+def _by_components(edges: DataFrame, left: str, right: str, score: str, rounds: int) -> DataFrame:
+    from ..sources.staging import cut
+
     ends = [F.xxhash64(F.lit(i), c) for i, c in enumerate((left, right))]  # equal hashes would only join two components
     roots = components(edges.select(ends[0].alias("u"), ends[1].alias("v")))
     placed = edges.withColumn("_u", ends[0]).join(roots.select(F.col("node").alias("_u"), F.col("root").alias("_root")), "_u").drop("_u")
@@ -87,17 +104,22 @@ def _passes(placed: DataFrame, left: str, right: str, score: str) -> DataFrame:
     return placed.repartition("_root").sortWithinPartitions("_root", F.desc(score), left, right).mapInPandas(run, schema)
 
 
-def _rounds(edges: DataFrame, left: str, right: str, score: str, rounds: int) -> DataFrame:
-    """Each round takes every edge that ranks first at both its ends among edges with free ends; hot ends meet in partial minima."""
+def _round(edges: DataFrame, left: str, right: str, score: str) -> tuple[DataFrame, DataFrame]:
+    """(edges taken, edges left): every edge that ranks first at both its ends is taken; hot ends meet in partial minima."""
     from ..sources.staging import cut
 
-    taken, kind = None, edges.schema[score].dataType
     rank = F.struct((-F.col(score)).alias("_s"), F.col(left).alias("_l"), F.col(right).alias("_r"))
+    first = [edges.groupBy(c).agg(F.min(rank).alias("_b")).select("_b.*") for c in (left, right)]
+    won = first[0].join(first[1], ["_s", "_l", "_r"], "left_semi").select(F.col("_l").alias(left), F.col("_r").alias(right), (-F.col("_s")).cast(edges.schema[score].dataType).alias(score))
+    won = cut(won)
+    return won, cut(edges.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti"))
+
+
+def _rounds(edges: DataFrame, left: str, right: str, score: str, rounds: int) -> DataFrame:
+    taken = []
     for _ in range(rounds):
-        first = [edges.groupBy(c).agg(F.min(rank).alias("_b")).select("_b.*") for c in (left, right)]
-        won = cut(first[0].join(first[1], ["_s", "_l", "_r"], "left_semi").select(F.col("_l").alias(left), F.col("_r").alias(right), (-F.col("_s")).cast(kind).alias(score)))
-        taken = won if taken is None else taken.union(won)
-        edges = cut(edges.join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti"))
+        won, edges = _round(edges, left, right, score)
+        taken.append(won)
         if edges.isEmpty():
-            return taken
+            return reduce(DataFrame.union, taken)
     raise RuntimeError("matching did not end")

@@ -39,11 +39,13 @@ def test_runs(spark, name):
     assert plans.queries()[name](spark, SF).count() > 0
 
 
+@pytest.mark.parametrize("first", [0, 1, 3])
 @pytest.mark.parametrize("most", [5_000_000, 0, 60])
-def test_greedy_equals_sorted_loop(spark, most, monkeypatch):
+def test_greedy_equals_sorted_loop(spark, most, first, monkeypatch):
     from tallyfold.operators import joins
 
     monkeypatch.setattr(joins, "MOST_EDGES", most)
+    monkeypatch.setattr(joins, "FIRST_ROUNDS", first)
     edges = [(a, b, float((a * 7 + b * 13) % 11)) for a in range(12) for b in range(9) if (a + b) % 3] + [(a, b, 1.0) for a in range(20, 26) for b in range(20, 24)]
     rows_ = spark.createDataFrame([*edges, edges[0], (None, 1, 99.0), (1, None, 99.0)], "l int, r int, s double")
     got = {tuple(r) for r in joins.greedy_match(rows_, "l", "r", "s").collect()}
