@@ -548,7 +548,7 @@ def test_queries_equal_their_sql(spark):
     from tallyfold.llm import queries
 
     sf, con = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     for name, sql in queries.oracle_sql().items():
         theirs, ours = con.sql(sql).df(), queries.queries()[name](spark, sf).toPandas()
