@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import autolinks, calendar, editorial, programmes, reports, snapshots
-from ..sources import payload_files, registry, sites
+from ..sources import payload_files, registry, shards, sites
 from ..sources.staging import cut, folder
 from ..sources.tables import table
 from .registry import day, query
@@ -149,3 +149,13 @@ def site_cards(spark, d):
     site = {"nav": sites.Site("nav li", {"title": "a", "ticket": "a@href"}, "https://x.org/")}
     pages = table(spark, d, "pages").select(F.lit("nav").alias("source"), F.col("page_id").alias("page"), "html")
     return sites.cards(pages, site).select(F.col("page").cast("long").alias("page_id"), "card", F.col("fields")["title"].alias("title"), sites.absolute(F.col("fields")["ticket"], F.lit("https://x.org/")).alias("link"))
+
+
+@query("""SELECT s_nationkey AS nation, count(*) AS suppliers, round(sum(s_acctbal), 2) AS balance FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey < 2) GROUP BY 1""")
+def sharded_assets(spark, d):
+    """Suppliers as a keyed asset by nation, written in shards, and read for the nations of two regions."""
+    path = f"{folder(spark)}/asset-{uuid.uuid4().hex}"
+    s = table(spark, d, "supplier")
+    shards.write_shards(s, path, "s_nationkey", 8)
+    keys = [r[0] for r in table(spark, d, "nation").where("n_regionkey < 2").select("n_nationkey").collect()]
+    return shards.read_shards(spark, path, s.schema, keys).groupBy(F.col("s_nationkey").alias("nation")).agg(F.count("*").alias("suppliers"), F.round(F.sum("s_acctbal"), 2).alias("balance"))
