@@ -27,7 +27,8 @@ class Site:
     """`card` and the values of `fields` are selectors: tag, #id, .class, [attribute], [attribute=value] or [attribute^=value], spaces for "inside".
 
     A field ends in @name for an attribute instead of the text; without a
-    selector before it that of the card itself. A field's first element counts,
+    selector before it that of the card itself. After ^ a selector means the
+    last such text before the card, as of a day that several cards stand under. A field's first element counts,
     for `performers` each line of it. Fields that `listings` reads: title, date,
     time, place, city, category, ticket, image, status, performers.
     """
@@ -43,10 +44,10 @@ class Site:
 #: Where sites that give their whole programme on one page keep it.
 SITES = {
     "Le Trabendo": Site("a.event", {"title": ".name-event", "date": ".date-event", "category": ".pastille", "ticket": "@href", "image": "picture img@src"}, "https://www.letrabendo.net/programmation/", "Le Trabendo", "Paris", ("concert",)),
-    "Cabaret Sauvage": Site(".post-item-3.w-dyn-item", {"title": ".work-title", "date": ".post-date", "category": ".category-link", "ticket": "a[href^=/work/]@href", "image": "img.image-hover@src", "status": ".work-title"}, "https://www.cabaretsauvage.com/", "Cabaret Sauvage", "Paris", ("concert",)),
-    "Casino de Paris": Site("li.cards-grid__item .card", {"title": "h3.title", "date": ".date", "time": ".date", "category": ".event-title", "ticket": "a.js-main-link@href", "image": ".image img@src", "status": ".actions"}, "https://www.casinodeparis.fr/", "Casino de Paris", "Paris", ("concert",)),
-    "U-Turn Touring": Site(".show-row", {"title": ".show-full-name", "date": ".show-full-date", "place": ".show-full-venue", "ticket": "a.ticket-btn@href", "performers": ".show-full-name"}, "https://www.uturntouring.com/"),
-    "Nouveau Casino": Site("li.event_item[data-type=concert]", {"title": ".event_header h3", "performers": ".event_header h3", "date": "time .date", "time": ".event_header p span", "ticket": ".event_tickets a@href", "image": "picture img@src", "status": ".event_header h3"}, "https://www.nouveaucasino.fr/", "Nouveau Casino", "Paris"),
+    "Cabaret Sauvage": Site(".post-item-3.w-dyn-item", {"title": ".work-title", "date": ".post-date", "category": ".category-link", "ticket": "a[href^=/work/]@href", "image": "img.image-hover@src", "status": ".work-title"}, "https://www.cabaretsauvage.com/agenda", "Cabaret Sauvage", "Paris", ("concert",)),
+    "Casino de Paris": Site("li.cards-grid__item .card", {"title": "h3.title", "date": ".date", "time": ".date", "category": ".event-title", "ticket": "a.js-main-link@href", "image": ".image img@src", "status": ".actions"}, "https://www.casinodeparis.fr/fr", "Casino de Paris", "Paris", ("concert",)),
+    "U-Turn Touring": Site(".show-full-row", {"title": ".show-full-name", "date": ".show-full-date", "place": ".show-full-venue", "ticket": "a.ticket-btn@href", "performers": ".show-full-name"}, "https://www.uturntouring.com/shows/"),
+    "Nouveau Casino": Site("li.event_item[data-type=concert]", {"title": ".event_header h3", "performers": ".event_header h3", "date": "^li.day_item time .date", "time": ".event_header p span", "ticket": ".event_tickets a@href", "image": "picture img@src", "status": ".event_header h3"}, "https://www.nouveaucasino.fr/", "Nouveau Casino", "Paris"),
 }
 
 
@@ -88,6 +89,7 @@ class _Scanner(HTMLParser):
         self.site, self.stack, self.cards, self.open = site, [], [], None
         self.fields = {k: v.partition("@")[::2] for k, v in site.fields.items()}
         self.taking: dict[str, int] = {}
+        self.above, self.heading = {}, {}  # texts outside cards, and those being read
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "br":
@@ -95,13 +97,17 @@ class _Scanner(HTMLParser):
         self.stack.append(Element(tag, {k: v or "" for k, v in attrs}))
         if self.open is None and fits(self.stack, self.site.card):
             self.open = len(self.stack)
-            self.cards.append({})
+            self.cards.append({**self.above})
             for name, (selector, attr) in self.fields.items():
                 if not selector and attr in self.stack[-1].attrs:
                     self.cards[-1][name] = self.stack[-1].attrs[attr]
-        elif self.open is not None:
+        elif self.open is None:
+            for name, (selector, _) in self.fields.items():
+                if selector.startswith("^") and fits(self.stack, selector[1:]):
+                    self.above[name], self.heading[name] = "", len(self.stack)
+        else:
             for name, (selector, attr) in self.fields.items():
-                if selector and name not in self.cards[-1] and fits(self.stack[self.open - 1 :], selector):
+                if selector and selector[0] != "^" and name not in self.cards[-1] and fits(self.stack[self.open - 1 :], selector):
                     if attr:
                         if attr in self.stack[-1].attrs:
                             self.cards[-1][name] = self.stack[-1].attrs[attr]
@@ -125,10 +131,13 @@ class _Scanner(HTMLParser):
     def close_to(self, depth: int) -> None:
         del self.stack[depth:]
         self.taking = {k: d for k, d in self.taking.items() if d <= depth}
+        self.heading = {k: d for k, d in self.heading.items() if d <= depth}
         if self.open is not None and depth < self.open:
             self.open, self.taking = None, {}
 
     def handle_data(self, data: str) -> None:
+        for name in self.heading:
+            self.above[name] += data
         for name in self.taking:
             self.cards[-1][name] += data if data == "\n" else data.replace("\n", " ") + " " * (not data.endswith(" "))
 
@@ -162,7 +171,7 @@ def card_date(text: Column, year: Column | None = None) -> Column:
     part = lambda i: F.regexp_extract(folded, r"\b(\d{1,2})[./](\d{1,2})(?:[./](\d{2,4}))?\b", i)
     own = F.when(F.length(part(3)) == 2, F.concat(F.lit("20"), part(3))).when(F.length(part(3)) == 4, part(3))
     own = own if year is None else F.coalesce(own, year.cast("string"))
-    numeric = F.try_to_date(F.concat_ws("-", F.coalesce(own, F.lit("x")), F.lpad(part(2), 2, "0"), F.lpad(part(1), 2, "0")))
+    numeric = F.try_to_date(F.concat(F.coalesce(own, F.lit("x")), F.lit("-"), F.lpad(part(2), 2, "0"), F.lit("-"), F.lpad(part(1), 2, "0")))
     return F.coalesce(F.try_to_date(F.nullif(iso, F.lit(""))), written_date(folded, year), numeric)
 
 
@@ -180,9 +189,9 @@ STATES = (("cancelled", ("annule", "annulee", "cancelled", "canceled")), ("postp
 def listings(found: DataFrame, sites: dict[str, Site] = SITES, year: Column | None = None) -> DataFrame:
     """Listings of cards: (source, page, card, day, time, headliner, performers, venue, city, category, ticket_url, ticket_status, image_url).
 
-    Cards without a title or a valid day are left out, as are those of another
-    category than the site's. A place reads "city, venue" where a site has no
-    venue of its own. Words of STATES in the status, or in brackets or behind a
+    year: of days told without one. Cards without a title or a valid day are left out, as are those of another
+    category than the site's. A place reads "city — venue" or "city, venue" where
+    a site has no venue of its own. Words of STATES in the status, or in brackets or behind a
     dash at the end of the title, give the ticket's state.
     """
     told = [(name, s.base, s.venue, s.city, list(s.categories)) for name, s in sites.items()]
@@ -194,12 +203,13 @@ def listings(found: DataFrame, sites: dict[str, Site] = SITES, year: Column | No
     for name, ws in STATES:
         state = state.when(states.rlike(rf"(?<!\w)(?:{'|'.join(ws)})(?!\w)"), name)
     bare = F.trim(F.regexp_replace(f("title"), rf"(?i)\s*\[(?:{words}|reporté|reportée|annulé|annulée)\]|\s+[–-]\s*(?:{words})\s*$", ""))
-    place = F.split(f("place"), r"\s*,\s*", 2)
+    place = F.split(f("place"), r"\s*,?\s+—\s+|\s*,\s*", 2)
+    told_city = F.size(place) > 1
     rows = found.join(F.broadcast(about), "source").select(
         "source", "page", "card", card_date(f("date"), year).alias("day"),
         normal_time(F.nullif(F.regexp_extract(f("time"), r"(?i)\b(\d{1,2}\s*[:h]\s*(?:\d{2})?)(?!\d)", 1), F.lit(""))).alias("time"),
         bare.alias("headliner"), F.filter(F.split(F.col("fields")["performers"], "\n"), lambda x: F.trim(x) != "").alias("performers"),
-        F.coalesce("_venue", F.get(place, F.lit(1))).alias("venue"), F.coalesce("_city", f("city"), F.get(place, F.lit(0))).alias("city"),
+        F.coalesce("_venue", F.element_at(place, -1)).alias("venue"), F.coalesce("_city", f("city"), F.when(told_city, F.get(place, F.lit(0)))).alias("city"),
         f("category").alias("category"), absolute(f("ticket"), F.col("_base")).alias("ticket_url"), state.when(f("ticket").isNotNull(), "tickets").alias("ticket_status"), absolute(f("image"), F.col("_base")).alias("image_url"), "_categories",
     )
     fits_ = (F.size("_categories") == 0) | F.array_contains("_categories", fold_latin(F.col("category")))
