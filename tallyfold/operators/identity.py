@@ -19,6 +19,9 @@ PRESENTATION = ("live", "tour", "world tour", "paris")
 TICKET, BILL, ARTIST, SPELLING, WEAK = 400, 340, 320, 300, 280
 SAME_VENUE, SAME_ARTIST, SAME_TIME = 40, 20, 10
 MOST_DAYS, LEAST_RATIO = 180, 0.96
+#: Lengths of the longer of two names that may differ by one letter and no more; from LONG letters on both, by more.
+ONE_LETTER, LONG = (13, 25), 24
+_SEVERAL = r"\s(?:&|\+|/|,|–|—|-)\s"
 
 
 def phrase(text: Column, folded=fold_latin) -> Column:
@@ -44,6 +47,22 @@ def _sides(df: DataFrame, row: str, tag: str) -> DataFrame:
     return cut(out.join(alone, f"{tag}_ticket", "left"))  # three joins read it
 
 
+def _shorter(name: Column) -> Column:
+    """A name of the lengths where a ratio of 0.96 allows one letter more or less, each letter in turn left out."""
+    out = F.transform(F.sequence(F.lit(1), F.length(name)), lambda i: F.concat(F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, F.length(name))))
+    return F.when(F.length(name).between(*ONE_LETTER), out).otherwise(F.array().cast("array<string>"))
+
+
+def _older(name: Column, title: Column) -> Column:
+    """Every old name that `name` may continue by being it, dressing it, or naming more; or by one letter more."""
+    words = F.split(name, " ")
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.transform(F.sequence(i, F.size(words)), lambda j: F.concat_ws(" ", F.slice(words, i, j - i + 1)))))
+    bare = [F.when(F.endswith(name, F.lit(f" {w}")), F.substring(name, F.lit(1), F.length(name) - len(w) - 1)) for w in PRESENTATION]
+    told = F.array_compact(F.array(name, *(F.concat(name, F.lit(f" {w}")) for w in PRESENTATION), *bare))
+    keys = F.concat(told, F.when(title.rlike(_SEVERAL), runs).otherwise(F.array().cast("array<string>")), _shorter(name))
+    return F.filter(F.array_distinct(keys), lambda k: k != "")
+
+
 def continuity(listings: DataFrame, published: DataFrame, row: str, public_id: str) -> DataFrame:
     """(row, public_id, score): which published identity each listing may continue.
 
@@ -62,16 +81,26 @@ def continuity(listings: DataFrame, published: DataFrame, row: str, public_id: s
     moved = eq("ticket") & F.col("a_alone") & F.col("b_alone") & ~eq("day") & eq("venue") & eq("bill") & known("bill") & (F.abs(F.datediff("a_day", "b_day")) <= MOST_DAYS)
     old, new = F.col("b_name"), F.col("a_name")
     pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    richer = (old != "") & (old != new) & F.contains(pad(new), pad(old)) & F.col("a_title").rlike(r"\s(?:&|\+|/|,|–|—|-)\s")
+    richer = (old != "") & (old != new) & F.contains(pad(new), pad(old)) & F.col("a_title").rlike(_SEVERAL)
     dressed = reduce(lambda x, w: x | (old == F.concat(new, F.lit(f" {w}"))) | (new == F.concat(old, F.lit(f" {w}"))), PRESENTATION, F.lit(False))
     # a ratio of 0.96 bounds the difference of the lengths, so most pairs never reach Python
     longer, both = F.abs(F.length(old) - F.length(new)), F.length(old) + F.length(new)
     # names of one length that differ match in one letter less at most
     close = (old != "") & (new != "") & (longer <= (1 - LEAST_RATIO) * both) & ((old == new) | (longer > 0) | (both * (1 - LEAST_RATIO) >= 1.999))
     certain = ((eq("bill") & known("bill")) | (eq("name") & known("name")) | richer | (dressed & known("name") & (old != "")))
-    edges = [a.join(b, eq("ticket") & eq("day") & calm), a.join(b, moved & calm), a.join(b, eq("venue") & eq("day") & calm & (certain | close))]
+    # within a venue's day only names that can be near meet: by equal keys, and long ones pair by pair
+    keyed = lambda d, keys: d.withColumn("_key", F.explode(keys))
+    here, near = eq("venue") & eq("day"), calm & (certain | close)
+    edges = [
+        a.join(b, eq("ticket") & eq("day") & calm),
+        a.join(b, moved & calm),
+        a.where(known("bill")).join(b, here & eq("bill") & calm),
+        keyed(a, _older(new, F.col("a_title"))).join(b, here & (F.col("_key") == old) & near).drop("_key"),
+        a.join(keyed(b, _shorter(old)), here & (F.col("_key") == new) & near).drop("_key"),
+        a.where(F.length(new) >= LONG).join(b.where(F.length(old) >= LONG), here & (both >= 2 * ONE_LETTER[1]) & close & calm),
+    ]
     pairs = reduce(DataFrame.unionByName, edges).distinct()
-    spelled = F.when(close & (old != new), similar(old, new) >= LEAST_RATIO).otherwise(old == new)
+    spelled = F.when(close & (old != new), similar(F.when(close & (old != new), old), new) >= LEAST_RATIO).otherwise(old == new)
     pairs = pairs.withColumn("_spelled", at(spelled)).withColumn("_certain", at(certain))
     pairs = pairs.where(at(eq("ticket")) | F.col("_certain") | F.col("_spelled"))
     score = F.when(eq("ticket"), TICKET).when(eq("bill") & known("bill"), BILL).when(eq("name") & known("name"), ARTIST).when(F.col("_spelled"), SPELLING).otherwise(WEAK)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 from difflib import SequenceMatcher
 
 import pytest
@@ -208,6 +209,23 @@ def test_continuity_equals_all_pairs(spark):
     assert {tuple(r) for r in got.collect()} == want and len(want) >= 4
 
 
+def test_names_of_one_place_and_day_meet_by_keys(spark):
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abc ") for _ in range(n)).strip() + "z" for n in [*range(3, 16), *range(20, 34)] * 2]
+    less = lambda n: (lambda i: n[:i] + n[i + 1 :])(rng.randrange(len(n)))
+    vary = lambda n: rng.choice([n, n, less(n), less(less(n)), n + "q", n[:-1] + "y", f"{n} live", f"{n} world tour", f"{n} + {rng.choice(base)}", f"{rng.choice(base)} + {n} + x"])
+    side = lambda tag: [(f"{tag}{i}", D(2026, 5, 1), rng.choice([None, "19:00", "20:00"]), " ".join(vary(n).split()), None, "Hall", "Paris", None) for i, n in enumerate(base * 2)]
+    old, new = side("p"), side("n")
+    old = [r for r in old if "+" not in r[3]]
+    want = {(a[0], b[0], s) for a in new for b in old if (s := brute_score(a, b, lambda t: False)) is not None}
+    got = identity.continuity(spark.createDataFrame(new, SIDE), spark.createDataFrame(old, SIDE).withColumnRenamed("row", "pid"), "row", "pid")
+    assert {tuple(r) for r in got.collect()} == want and {300, 280} <= {s // 20 * 20 - 40 for _, _, s in want}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    met = [line for line in plan.splitlines() if "Join Inner" in line and "a_venue" in line and "a_day" in line]
+    loose = [line for line in met if "_key" not in line and "a_bill" not in line.split("a_time")[0] and "a_ticket" not in line]
+    assert met and len(loose) <= 1 and "length(a_name" in plan and ">= 24)" in plan
+
+
 def test_assigned_identities_are_kept_and_unique(spark):
     rows = spark.createDataFrame([("a", "x", ""), ("b", "x", "19:00"), ("c", "y", ""), ("d", "y", ""), ("e", "z", "")], "row string, base string, performance string")
     state = spark.createDataFrame([("k1", "id1", "x", "19:00"), ("k2", "id2", "q", "")], "key string, public_id string, base string, performance string")
