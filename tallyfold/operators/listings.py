@@ -11,8 +11,10 @@ result.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,8 +35,8 @@ _PASS = re.compile(r"\b(?:pass|package|forfait)\b", re.I)
 _SET = re.compile(r"\b(?:1er set|2e set|first set|second set|early show|late show|matin[ée]e)\b", re.I)
 _GUESTS = re.compile(r"\s*\+\s*(?:special )?guests?\s*$", re.I)
 
-#: Rows of a block up to which one task takes it whole.
-BLOCK_ROWS = 2000
+#: Rows of a block up to which one task takes it whole: looked up by key, they take some 100 microseconds each.
+BLOCK_ROWS = 100_000
 
 
 def names_of(title: str) -> frozenset[str]:
@@ -43,12 +45,21 @@ def names_of(title: str) -> frozenset[str]:
     return frozenset(n for n in (fold_promoter(p) for p in _PART.split(bare)) if n)
 
 
+@functools.lru_cache(1 << 15)
+def _said(title: str) -> dict:
+    marks = tuple(sorted(m.lower() for m in _SET.findall(title)))
+    acts = names_of(title)
+    return {"title": title, "strict": fold_text(_QUALIFIER.sub("", title)), "acts": acts, "bare": names_of(_TOUR.sub("", title)) or acts, "kind": (marks, bool(_TRIBUTE.search(title)), bool(_PASS.search(title)))}
+
+
 def read(x: dict) -> dict:
     """A row {title, ...} with its acts, those of the title without a tour, and the kind of show."""
-    title = x["title"] or ""
-    marks = tuple(sorted(m.lower() for m in _SET.findall(title)))
-    bare = names_of(_TOUR.sub("", title)) or names_of(title)
-    return x | {"title": title, "strict": fold_text(_QUALIFIER.sub("", title)), "acts": names_of(title), "bare": bare, "kind": (marks, bool(_TRIBUTE.search(title)), bool(_PASS.search(title)))}
+    return x | _said(x["title"] or "")
+
+
+def hollow(x: dict) -> bool:
+    """Whether a row without acts may yet share a group with rows that have some: then single acts are keys of its kind."""
+    return not x["acts"] and bool(x["bare"] or x["ticket"])
 
 
 def keys(x: dict) -> list[tuple]:
@@ -69,7 +80,10 @@ def groups_of(block: list[dict]) -> dict:
     groups before anything joins them.
     """
     groups: list[dict] = []
-    index: dict[tuple, list[int]] = {}
+    index: dict[tuple, dict[int, None]] = defaultdict(dict)
+    # sets of acts by each act, and by the rarest one: a set lies in another only if this holds the rarest of that
+    holding: dict[tuple, dict[int, None]] = defaultdict(dict)
+    owned: dict[tuple, dict[int, None]] = defaultdict(dict)
 
     def fits(x: dict, g: dict) -> bool:
         outside = x["source"] not in g["sources"]
@@ -85,9 +99,24 @@ def groups_of(block: list[dict]) -> dict:
         return (strict or equal) and x["official"] != g["official"] and len(g["times"]) == 1
 
     rows = [read(x) for x in block]
+    often = Counter(a for acts in {x["acts"] for x in rows} for a in acts)
+    rarest = lambda acts: min(acts, key=lambda a: (often[a], a))
+
+    void: dict[tuple, dict[int, None]] = defaultdict(dict)  # groups that hold a row without acts: these lie in all others
+
+    def near(x: dict) -> set[int]:
+        kind, acts = x["kind"], x["acts"]
+        single = [index[k] for k in keys(x) if k[0] == "act" and k in index]
+        out = {i for k in keys(x) if k[0] != "act" for i in index.get(k, ())}
+        if not acts:
+            return out.union(*single)
+        out.update(holding.get((rarest(acts), kind), ()))
+        out.update(i for a in acts for i in owned.get((a, kind), ()))
+        out.update(i for i in void.get(kind, ()) if any(i in met for met in single))
+        return out
+
     for x in sorted(rows, key=lambda r: (not r["time"], not r["official"], -len(r["acts"]), r["title"], r["time"] or "", r["source"] or "", r["row"])):
-        near = sorted({i for k in keys(x) for i in index.get(k, ())})
-        fitting = [i for i in near if fits(x, groups[i])]
+        fitting = [i for i in sorted(near(x)) if fits(x, groups[i])]
         exact = [i for i in fitting if x["acts"] in groups[i]["acts"]]
         if x["time"] and len(exact) > 1:
             exact = [i for i in exact if x["time"] in groups[i]["times"]] or exact
@@ -108,9 +137,13 @@ def groups_of(block: list[dict]) -> dict:
         g["tickets"] |= {x["ticket"]} if x["ticket"] else set()
         g["times"] |= {x["time"]} if x["time"] else set()
         for k in keys(x):
-            index.setdefault(k, [])
-            if at not in index[k]:
-                index[k].append(at)
+            index[k][at] = None
+        if x["acts"]:
+            owned[rarest(x["acts"]), x["kind"]][at] = None
+            for a in x["acts"]:
+                holding[a, x["kind"]][at] = None
+        else:
+            void[x["kind"]][at] = None
     return {r: min(g["rows"]) for g in groups for r in g["rows"]}
 
 
@@ -165,18 +198,37 @@ def _merge(df: DataFrame, row: str) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """Edges (u, v) from each row to the least row of its block that shares a key with it."""
+    """Edges (u, v) between rows of a block that may share a group.
+
+    A row goes to the least row of its block with an equal key, and one with
+    each set of acts to those whose acts hold all of its own: the two meet by
+    the rarest of these, so an act that all bills have in common ties nothing.
+    """
     kind = rows.schema["row"].dataType.simpleString()
 
     def run(batches):
+        text = lambda k: "\x1f".join(map(str, (k[0], sorted(k[1]) if isinstance(k[1], frozenset) else k[1], k[2])))
         for b in batches:
-            told = [["\x1f".join(map(str, (k[0], sorted(k[1]) if isinstance(k[1], frozenset) else k[1], k[2]))) for k in keys(read(x))] for x in b.select(["title", "ticket"]).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("block"), pa.array(told, pa.list_(pa.string()))], ["row", "block", "keys"])
+            told = [read(x) for x in b.select(["title", "ticket"]).to_pylist()]
+            exact = [[text(k) for k in keys(x) if k[0] != "act"] for x in told]
+            single = [[text(k) for k in keys(x) if k[0] == "act"] for x in told]
+            texts = pa.list_(pa.string())
+            columns = [b.column("row"), b.column("block"), pa.array([str(x["kind"]) for x in told]), pa.array([sorted(x["acts"]) for x in told], texts), pa.array(map(hollow, told), pa.bool_()), pa.array(exact, texts), pa.array(single, texts)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "block", "kind", "acts", "hollow", "keys", "single"])
 
     blocks = rows.select("row", F.to_json(F.struct("day", "venue_key")).alias("block"), "title", "ticket")
-    flat = cut(blocks.mapInArrow(run, f"row {kind}, block string, keys array<string>").select("row", "block", F.explode("keys").alias("key")))
+    told = cut(blocks.mapInArrow(run, f"row {kind}, block string, kind string, acts array<string>, hollow boolean, keys array<string>, single array<string>"))
+    loose = told.where("hollow").select("block", "kind").distinct()
+    flat = told.select("row", "block", F.explode("keys").alias("key")).union(told.join(loose, ["block", "kind"], "left_semi").select("row", "block", F.explode("single")))
     hubs = flat.groupBy("block", "key").agg(F.min("row").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    return flat.join(hubs, ["block", "key"]).select(F.col("row").alias("u"), F.col("hub").alias("v"))
+    equal = flat.join(hubs, ["block", "key"]).select(F.col("row").alias("u"), F.col("hub").alias("v"))
+    sets = told.groupBy("block", "kind", "acts").agg(F.min("row").alias("row"))
+    each = sets.select("*", F.explode("acts").alias("act"))
+    often = each.groupBy("block", "kind", "act").agg(F.count("*").alias("n"))
+    rare = each.join(often, ["block", "kind", "act"]).groupBy("block", "kind", "acts", "row").agg(F.min_by("act", F.struct("n", "act")).alias("act"))
+    wider = each.select("block", "kind", "act", F.col("acts").alias("_acts"), F.col("row").alias("v")).where(F.size("_acts") > 1)
+    inside = rare.join(wider, ["block", "kind", "act"]).where((F.size("acts") < F.size("_acts")) & (F.size(F.array_except("acts", "_acts")) == 0))
+    return equal.union(inside.select(F.col("row").alias("u"), "v"))
 
 
 def merged(df: DataFrame, fills: list[str], reviewed: DataFrame | None = None, row: str = "row") -> DataFrame:

@@ -36,6 +36,21 @@ def test_connected_parts_merge_like_whole_blocks(spark, seed, monkeypatch):
     assert seen[0] > 20 and seen[1] == seen[2] == len(rows)
 
 
+def test_an_act_that_all_bills_share_ties_nothing(spark, monkeypatch):
+    rows = [{"title": f"Act {i // 3}" + (" + Band" if i % 2 else ""), "time": [None, "19:00"][i % 2], "source": "abc"[i % 3]} for i in range(120)]
+    df = _table(spark, rows)
+    roots = {r["root"] for r in listings.components(listings.shared_keys(df)).collect()}
+    assert len(roots) == 40
+    whole = {r["row"]: r["group"] for r in listings.merge(df).collect()}
+    monkeypatch.setattr(listings, "BLOCK_ROWS", 20)
+    assert {r["row"]: r["group"] for r in listings.merge(df).collect()} == whole and len(set(whole.values())) == 40
+    # without acts a row may meet others by a ticket; then single acts are keys
+    odd = _table(spark, [{"title": "!!!", "ticket": "https://t.org/1", "source": "a"}, {"title": "Act 1", "ticket": "https://t.org/1", "source": "b"}, {"title": "Act 1 + Band", "source": "c"}, {"title": "Band + Act 2", "source": "b"}])
+    parted = {r["row"]: r["group"] for r in listings.merge(odd).collect()}
+    monkeypatch.setattr(listings, "BLOCK_ROWS", 1)
+    assert {r["row"]: r["group"] for r in listings.merge(odd).collect()} == parted
+
+
 def _only(spark, rows, **more):
     return [r.asDict() for r in listings.merged(_table(spark, rows), ["image", "genre", "ticket"], **more).orderBy("group").collect()]
 
