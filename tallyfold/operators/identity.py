@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import canonical_url, fold, fold_latin, fold_letters
+from ..sources.staging import cut
 from . import joins
 from .resolution import similar
 
@@ -37,8 +38,6 @@ def ticket_key(url: Column | str) -> Column:
 
 
 def _sides(df: DataFrame, row: str, tag: str) -> DataFrame:
-    from ..sources.staging import cut
-
     bill = F.concat_ws(" + ", "headliner", F.coalesce("co_headliners", F.array().cast("array<string>")))
     keys = {"row": F.col(row), "day": F.to_date("day"), "time": F.nullif(F.col("time"), F.lit("")), "ticket": ticket_key("ticket"), "venue": F.nullif(F.concat_ws("|", fold("venue", "venue"), fold("city", "city")), F.lit("|")), "name": phrase(F.col("headliner")), "bill": phrase(bill), "title": F.col("headliner")}
     out = cut(df.select(*(v.alias(f"{tag}_{k}") for k, v in keys.items())))
@@ -150,6 +149,7 @@ def assign(listings: DataFrame, state: DataFrame, matched: DataFrame, row: str)
 
 def require_unique(df: DataFrame, *columns: str) -> DataFrame:
     """`df`, after a check that each column alone is unique: one aggregate each, which shortened routes need."""
+    df = cut(df)  # each check and the result read it
     for c in columns:
         if not df.groupBy(c).count().where("count > 1").isEmpty():
             raise ValueError(f"{c} is not unique")
