@@ -76,5 +76,14 @@ def lost_identities(restored: DataFrame, final: DataFrame, key: str = "public_id
 
 def unmixed(df: DataFrame, judged: DataFrame) -> DataFrame:
     """Rows whose sources are both healthy and weak: deduplication must leave none."""
-    each = df.withColumn("source", F.explode("sources")).join(judged.select("source", F.col("status").isin("ok", "empty").alias("_ok")), "source")
-    return each.groupBy("row").agg(F.count_distinct("_ok").alias("_kinds")).where("_kinds > 1").select("row")
+    return unmixed_sources(df.select("row", F.explode("sources").alias("source")), judged)
+
+
+def unmixed_sources(each: DataFrame, judged: DataFrame) -> DataFrame:
+    """`unmixed` of each(row, source), one row for every source that a row has: two flags a row, no list.
+
+    judged holds one row a source and is broadcast, so rows are never dealt by the few values of their source.
+    """
+    sound = F.col("status").isin("ok", "empty").alias("_ok")
+    told = each.join(F.broadcast(judged.select("source", sound)), "source")
+    return told.groupBy("row").agg(F.max(F.col("_ok").cast("int")).alias("_most"), F.min(F.col("_ok").cast("int")).alias("_least")).where("_most > _least").select("row")

@@ -29,8 +29,8 @@ def postponed_dropped(spark, d):
 
 @query("""SELECT l_orderkey AS row FROM lineitem GROUP BY 1 HAVING bool_or(l_returnflag = 'N') AND bool_or(l_returnflag <> 'N')""")
 def mixed_sources(spark, d):
-    rows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("row")).agg(F.collect_set("l_returnflag").alias("sources"))
-    return snapshots.unmixed(rows, spark.createDataFrame([("A", "ok"), ("N", "failed"), ("R", "empty")], "source string, status string"))
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("row"), F.col("l_returnflag").alias("source"))
+    return snapshots.unmixed_sources(rows, spark.createDataFrame([("A", "ok"), ("N", "failed"), ("R", "empty")], "source string, status string"))
 
 
 @query("""SELECT o_orderkey AS public_id FROM orders WHERE o_orderkey % 10 = 0 OR o_orderkey % 7 = 0""")
