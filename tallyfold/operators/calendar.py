@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from urllib.parse import parse_qs
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import fold_latin
+from ..sources.staging import cut
 
 ORDERS = ("date-asc", "date-desc", "artist-asc", "venue-asc")
 MODES = ("tonight", "week", "weekend")
@@ -74,6 +75,20 @@ def venue_order() -> list[Column]:
     return [F.asc("day"), F.coalesce("start_time", F.lit("")).asc(), F.lower("headliner").asc(), F.asc("id")]
 
 
+def placed(df: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
+    """df with `name`: each row's place from 1 among those of its group, by a strict order.
+
+    Rows are dealt by ranges of (group, order) and counted range by range, so a
+    group of any size is spread over many tasks.
+    """
+    dealt = cut(df.repartitionByRange(F.col(group), *order).withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(group, "_range").agg(F.count("*").alias("_n")).select(F.col(group).alias("_group"), F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order))
+    out = dealt.withColumn("_here", here).join(F.broadcast(counts), F.equal_null(group, "_group") & (F.col("_range") == F.col("_at")))
+    return out.select(*df.columns, (F.col("_before") + F.col("_here")).alias(name))
+
+
 def canonical_order(row: Column) -> list[Column]:
     """Order of a stored snapshot that does not depend on how it was made: its names, then the whole row as JSON."""
     blank = lambda c: F.coalesce(c, F.lit("")).asc()

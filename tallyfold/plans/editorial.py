@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import media
@@ -145,5 +144,5 @@ def utc_times(spark, d):
 def letter_and_venue_orders(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("headliner"))
     o = table(spark, d, "orders").join(c, "o_custkey").select(F.col("o_orderkey").alias("id"), day("o_orderdate").alias("day"), "headliner", F.col("o_orderpriority").alias("venue"), F.when(F.col("o_orderkey") % 3 == 0, "20:00").alias("start_time"), "o_orderstatus")
-    place = lambda order: F.row_number().over(Window.partitionBy("o_orderstatus").orderBy(*order)).cast("long")
-    return o.select(F.col("id").alias("o_orderkey"), place(calendar.venue_order()).alias("at_venue"), place(calendar.concert_order()).alias("in_letter"))
+    both = calendar.placed(calendar.placed(o, "o_orderstatus", calendar.venue_order(), "at_venue"), "o_orderstatus", calendar.concert_order(), "in_letter")
+    return both.select(F.col("id").alias("o_orderkey"), "at_venue", "in_letter")

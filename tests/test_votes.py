@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.operators import cascades, filters, reports, votes
+from tallyfold.operators import calendar, cascades, filters, reports, snapshots, votes
 
 
 def _set(df):
@@ -117,3 +117,21 @@ def test_replay_suppresses_what_the_merge_holds_equal(spark):
     judged = spark.createDataFrame([("a", "failed"), ("b", "ok"), ("ok", "ok")], "source string, status string")
     got = snapshots.replay_equivalent(fresh, held, judged, F.lit(now), F.lit(dt.date(2026, 4, 20)))
     assert {r["row"]: r["fate"] for r in got.collect()} == {1: "suppressed", 2: "restored", 3: "restored", 4: "past", 5: "expired"}
+
+
+def test_few_sources_and_groups_are_no_few_tasks(spark):
+    judged = spark.createDataFrame([("A", "ok"), ("N", "failed"), ("R", "empty")], "source string, status string")
+    each = spark.createDataFrame([(1, "A"), (1, "N"), (2, "A"), (2, "R"), (3, "N"), (4, "N"), (4, "R")], "row long, source string")
+    got = snapshots.unmixed_sources(each, judged)
+    assert {r["row"] for r in got.collect()} == {1, 4}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(source" not in plan and "collect_set" not in plan
+    rows = spark.createDataFrame([(i, [None, "a", "b"][i % 3], (i * 7) % 50) for i in range(300)], "id long, g string, v long")
+    out = calendar.placed(rows, "g", [F.asc("v"), F.asc("id")], "place")
+    want = {}
+    for g in (None, "a", "b"):
+        mine = sorted((r["v"], r["id"]) for r in rows.collect() if r["g"] == g)
+        want |= {i: n for n, (_, i) in enumerate(mine, 1)}
+    assert {r["id"]: r["place"] for r in out.collect()} == want
+    assert "_range" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert calendar.placed(rows.where("false"), "g", [F.asc("v"), F.asc("id")], "place").count() == 0
