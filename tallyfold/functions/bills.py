@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keys import distinct_by_key, each, fold_content
+from .keys import bound, distinct_by_key, each, fold_content
 
 #: Signs that may part two names when white space surrounds them (fixed values).
 SEPARATOR = re.compile(r"(\s+(?:\+|/|•|&|et|[–—-])\s+)", re.I)
@@ -98,10 +98,17 @@ def promote_performers(headliner: Column, co_headliners: Column, openers: Column
     The other performers join the co-headliners unless they open; no performers change nothing.
     """
     key = lambda c: F.lower(F.trim(c))
-    names = distinct_by_key(F.filter(F.coalesce(performers, F.array().cast("array<string>")), lambda p: F.trim(p) != ""), key)
-    same = F.filter(names, lambda p: key(p) == key(headliner))
-    lead = F.when(F.size(same) > 0, same[0]).when(F.size(names) > 0, names[0]).otherwise(headliner)
+    given = distinct_by_key(F.filter(F.coalesce(performers, F.array().cast("array<string>")), lambda p: F.trim(p) != ""), key)
     opening = F.transform(F.coalesce(openers, F.array().cast("array<string>")), key)
-    others = F.filter(names, lambda p: (key(p) != key(lead)) & ~F.array_contains(opening, key(p)))
-    both = distinct_by_key(F.concat(F.coalesce(co_headliners, F.array().cast("array<string>")), others), key)
-    return F.struct(lead.alias("headliner"), F.when(F.size(both) > 0, both).alias("co_headliners"))
+
+    def lead(names: Column, title: Column) -> Column:
+        same = F.filter(names, lambda p: key(p) == title)
+        return F.when(F.size(same) > 0, same[0]).when(F.size(names) > 0, names[0]).otherwise(headliner)
+
+    def told(names: Column, first: Column, taken: Column) -> Column:
+        others = F.filter(names, lambda p: ~F.array_contains(taken, key(p)))
+        both = distinct_by_key(F.concat(F.coalesce(co_headliners, F.array().cast("array<string>")), others), key)
+        return bound(both, lambda b: F.struct(first.alias("headliner"), F.when(F.size(b) > 0, b).alias("co_headliners")))
+
+    # each list is named several times, also inside lambdas, so each is bound once
+    return bound(given, lambda names: bound(key(headliner), lambda title: bound(lead(names, title), lambda first: bound(F.concat(opening, F.array(key(first))), lambda taken: told(names, first, taken)))))

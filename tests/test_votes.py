@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfold.functions import bills
 from tallyfold.operators import calendar, cascades, filters, reports, snapshots, votes
 
 
@@ -135,3 +136,10 @@ def test_few_sources_and_groups_are_no_few_tasks(spark):
     assert {r["id"]: r["place"] for r in out.collect()} == want
     assert "_range" in out._jdf.queryExecution().optimizedPlan().toString()
     assert calendar.placed(rows.where("false"), "g", [F.asc("v"), F.asc("id")], "place").count() == 0
+
+
+def test_promotion_names_each_list_once(spark):
+    df = spark.createDataFrame([("b", ["C"], ["o"], ["A", "B", "o", "a", "c"]), ("x", None, None, None)], "h string, c array<string>, o array<string>, p array<string>")
+    got = df.select(bills.promote_performers(F.col("h"), F.col("c"), F.col("o"), F.col("p")).alias("b"))
+    assert [(r.b.headliner, r.b.co_headliners) for r in got.collect()] == [("B", ["C", "A"]), ("x", None)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction(") < 40
