@@ -94,6 +94,23 @@ def test_collisions_equal_all_pairs(spark):
     assert [r["message"] for r in collisions.semantic_collisions(one).collect()] == ["2027-03-24 Le Grand Rex: youssou ndour (Alias Production) lies in angelique kidjo + youssou ndour (Le Grand Rex)"]
 
 
+def test_collisions_read_their_rows_once_and_find_large_bills(spark):
+    rng, read = random.Random(6), spark.sparkContext.accumulator(0)
+    bills = [rng.sample("abcdefghijklmnopqrstuvw", n) for n in [1, 2, 3, 4, 16, 17, 18, 23] * 6]
+    rows = [(i, "d", "v", n, None, [f"s{i}"], None) for i, n in enumerate(bills)]
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "row int, day string, place string, names array<string>, time string, sources array<string>, marker string")
+    got = collisions.semantic_collisions(df.mapInArrow(count, df.schema)).collect()
+    want = {(i, j) for i, n in enumerate(bills) for j, m in enumerate(bills) if set(n) < set(m) or (set(n) == set(m) and i > j)}
+    assert {(r["row"], r["other"]) for r in got} == want and len(got) == len(want)
+    assert read.value == len(rows)
+
+
 def test_genre_index_by_hand(spark):
     make = spark.createDataFrame
     taxonomy = make([("all", None), ("rock", "all"), ("punk", "rock"), ("jazz", "all"), ("bop", "jazz")], "genre string, parent string")
