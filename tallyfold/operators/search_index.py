@@ -7,11 +7,11 @@ the score ladder accepts.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import cut
+
 #: Letters of a beginning that has postings of its own.
 PREFIX = 3
 
@@ -25,15 +25,18 @@ def _grams(term: Column) -> Column:
 
 
 def write_index(terms: DataFrame, path: str, files: int | None = None) -> None:
-    """Write terms(group, id, name, term, alias, role) as postings in order of their keys, and how many each key has.
+    """Write terms(group, id, name, term, alias, role) as entries in order of their terms, and postings of the different terms in order of their keys, with how many each key has.
 
     Terms are folded; empty and null ones are left out. role is added to the
-    score: where in a bill the name stands, 0 elsewhere.
+    score: where in a bill the name stands, 0 elsewhere. A term that many
+    entries share has its postings once.
     """
-    rows = terms.where(F.coalesce("term", F.lit("")) != "").select("group", "id", "name", "term", F.coalesce("alias", F.lit(False)).alias("alias"), F.coalesce("role", F.lit(0)).alias("role")).withColumn("key", F.explode(_grams(F.col("term"))))
-    dealt = rows.repartitionByRange(files, "key", "id") if files else rows.repartitionByRange("key", "id")
-    dealt.sortWithinPartitions("key", "id").write.mode("overwrite").parquet(f"{path}/postings")
+    rows = terms.where(F.coalesce("term", F.lit("")) != "").select("group", "id", "name", "term", F.coalesce("alias", F.lit(False)).alias("alias"), F.coalesce("role", F.lit(0)).alias("role"))
+    ordered = lambda d, *by: (d.repartitionByRange(files, *by) if files else d.repartitionByRange(*by)).sortWithinPartitions(*by)
+    ordered(rows, "term", "id").write.mode("overwrite").parquet(f"{path}/entries")
     spark = terms.sparkSession
+    once = spark.read.parquet(f"{path}/entries").select("term").distinct()
+    ordered(once.withColumn("key", F.explode(_grams(F.col("term")))), "key", "term").write.mode("overwrite").parquet(f"{path}/postings")
     spark.read.parquet(f"{path}/postings").groupBy("key").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/keys")
 
 
@@ -53,17 +56,39 @@ def search_many(spark, path: str, queries: DataFrame, per_group: int = 8, bills:
     and its artists', each with the role added.
     """
     asked = queries.select("query").where(F.coalesce("query", F.lit("")) != "").distinct()
-    keys, postings = spark.read.parquet(f"{path}/keys"), spark.read.parquet(f"{path}/postings")
+    keys, postings, entries = (spark.read.parquet(f"{path}/{part}") for part in ("keys", "postings", "entries"))
     every = asked.select("query", F.explode(_grams(F.col("query"))).alias("key"))
     head = F.concat(F.lit("p:"), F.substring("query", 1, PREFIX))
     kind = F.substring("key", 1, 1)
     rarest = every.join(keys, "key").where((kind != "p") | (F.col("key") == head)).groupBy("query", kind.alias("kind")).agg(F.min_by("key", F.struct("n", "key")).alias("key"))
-    met = rarest.join(postings, "key").withColumn("score", score(F.col("term"), F.col("query"), F.col("alias"))).where("score is not null")
-    direct = met.select("query", "group", "id", "name", (F.col("score") + F.col("role")).alias("score"))
-    parts = [direct]
+    met = rarest.join(postings, "key").select("query", "term").distinct()
+    said = F.col("term"), F.col("query")
+    told = cut(met.withColumns({"own": score(*said, F.lit(False)), "other": score(*said, F.lit(True))}).where("own is not null"))
+    found = entries.join(told.select("term").distinct(), "term", "left_semi")
     if bills is not None:
-        artists = direct.where(F.col("group") == "artists").groupBy("query", F.col("id").alias("artist")).agg(F.min("score").alias("score"))
-        parts.append(artists.join(bills, "artist").select("query", F.lit("concerts").alias("group"), bills["id"], bills["name"], (F.col("score") + F.col("role")).alias("score")))
-    best = reduce(DataFrame.unionByName, parts).groupBy("query", "group", "id").agg(F.min("name").alias("name"), F.min("score").alias("score"))
+        artists = found.where(F.col("group") == "artists").select(F.col("id").alias("artist"), "term", "alias", F.col("role").alias("_role"))
+        played = bills.select("artist", "id", "name", F.coalesce("role", F.lit(0)).alias("role")).join(artists, "artist")
+        found = found.unionByName(played.select("term", F.lit("concerts").alias("group"), "id", "name", "alias", (F.col("role") + F.col("_role")).alias("role")))
+    hits = told.join(_first(found, per_group), "term").withColumn("score", F.when(F.col("alias"), F.col("other")).otherwise(F.col("own")) + F.col("role"))
+    best = hits.groupBy("query", "group", "id").agg(F.min("name").alias("name"), F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query", "group").orderBy("score", "name", "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= per_group)
+
+
+def _first(found: DataFrame, per_group: int) -> DataFrame:
+    """The entries among found(group, id, name, term, alias, role) that can be among the best `per_group` of their group for a query.
+
+    Every query scores all entries of a term alike but for their role, so of
+    those with one role only the first by (name, id) can count: each of them
+    comes before the others whatever else is found. That holds for ids of one
+    name; entries of an id with several names all stay, for its least name
+    depends on what a query finds.
+    """
+    twice = [F.xxhash64(F.lit(k), F.coalesce("name", F.lit("\0"))) for k in (1, 2)]
+    several = found.groupBy("group", "id").agg(*[f(c).alias(f"_{f.__name__}{k}") for k, c in enumerate(twice) for f in (F.min, F.max)])
+    several = cut(several.where("_min0 <> _max0 or _min1 <> _max1").select("group", "id"))
+    place = F.dense_rank().over(Window.partitionBy("group", "term", "alias", "role").orderBy("name", "id"))
+    if several.isEmpty():
+        return found.withColumn("_n", place).where(F.col("_n") <= per_group).drop("_n").distinct()
+    one = found.join(several, ["group", "id"], "left_anti").withColumn("_n", place).where(F.col("_n") <= per_group).drop("_n")
+    return one.unionByName(found.join(several, ["group", "id"], "left_semi")).distinct()

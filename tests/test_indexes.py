@@ -170,3 +170,24 @@ def test_stored_search_equals_the_plain_ladder(spark, tmp_path, files):
     search_index.write_index(spark.createDataFrame(terms, "group string, id long, name string, term string, alias boolean, role int"), path, files)
     got = search_index.search_many(spark, path, spark.createDataFrame([(q,) for q in queries], "query string"), 8, spark.createDataFrame(bills, "artist long, id long, name string, role int"))
     assert sorted(map(tuple, got.select("query", "group", "id", "name", "score", "rank").collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_terms_that_many_entries_share_have_postings_once(spark, tmp_path, several):
+    rng = random.Random(11)
+    called = lambda i: f"n{i % 9}" + (rng.choice("ab") if several and i % 3 else "")
+    terms = [(g, i := rng.randrange(120), called(i), rng.choice(["red", "red sky", "sky", "redder"]), rng.random() < 0.3, rng.choice([0, 1, 4])) for g in ("artists", "concerts") for _ in range(400)]
+    bills = [(rng.randrange(120), i := rng.randrange(120), called(i), rng.choice([0, 1, 2])) for _ in range(400)]
+    path = str(tmp_path / "index")
+    search_index.write_index(spark.createDataFrame(terms, "group string, id long, name string, term string, alias boolean, role int"), path)
+    assert spark.read.parquet(f"{path}/postings").count() < 40
+    best = {}
+    for q in ("red", "sky"):
+        for g, i, n, t, al, role in terms:
+            s = (10 if al else 0) if t == q else (30 if al else 20) if t.startswith(q) else 40 if q in t.split() else None
+            for x, c, name, r in [(g, i, n, role), *(("concerts", c, name, role + r) for a, c, name, r in bills if g == "artists" and a == i)] if s is not None else []:
+                old = best.get((q, x, c), (name, 999))
+                best[q, x, c] = (min(old[0], name), min(old[1], s + r))
+    want = [(q, g, i, n, s, k + 1) for q in ("red", "sky") for g in ("artists", "concerts") for k, (s, n, i) in enumerate(sorted((s, n, i) for (p, x, i), (n, s) in best.items() if (p, x) == (q, g))[:5])]
+    got = search_index.search_many(spark, path, spark.createDataFrame([("red",), ("sky",)], "query string"), 5, spark.createDataFrame(bills, "artist long, id long, name string, role int"))
+    assert sorted(map(tuple, got.select("query", "group", "id", "name", "score", "rank").collect())) == sorted(want)
