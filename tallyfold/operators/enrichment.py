@@ -98,7 +98,7 @@ def bill_links(bills: DataFrame, artists: DataFrame) -> DataFrame:
     bills(event, names: array) lists headliner, co-headliners, openers in order; artists(key, slug) has unique keys.
     """
     acts = bills.select("event", F.posexplode("names").alias("role", "name")).withColumn("key", fold_latin(F.col("name")))
-    return acts.join(artists.select("key", "slug"), "key").groupBy("event", "slug").agg(F.min_by("name", "role").alias("name"), F.min("role").alias("role"))
+    return acts.join(artists.select("key", "slug"), "key").repartition("event").groupBy("event", "slug").agg(F.min_by("name", "role").alias("name"), F.min("role").alias("role"))
 
 
 def artist_page(events: DataFrame, links: DataFrame, slug: str, key: str) -> DataFrame:
@@ -108,9 +108,16 @@ def artist_page(events: DataFrame, links: DataFrame, slug: str, key: str) -> Dat
 
 
 def coverage(events: DataFrame, links: DataFrame, articles: DataFrame) -> DataFrame:
-    """(event, url, type, day, artists): articles on an event's linked artists, once per address, names collected."""
-    j = events.select("event").join(links.select("event", "slug", "name"), "event").join(articles.select("slug", "url", "type", "day"), "slug")
-    return j.groupBy("event", "url").agg(F.min("type").alias("type"), F.max("day").alias("day"), F.array_sort(F.collect_set("name")).alias("artists"))
+    """(event, url, type, day, artists): articles on an event's linked artists, once per address, names collected.
+
+    Events with the same artists (by two 64-bit hashes of these) share what is found for one.
+    """
+    bills = links.groupBy("event").agg(F.array_sort(F.collect_set(F.struct("slug", "name"))).alias("bill")).join(events.select("event"), "event", "left_semi")
+    bills = bills.withColumns({f"_b{k}": F.xxhash64(F.lit(k), "bill") for k in (1, 2)})
+    once = bills.groupBy("_b1", "_b2").agg(F.first("bill").alias("bill")).select("_b1", "_b2", F.explode("bill").alias("act")).select("_b1", "_b2", "act.*")
+    told = articles.groupBy("slug", "url").agg(F.min("type").alias("type"), F.max("day").alias("day"))
+    found = once.join(told, "slug").groupBy("_b1", "_b2", "url").agg(F.min("type").alias("type"), F.max("day").alias("day"), F.array_sort(F.collect_set("name")).alias("artists"))
+    return bills.select("event", "_b1", "_b2").join(found, ["_b1", "_b2"]).drop("_b1", "_b2")
 
 
 def search(terms: DataFrame, query: str, per_group: int = 8) -> DataFrame:

@@ -155,3 +155,20 @@ def test_periods_begin_on_mondays(spark):
     e = spark.createDataFrame([("2026-11-15 23:59:59", "a"), ("2026-11-16 00:00:00", "a"), ("2026-11-22 23:00:00", "a"), ("2026-11-18 10:00:00", "b")], "at string, event_type string").select(F.to_timestamp_ntz("at").alias("ts"), "event_type")
     got = {(str(r.window.start)[:10], r.event_type): r["count"] for r in period_counts(e).collect()}
     assert got == {("2026-11-09", "a"): 1, ("2026-11-16", "a"): 2, ("2026-11-16", "b"): 1}
+
+
+def test_events_with_the_same_bill_share_what_is_found(spark):
+    from tallyfold.operators import enrichment
+
+    links = [(e, s, n) for e in range(30) for s, n in [("a", "A"), ("b", "B"), ("c", "C")][: 1 + e % 3]] + [(1, "a", "Á"), (99, "a", "A")]
+    articles = [("a", "u1", "x", "2026-01-01"), ("a", "u1", "w", "2026-01-02"), ("b", "u1", "y", "2026-01-03"), ("c", "u2", "z", None), ("d", "u3", "z", None)]
+    want = {}
+    for e, s, n in links:
+        for slug, url, kind, day in articles:
+            if s == slug and e < 31:
+                kinds, days, names = want.setdefault((e, url), (set(), set(), set()))
+                kinds.add(kind), days.add(day or ""), names.add(n)
+    got = enrichment.coverage(spark.createDataFrame([(e,) for e in [*range(31), 3]], "event int"), spark.createDataFrame(links, "event int, slug string, name string"), spark.createDataFrame(articles, "slug string, url string, type string, day string"))
+    assert sorted(tuple(r) for r in got.fillna("").collect()) == sorted((e, u, min(k), max(d), sorted(n)) for (e, u), (k, d, n) in want.items())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")  # events meet what was found, it is not found for each
