@@ -42,7 +42,7 @@ def covered_paths(starts: DataFrame, edges: DataFrame, covered: DataFrame, deepe
     all others as if these were uncovered.
     """
     known = covered.select(F.col("node").alias("target")).distinct().withColumn("_stop", F.lit(True))
-    edges = edges.select(F.col("u").alias("target"), "v").distinct()
+    edges = edges.select(F.col("u").alias("target"), "v")  # repeated edges meet in the partial minima of the ways
     first = starts.select(F.col("node").alias("source"), F.col("node").alias("target")).distinct().join(known, "target", "left_anti")
     step = cut(first.select("source", "target", F.array("source").alias("path")))
     seen, found = [step.select("source", "target")], []
@@ -50,12 +50,13 @@ def covered_paths(starts: DataFrame, edges: DataFrame, covered: DataFrame, deepe
         allowed = allowed.select("source", "target").distinct()
         bound = allowed.select("source").distinct().withColumn("_bound", F.lit(True))
     for depth in range(1, deepest + 1):
-        near = step.join(edges, "target").select("source", F.col("v").alias("target"), F.array_append("path", F.col("v")).alias("path")).groupBy("source", "target").agg(F.min("path").alias("path"))
+        # ways of one source, length and end compare by what lies between: only that is shuffled
+        near = step.join(edges, "target").select("source", F.col("v").alias("target"), F.slice("path", 2, depth).alias("between")).groupBy("source", "target").agg(F.min("between").alias("between"))
         near = near.join(reduce(DataFrame.union, seen), ["source", "target"], "left_anti").join(known, "target", "left").withColumn("_stop", F.coalesce("_stop", F.lit(False)))
         if allowed is not None:
             near = near.join(bound, "source", "left").join(allowed.withColumn("_may", F.lit(True)), ["source", "target"], "left")
             near = near.withColumn("_stop", F.col("_stop") & (F.col("_bound").isNull() | F.col("_may").isNotNull())).drop("_bound", "_may")
-        near = cut(near.select("source", "target", "path", "_stop"))
+        near = cut(near.select("source", "target", F.concat(F.array("source"), "between", F.array("target")).alias("path"), "_stop"))
         seen.append(near.select("source", "target"))
         found.append(near.where("_stop").select("source", "target", F.lit(depth).alias("depth"), "path"))
         step = near.where("not _stop").select("source", "target", "path")

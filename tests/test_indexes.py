@@ -135,6 +135,28 @@ def test_paths_end_at_the_first_covered_node(spark):
     assert "Join" not in plan  # every level is read where it was written
 
 
+def test_repeated_edges_give_the_least_path_without_being_dealt_twice(spark, monkeypatch):
+    rng, plans, real = random.Random(4), [], graph.cut
+    edges = [(rng.choice("abcdefg"), rng.choice("abcdefgxyz")) for _ in range(60)] * 2
+    monkeypatch.setattr(graph, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df))
+    node = lambda xs: spark.createDataFrame([(x,) for x in xs], "node string")
+    got = graph.covered_paths(node("abcb"), spark.createDataFrame(edges, "u string, v string"), node("xyzd"), 3)
+    want = set()
+    for source in "abc":
+        seen, front = {source}, {source: [source]}
+        for depth in (1, 2, 3):
+            ways = {}
+            for u, v in edges:
+                if u in front and v not in seen:
+                    ways[v] = min(ways.get(v, ["~"]), [*front[u], v])
+            seen |= set(ways)
+            want |= {(source, v, depth, tuple(w)) for v, w in ways.items() if v in "xyzd"}
+            front = {v: w for v, w in ways.items() if v not in "xyzd"}
+    rows = got.collect()
+    assert {(r["source"], r["target"], r["depth"], tuple(r["path"])) for r in rows} == want and len(rows) == len(want)
+    assert all(plan.count("Aggregate [") == 2 for plan in plans[1:])  # covered nodes, and the least ways
+
+
 @pytest.mark.parametrize("files", [None, 3])
 def test_stored_search_equals_the_plain_ladder(spark, tmp_path, files):
     rng = random.Random(9)
