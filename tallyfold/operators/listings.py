@@ -48,8 +48,9 @@ def names_of(title: str) -> frozenset[str]:
 @functools.lru_cache(1 << 15)
 def _said(title: str) -> dict:
     marks = tuple(sorted(m.lower() for m in _SET.findall(title)))
-    acts = names_of(title)
-    return {"title": title, "strict": fold_text(_QUALIFIER.sub("", title)), "acts": acts, "bare": names_of(_TOUR.sub("", title)) or acts, "kind": (marks, bool(_TRIBUTE.search(title)), bool(_PASS.search(title)))}
+    acts, short = names_of(title), _TOUR.sub("", title)
+    bare = acts if short == title else names_of(short) or acts
+    return {"title": title, "strict": fold_text(_QUALIFIER.sub("", title)), "acts": acts, "bare": bare, "kind": (marks, bool(_TRIBUTE.search(title)), bool(_PASS.search(title)))}
 
 
 def read(x: dict) -> dict:
@@ -104,10 +105,10 @@ def groups_of(block: list[dict]) -> dict:
 
     void: dict[tuple, dict[int, None]] = defaultdict(dict)  # groups that hold a row without acts: these lie in all others
 
-    def near(x: dict) -> set[int]:
+    def near(x: dict, met_by: list[tuple]) -> set[int]:
         kind, acts = x["kind"], x["acts"]
-        single = [index[k] for k in keys(x) if k[0] == "act" and k in index]
-        out = {i for k in keys(x) if k[0] != "act" for i in index.get(k, ())}
+        single = [index[k] for k in met_by if k[0] == "act" and k in index]
+        out = {i for k in met_by if k[0] != "act" for i in index.get(k, ())}
         if not acts:
             return out.union(*single)
         out.update(holding.get((rarest(acts), kind), ()))
@@ -116,7 +117,8 @@ def groups_of(block: list[dict]) -> dict:
         return out
 
     for x in sorted(rows, key=lambda r: (not r["time"], not r["official"], -len(r["acts"]), r["title"], r["time"] or "", r["source"] or "", r["row"])):
-        fitting = [i for i in sorted(near(x)) if fits(x, groups[i])]
+        met_by = keys(x)
+        fitting = [i for i in sorted(near(x, met_by)) if fits(x, groups[i])]
         exact = [i for i in fitting if x["acts"] in groups[i]["acts"]]
         if x["time"] and len(exact) > 1:
             exact = [i for i in exact if x["time"] in groups[i]["times"]] or exact
@@ -136,7 +138,7 @@ def groups_of(block: list[dict]) -> dict:
         g["official"] |= bool(x["official"])
         g["tickets"] |= {x["ticket"]} if x["ticket"] else set()
         g["times"] |= {x["time"]} if x["time"] else set()
-        for k in keys(x):
+        for k in met_by:
             index[k][at] = None
         if x["acts"]:
             owned[rarest(x["acts"]), x["kind"]][at] = None
@@ -247,15 +249,17 @@ def merged(df: DataFrame, fills: list[str], reviewed: DataFrame | None = None, r
         keyed = told.withColumns({"key": fold_latin(F.col("title")), "venue": F.col("venue_key"), "_own": fold_latin(F.col("title"))})
         told = reviewed_titles(keyed, reviewed).withColumn("title", F.when(F.equal_null("key", "_own"), F.col("title")).otherwise(F.col("key"))).drop("key", "venue", "_own")
     rows = cut(told.join(merge(told, row), row).withColumns({"title": F.col("_title"), "time": F.coalesce(normal_time(F.col("time")), F.nullif(F.trim("time"), F.lit("")))}).drop("_title"))
-    once = _engagements(rows, fills, row)
     placed = F.col("day").isNotNull() & F.col("venue_key").isNotNull() & (F.col("venue_key") != "")
     identity = [F.col("day"), F.col("venue_key"), fold_latin(F.col("headliner")), F.coalesce("time", F.lit("")), F.coalesce("programme", F.lit("")), F.when(~placed, F.col("group"))]
-    ends = once.select("group", F.min("group").over(Window.partitionBy(*identity)).alias("_final"))
-    return _engagements(rows.join(ends, "group").withColumn("group", F.col("_final")).drop("_final"), fills, row)
+    alike = Window.partitionBy(*identity)
+    once = cut(_engagements(rows, fills, row).withColumns({"_final": F.min("group").over(alike), "_n": F.count("*").over(alike)}))
+    joint = rows.join(once.where("_n > 1").select("group", "_final"), "group").withColumn("group", F.col("_final")).drop("_final")
+    return once.where("_n = 1").drop("_final", "_n").unionByName(_engagements(joint, fills, row))
 
 
 def _engagements(rows: DataFrame, fills: list[str], row: str) -> DataFrame:
     """Groups of rows folded to one row each, with their bill."""
+    rows = rows.repartition("group")  # dealt once for all that follows
     unnamed = F.lower("title").rlike(r"\+ *(special )?guests?$")
     named = rows.withColumn("_n", F.min(unnamed.cast("int")).over(Window.partitionBy("group"))).where(unnamed.cast("int") == F.col("_n"))
     bills = headlined(named, split=r"\s+\+\s+")

@@ -352,3 +352,14 @@ def test_ranges_keep_repeated_points(spark):
     points = spark.createDataFrame([("v", 1, "x"), ("v", 1, "x"), ("v", 9, "y"), (None, 1, "z")], "k string, at int, note string")
     ranges = spark.createDataFrame([("v", 0, 5, "A"), ("v", 1, 2, "A"), ("v", 8, 9, "A"), ("v", 9, 9, "B")], "k string, first int, last int, credit string")
     assert sorted(map(tuple, joins.unique_in_range(points, ranges, ["k"], "at", "first", "last", "credit").collect())) == [("v", 1, "x", "A")] * 2
+
+
+def test_only_engagements_alike_are_folded_again(spark, monkeypatch):
+    folded, real = [], listings._engagements
+    monkeypatch.setattr(listings, "_engagements", lambda rows, fills, row: folded.append(rows.select(row).collect()) or real(rows, fills, row))
+    at = lambda i, title, time=None, source="a", programme=None: (i, "2026-01-01", "v", title, time, source, False, None, "2025-01-01", False, programme, i)
+    data = [at(1, "Ana"), at(2, "Ben", "19:00"), at(3, "Ben", "19:00", "b"), at(4, "Cy"), at(5, "Cy + Guests", None, "b"), at(6, "Été", "20:00"), at(7, "Ana", "21:00", "a", "p"), at(8, "Cleo & Dan", "19:00"), at(9, "Cleo", "19:00", "b"), at(10, "Dan", "19:00", "c"), at(11, "Cleo", "19:00", "c")]
+    df = spark.createDataFrame(data, "row int, day string, venue_key string, title string, time string, source string, official boolean, ticket string, first_seen string, sold_out boolean, programme string, price int")
+    got = {r["group"]: r["rows"] for r in listings.merged(df, ["price"]).collect()}
+    assert sum(got.values()) == len(data)
+    assert len(folded) == 2 and len(folded[1]) < len(folded[0]) == len(data)
