@@ -34,7 +34,9 @@ def identities(labels: DataFrame, reviewed: DataFrame, others: list[DataFrame],
     key); of several ends the best. An alias without such an end stays what it
     is by itself.
     """
-    seen = labels.where(F.col("label").isNotNull()).groupBy(F.col("label").alias("name")).agg(F.count("*").alias("n"), F.min(F.struct("article", "place")).alias("first"))
+    # counts of whole numbers by place first: no sort of all labels
+    placed = labels.where(F.col("label").isNotNull()).groupBy(F.col("label").alias("name"), "place", F.col("article").isNull().alias("_none")).agg(F.count("*").alias("n"), F.min("article").alias("article"))
+    seen = placed.groupBy("name").agg(F.sum("n").alias("n"), F.min(F.struct("article", "place")).alias("first"))
     none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast(seen.schema["first"].dataType).alias("first"))
     layer = lambda d, i, order: d.select("name", F.lit(i).alias("layer"), order.alias("order"))
     told = [layer(reviewed, 0, none), layer(seen, 1, F.struct((-F.col("n")).alias("n"), "first")), *(layer(d, i + 2, none) for i, d in enumerate(others))]
@@ -56,9 +58,11 @@ def article_links(labels: DataFrame, names: DataFrame, more: DataFrame, excluded
     link nothing. more(article, name): reviewed associations, direct and after
     the labels, past what excluded(article, name) takes away.
     """
-    by_label = _keyed(labels.where("primary"), "label").join(names, "key").select("article", "name", "place", "direct")
+    primary = labels.where("primary")
+    known = _keyed(primary.select("label").distinct(), "label").join(names, "key").select("label", "name")  # each wording is folded once
+    by_label = primary.join(_keyed(known), "label").select("article", "name", "place", "direct", "key")
     gone = _keyed(excluded).select("article", "key").distinct()
-    kept = _keyed(by_label).join(gone, ["article", "key"], "left_anti").drop("key")
+    kept = by_label.join(gone, ["article", "key"], "left_anti").drop("key")
     reviewed = more.select("article", "name", F.lit(1 << 30).alias("place"), F.lit(True).alias("direct"))
     return cut(kept.unionByName(reviewed).groupBy("article", "name").agg(F.min("place").alias("place"), F.bool_or(F.coalesce("direct", F.lit(False))).alias("direct")))
 
@@ -81,7 +85,10 @@ def artist_index(links: DataFrame, articles: DataFrame, labels: DataFrame, names
     owners = cut(slug_owners(links))
     mine = links.join(owners.where("not collides").select("name", "slug"), "name")
     shown = articles.where((F.col("type") == "concert_review") & (F.coalesce("image", F.lit("")) != ""))
-    heroes = mine.join(shown, "article").groupBy("name").agg(F.max_by(F.struct("image", "url", "day"), F.struct("day", (-F.col("article")).alias("back"))).alias("hero"))
+    days = mine.join(shown.select("article", "day"), "article").groupBy("name", "day").agg(F.min("article").alias("article"))
+    newest = days.groupBy("name").agg(F.max(F.struct("day", (-F.col("article")).alias("back"))).alias("top")).select("name", F.col("top.day").alias("_day"), (-F.col("top.back")).alias("_article"))
+    told = shown.join(newest, (F.col("article") == F.col("_article")) & F.equal_null("day", "_day"))
+    heroes = told.groupBy("name").agg(F.max(F.struct("image", "url", "day")).alias("hero"))
     spelled = _keyed(labels.where("primary").select("label").distinct(), "label").join(names, "key").where("label <> name").select("name", F.col("label").alias("alias"))
     given = _keyed(aliases).join(names.withColumnRenamed("name", "canonical"), "key").select(F.col("canonical").alias("name"), "alias").where("alias <> name")
     spellings = _keyed(spelled.unionByName(given).distinct(), "alias", "key").groupBy("name").agg(F.transform(F.array_sort(F.collect_set(F.struct("key", "alias"))), lambda x: x["alias"]).alias("aliases"))

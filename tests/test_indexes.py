@@ -213,3 +213,14 @@ def test_terms_that_many_entries_share_have_postings_once(spark, tmp_path, sever
     want = [(q, g, i, n, s, k + 1) for q in ("red", "sky") for g in ("artists", "concerts") for k, (s, n, i) in enumerate(sorted((s, n, i) for (p, x, i), (n, s) in best.items() if (p, x) == (q, g))[:5])]
     got = search_index.search_many(spark, path, spark.createDataFrame([("red",), ("sky",)], "query string"), 5, spark.createDataFrame(bills, "artist long, id long, name string, role int"))
     assert sorted(map(tuple, got.select("query", "group", "id", "name", "score", "rank").collect())) == sorted(want)
+
+
+def test_each_wording_is_folded_once(spark, monkeypatch):
+    folded, real = [], artists._keyed
+    monkeypatch.setattr(artists, "_keyed", lambda d, *a: folded.append(d) or real(d, *a))
+    labels = spark.createDataFrame([(i, i % 4, ["Red", "RED", "Blue", None][i % 4], True, i % 8 == 0) for i in range(200)] + [(0, 3, "Blue", True, True)], "article long, place int, label string, primary boolean, direct boolean")
+    names = spark.createDataFrame([("red", "Red"), ("blue", "Blue")], "key string, name string")
+    got = artists.article_links(labels, names, spark.createDataFrame([(9, "Red")], "article long, name string"), spark.createDataFrame([(4, "RED"), (9, "Red")], "article long, name string"))
+    want = {(i, "Blue" if i % 4 == 2 else "Red", i % 4, i % 8 == 0) for i in range(200) if i % 4 < 3 and i not in (4, 9)} | {(0, "Blue", 3, True), (9, "Red", 1 << 30, True)}
+    assert {tuple(r) for r in got.collect()} == want
+    assert max(d.count() for d in folded) <= 4  # three wordings and null
