@@ -38,6 +38,9 @@ _GUESTS = re.compile(r"\s*\+\s*(?:special )?guests?\s*$", re.I)
 #: Rows of a block up to which one task takes it whole: looked up by key, they take some 100 microseconds each.
 BLOCK_ROWS = 100_000
 
+#: Rows for which there is a task, as their number, not their few bytes, is what the merge costs.
+TASK_ROWS = 10_000
+
 
 def names_of(title: str) -> frozenset[str]:
     """Folded acts of a title without qualifiers and unnamed guests."""
@@ -149,15 +152,42 @@ def groups_of(block: list[dict]) -> dict:
     return {r: min(g["rows"]) for g in groups for r in g["rows"]}
 
 
-def merge(df: DataFrame, row: str = "row") -> DataFrame:
+def placed() -> Column:
+    """Whether a row has a day and a place; others merge with nothing."""
+    return F.col("day").isNotNull() & F.col("venue_key").isNotNull() & (F.col("venue_key").cast("string") != "")
+
+
+def _ticket() -> Column:
+    return F.coalesce(canonical_url("ticket"), F.nullif(F.trim("ticket"), F.lit("")))
+
+
+def merge(df: DataFrame, row: str = "row", part: str | None = None) -> DataFrame:
     """df(row, day, venue_key, title, time, source, official, ticket) to (row, group).
 
     Times are compared as HH:MM, tickets without tracking parameters. Rows
-    without a day or a place merge with nothing: each is its own group.
+    without a day or a place merge with nothing: each is its own group. Blocks
+    fall apart by the column `part` (that of `parted`), if one is named.
     """
-    df = df.withColumns({"time": F.coalesce(normal_time(F.col("time")), F.nullif(F.trim("time"), F.lit(""))), "ticket": F.coalesce(canonical_url("ticket"), F.nullif(F.trim("ticket"), F.lit("")))})
-    placed = F.col("day").isNotNull() & F.col("venue_key").isNotNull() & (F.col("venue_key").cast("string") != "")
-    return _merge(df.where(placed), row).unionByName(df.where(~placed).select(row, F.col(row).alias("group")))
+    df = df.withColumns({"time": F.coalesce(normal_time(F.col("time")), F.nullif(F.trim("time"), F.lit(""))), "ticket": _ticket()})
+    return _merge(df.where(placed()), row, part).unionByName(df.where(~placed()).select(row, F.col(row).alias("group")))
+
+
+def parted(df: DataFrame) -> DataFrame:
+    """df(day, venue_key, title, ticket, ...) with `part`: rows that may share a group have the same.
+
+    Titles that meet by a key are one family, whatever their days and places,
+    so each is read once; a part is a family on a day at a place. It may hold
+    more than the connected rows (a 64-bit hash names it), which changes no group.
+    """
+    title = F.coalesce("title", F.lit(""))
+    told = cut(df.select(title.alias("title"), "ticket").distinct())
+    told = told.repartition(told.count() // TASK_ROWS + 1).select(F.xxhash64("title").alias("row"), F.lit("").alias("day"), F.lit("").alias("venue_key"), "title", _ticket().alias("ticket"))
+    edges = cut(shared_keys(told).where("u <> v").distinct())
+    df, family = df.withColumn("_title", F.xxhash64(title)), F.col("_title")
+    if not edges.isEmpty():
+        met = components(edges)
+        df, family = df.join(met.withColumnsRenamed({"node": "_title", "root": "_root"}), "_title", "left"), F.coalesce("_root", "_title")
+    return df.withColumn("part", F.xxhash64(F.col("day").cast("string"), F.col("venue_key").cast("string"), family)).drop("_title", "_root")
 
 
 _SAME = ("day", "venue_key", "title", "time", "source", "official", "ticket")
@@ -174,18 +204,19 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         yield from b.to_pylist()
 
 
-def _merge(df: DataFrame, row: str) -> DataFrame:
+def _merge(df: DataFrame, row: str, part: str | None = None) -> DataFrame:
     kind = df.schema[row].dataType.simpleString()
-    slim = df.select(F.col(row).alias("_row"), "day", "venue_key", "title", "time", "source", F.coalesce("official", F.lit(False)).alias("official"), "ticket").select("*", *_combination())
-    once = cut(slim.groupBy("_c1", "_c2", *_SAME).agg(F.min("_row").alias("row")))
-    large = once.groupBy("day", "venue_key").count().where(F.col("count") > BLOCK_ROWS).drop("count")
-    none = F.lit(None).cast(kind).alias("part")
-    if large.isEmpty():
-        parts = once.select("*", none)
-    else:
-        wide = once.join(large, ["day", "venue_key"], "left_semi")
-        met = components(shared_keys(wide)).select(F.col("node").alias("row"), F.col("root").alias("part"))
-        parts = once.join(large, ["day", "venue_key"], "left_anti").select("*", none).unionByName(wide.join(met, "row", "left").withColumn("part", F.coalesce("part", "row")))
+    slim = df.select(F.col(row).alias("_row"), "day", "venue_key", "title", "time", "source", F.coalesce("official", F.lit(False)).alias("official"), "ticket", (F.col(part).cast("string") if part else F.lit("")).alias("part")).select("*", *_combination())
+    once = cut(slim.groupBy("_c1", "_c2", *_SAME, "part").agg(F.min("_row").alias("row")))
+    place = ["day", "venue_key", "part"]
+    sizes = once.groupBy(*place).count()
+    n, most = sizes.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).head()
+    parts = once
+    if most > BLOCK_ROWS:
+        large = sizes.where(F.col("count") > BLOCK_ROWS).drop("count")
+        wide = once.join(large, place, "left_semi")
+        met = components(shared_keys(wide)).select(F.col("node").alias("row"), F.col("root").cast("string").alias("_root"))
+        parts = once.join(large, place, "left_anti").unionByName(wide.join(met, "row", "left").withColumn("part", F.coalesce("_root", F.col("row").cast("string"))).drop("_root"))
 
     def run(batches):
         for _, block in itertools.groupby(_rows(batches), lambda x: (x["day"], x["venue_key"], x["part"])):
@@ -193,8 +224,7 @@ def _merge(df: DataFrame, row: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(out), schema), pa.array(list(out.values()), schema)], ["row", "group"])
 
     schema = pa.string() if kind == "string" else pa.int64() if kind == "bigint" else pa.int32()
-    place = ["day", "venue_key", "part"]
-    groups = parts.drop("_c1", "_c2").repartition(*place).sortWithinPartitions(*place).mapInArrow(run, f"row {kind}, `group` {kind}")
+    groups = parts.drop("_c1", "_c2").repartition(n // TASK_ROWS + 1, *place).sortWithinPartitions(*place).mapInArrow(run, f"row {kind}, `group` {kind}")
     first = once.select("_c1", "_c2", "row").join(groups, "row").drop("row")
     return slim.select("_row", "_c1", "_c2").join(first, ["_c1", "_c2"]).select(F.col("_row").alias(row), "group")
 

@@ -12,6 +12,9 @@ from . import listings
 LEAST_RATIO, LEAST_MISSING = 0.5, 20
 RETENTION_DAYS = 7
 
+#: Parts (64-bit numbers) that all tasks may hold at once; more are met by a shuffle.
+BROADCAST_PARTS = 2_000_000
+
 
 def judge(loads: DataFrame, fresh: DataFrame, held: DataFrame, today: Column) -> DataFrame:
     """loads(source, status, path, incomplete) with prior_n, fresh_n and the final status.
@@ -33,13 +36,25 @@ def replay(fresh: DataFrame, held: DataFrame, judged: DataFrame, same: list[str]
     success is over seven days old, in the future or unknown; past before today;
     suppressed when a fresh row equals it on the columns `same`.
     """
-    weak = judged.where(F.col("status").isin("failed", "partial")).select("source", F.col("status").alias("_status"))
-    rows = held.join(weak, "source")
     live = fresh.select(*same).distinct().withColumn("_live", F.lit(True))
+    return _weak(held, judged).join(live, same, "left").withColumn("fate", _fate(now, today)).drop("_live")
+
+
+def _weak(held: DataFrame, judged: DataFrame) -> DataFrame:
+    """Held rows of failed and partial sources with _status; judged holds one row a source, so it is broadcast and rows are not dealt by source."""
+    weak = judged.where(F.col("status").isin("failed", "partial")).select("source", F.col("status").alias("_status"))
+    return held.join(F.broadcast(weak), "source")
+
+
+def _gone(now: Column, today: Column) -> Column:
+    """expired or past; null for rows whose fate the fresh ones decide."""
     age = F.unix_timestamp(now) - F.unix_timestamp(F.col("last_success"))
     old = F.coalesce(~age.between(0, RETENTION_DAYS * 86400), F.lit(True))
-    fate = F.when(old, "expired").when(F.col("day") < today, "past").when(F.col("_live"), "suppressed").otherwise("restored")
-    return rows.join(live, same, "left").withColumn("fate", fate).drop("_live")
+    return F.when(old, "expired").when(F.col("day") < today, "past")
+
+
+def _fate(now: Column, today: Column) -> Column:
+    return F.coalesce(_gone(now, today), F.when(F.col("_live"), "suppressed").otherwise("restored"))
 
 
 def replay_equivalent(fresh: DataFrame, held: DataFrame, judged: DataFrame, now: Column, today: Column) -> DataFrame:
@@ -49,12 +64,16 @@ def replay_equivalent(fresh: DataFrame, held: DataFrame, judged: DataFrame, now:
     time, source, official, ticket); rows are numbered through both sides.
     """
     told = ("row", "day", "venue_key", "title", "time", "source", "official", "ticket")
-    side = lambda d, name: d.select(*[F.concat(F.lit(f"{name}:"), F.col("row").cast("string")).alias("row") if c == "row" else F.col(c) for c in told])
-    weak = held.join(judged.where(F.col("status").isin("failed", "partial")).select("source"), "source", "left_semi")
-    groups = cut(listings.merge(side(fresh, "fresh").unionByName(side(weak, "held"))))
-    live = groups.where("startswith(row, 'fresh:')").select("group").distinct().join(groups.where("startswith(row, 'held:')"), "group").select(F.substring("row", 6, 1 << 20).alias("_key"), F.lit(True).alias("_same"))
-    marked = held.withColumn("_key", F.col("row").cast("string")).join(live, "_key", "left").withColumn("_same", F.coalesce("_same", F.lit(False))).drop("_key")
-    return replay(fresh.sparkSession.createDataFrame([(True,)], "_same boolean"), marked, judged, ["_same"], now, today).drop("_same")
+    side = lambda d, name, asks: d.select(*[F.concat(F.lit(f"{name}:"), F.col("row").cast("string")).alias("row") if c == "row" else F.col(c) for c in told], asks.alias("_asks"))
+    weak = _weak(held, judged)
+    rows = listings.parted(side(fresh, "fresh", F.lit(1)).unionByName(side(weak, "held", F.when(_gone(now, today).isNull(), 2).otherwise(0))))
+    # only parts with a fresh row and a held one that asks for it are merged, but these with all their rows
+    asking = cut(rows.where("_asks = 2").select("part").distinct())
+    near = cut(rows.join(F.broadcast(asking) if asking.count() <= BROADCAST_PARTS else asking, "part", "left_semi"))
+    groups = listings.merge(near.join(near.where("_asks = 1").select("part").distinct(), "part", "left_semi"), part="part")
+    # the least row names a group, and fresh: comes before held:
+    live = groups.where("startswith(row, 'held:') and startswith(`group`, 'fresh:')").select(F.substring("row", 6, 1 << 20).alias("_key"), F.lit(True).alias("_live")).distinct()
+    return weak.withColumn("_key", F.col("row").cast("string")).join(live, "_key", "left").withColumn("fate", _fate(now, today)).drop("_key", "_live")
 
 
 def update(fresh: DataFrame, replayed: DataFrame, judged: DataFrame, now: Column, today: Column) -> DataFrame:

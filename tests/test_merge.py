@@ -1,10 +1,12 @@
 """The listing merge: whole blocks against their connected parts, and one row for each engagement."""
 
+import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from tallyfold.operators import listings
+from tallyfold.operators import listings, snapshots
 from tallyfold.operators.programmes import kept_apart
 
 SCHEMA = "row long, day string, venue_key string, title string, time string, source string, official boolean, ticket string, first_seen string, sold_out boolean, programme string, image string, genre string"
@@ -107,3 +109,49 @@ def test_rows_without_a_place_stay_alone_and_near_ones_are_told(spark):
     told = kept_apart(got.selectExpr("day", "venue_key as venue", "headliner as key", "`group`")).collect()
     assert [(r["key"], r["groups"]) for r in told] == [("Ana", 2)]
     assert listings.merged(_table(spark, []), ["image"]).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_replay_merges_only_parts_that_ask(spark, seed, monkeypatch):
+    """Fates equal those of a merge over all rows, but rows that no asking one can meet, or that meet no fresh one, stay out of it."""
+    rng, day = random.Random(seed), dt.date(2026, 5, 1)
+    rows = [{**r, "title": r["title"] and r["title"].replace("Act", f"Band {i % 40}"), "day": rng.choice([day, day, dt.date(2026, 4, 1), None]), "venue_key": rng.choice(["v", "v", "w", "", None]), "at": rng.choice([dt.datetime(2026, 4, 19), dt.datetime(2026, 4, 1)])} for i, r in enumerate(_block(seed, 400) + _block(seed + 9, 60))]
+    rows += [{**r, "row": None} for r in rng.sample(rows, 40)]  # copies
+    schema = "row int, day date, venue_key string, title string, time string, source string, official boolean, ticket string, last_success timestamp"
+    table = spark.createDataFrame([(i, *[r[c] for c in ("day", "venue_key", "title", "time", "source", "official", "ticket", "at")]) for i, r in enumerate(rows)], schema)
+    fresh, held = table.where("row % 3 > 0"), table.where("row % 3 = 0 or row % 7 = 0")
+    judged = spark.createDataFrame([("a", "failed"), ("b", "ok"), ("c", "partial")], "source string, status string")
+    now, today = F.lit(dt.datetime(2026, 4, 20)), F.lit(dt.date(2026, 4, 20))
+    weak = held.where("source in ('a', 'c')")
+    name = lambda d, n: d.withColumn("row", F.concat(F.lit(n), F.col("row").cast("string"))).drop("last_success")
+    whole = {r["row"]: r["group"] for r in listings.merge(name(fresh, "fresh:").unionByName(name(weak, "held:"))).collect()}
+    met = {g for r, g in whole.items() if r.startswith("fresh:")}
+    fate = lambda r: "expired" if r["last_success"] < dt.datetime(2026, 4, 13) else "past" if r["day"] and r["day"] < dt.date(2026, 4, 20) else "suppressed" if whole[f"held:{r['row']}"] in met else "restored"
+    wanted = {r["row"]: fate(r) for r in weak.collect()}
+    given, real = [], listings.merge
+    monkeypatch.setattr(listings, "merge", lambda d, **more: given.append({r["row"] for r in d.collect()}) or real(d, **more))
+    got = snapshots.replay_equivalent(fresh, held, judged, now, today)
+    assert {r["row"]: r["fate"] for r in got.collect()} == wanted and got.count() == len(wanted) and set(wanted.values()) == {"expired", "past", "suppressed", "restored"}
+    assert len(given[0]) < len(whole) * 2 / 3
+    assert {f"held:{r}" for r, f in wanted.items() if f == "suppressed"} <= given[0]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(source" not in plan and "hashpartitioning(_same" not in plan
+    monkeypatch.setattr(snapshots, "BROADCAST_PARTS", 0)
+    assert {r["row"]: r["fate"] for r in snapshots.replay_equivalent(fresh, held, judged, now, today).collect()} == wanted
+
+
+@pytest.mark.parametrize("seed", [1, 5])
+def test_groups_never_cross_parts(spark, seed):
+    rows = _block(seed) + [{"title": f"Solo {i % 9}", "source": "abc"[i % 3]} for i in range(40)] + [{"title": "Solo 1", "venue_key": None}]
+    df = listings.parted(_table(spark, rows))
+    part = {r["row"]: r["part"] for r in df.collect()}
+    whole = {r["row"]: r["group"] for r in listings.merge(df).collect()}
+    assert all(part[r] == part[g] for r, g in whole.items()) and len(set(part.values())) > 9
+    assert {r["row"]: r["group"] for r in listings.merge(df, part="part").collect()} == whole
+
+
+def test_tasks_of_the_merge_follow_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(listings, "TASK_ROWS", 10)
+    got = listings.merge(_table(spark, [{"title": f"Act {i}", "venue_key": str(i % 7)} for i in range(95)]))
+    assert "10), REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 95
