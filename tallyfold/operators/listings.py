@@ -38,7 +38,7 @@ _GUESTS = re.compile(r"\s*\+\s*(?:special )?guests?\s*$", re.I)
 #: Rows of a block up to which one task takes it whole: looked up by key, they take some 100 microseconds each.
 BLOCK_ROWS = 100_000
 
-#: Rows for which there is a task, as their number, not their few bytes, is what the merge costs.
+#: Rows of parts, or titles, for which there is a task: their number, not their few bytes, is what they cost. Whole blocks are dealt by Spark: tasks of many blocks meet more titles again.
 TASK_ROWS = 10_000
 
 
@@ -152,6 +152,10 @@ def groups_of(block: list[dict]) -> dict:
     return {r: min(g["rows"]) for g in groups for r in g["rows"]}
 
 
+def _tasks(df: DataFrame, rows: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, rows // TASK_ROWS + 1)
+
+
 def placed() -> Column:
     """Whether a row has a day and a place; others merge with nothing."""
     return F.col("day").isNotNull() & F.col("venue_key").isNotNull() & (F.col("venue_key").cast("string") != "")
@@ -181,7 +185,7 @@ def parted(df: DataFrame) -> DataFrame:
     """
     title = F.coalesce("title", F.lit(""))
     told = cut(df.select(title.alias("title"), "ticket").distinct())
-    told = told.repartition(told.count() // TASK_ROWS + 1).select(F.xxhash64("title").alias("row"), F.lit("").alias("day"), F.lit("").alias("venue_key"), "title", _ticket().alias("ticket"))
+    told = told.repartition(_tasks(told, told.count())).select(F.xxhash64("title").alias("row"), F.lit("").alias("day"), F.lit("").alias("venue_key"), "title", _ticket().alias("ticket"))
     edges = cut(shared_keys(told).where("u <> v").distinct())
     df, family = df.withColumn("_title", F.xxhash64(title)), F.col("_title")
     if not edges.isEmpty():
@@ -224,7 +228,7 @@ def _merge(df: DataFrame, row: str, part: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(out), schema), pa.array(list(out.values()), schema)], ["row", "group"])
 
     schema = pa.string() if kind == "string" else pa.int64() if kind == "bigint" else pa.int32()
-    groups = parts.drop("_c1", "_c2").repartition(n // TASK_ROWS + 1, *place).sortWithinPartitions(*place).mapInArrow(run, f"row {kind}, `group` {kind}")
+    groups = parts.drop("_c1", "_c2").repartition(*([_tasks(df, n)] if part else []), *place).sortWithinPartitions(*place).mapInArrow(run, f"row {kind}, `group` {kind}")
     first = once.select("_c1", "_c2", "row").join(groups, "row").drop("row")
     return slim.select("_row", "_c1", "_c2").join(first, ["_c1", "_c2"]).select(F.col("_row").alias(row), "group")
 

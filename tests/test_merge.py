@@ -150,8 +150,8 @@ def test_groups_never_cross_parts(spark, seed):
     assert {r["row"]: r["group"] for r in listings.merge(df, part="part").collect()} == whole
 
 
-def test_tasks_of_the_merge_follow_its_rows(spark, monkeypatch):
+def test_tasks_of_parts_follow_their_rows(spark, monkeypatch):
     monkeypatch.setattr(listings, "TASK_ROWS", 10)
-    got = listings.merge(_table(spark, [{"title": f"Act {i}", "venue_key": str(i % 7)} for i in range(95)]))
+    got = listings.merge(listings.parted(_table(spark, [{"title": f"Act {i}", "venue_key": str(i % 7)} for i in range(95)])), part="part")
     assert "10), REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == 95
