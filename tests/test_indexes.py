@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from tallyfold.functions.keys import fold_content
@@ -111,6 +112,69 @@ def test_collisions_read_their_rows_once_and_find_large_bills(spark):
     assert read.value == len(rows)
 
 
+def _shuffled(spark):
+    """Bytes of the session's shuffles so far."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(30_000)
+    return sc.statusStore().executorSummary("driver").totalShuffleWrite()
+
+
+def test_collisions_shuffle_their_rows_and_not_their_pairs(spark):
+    rng, sent, told = random.Random(7), [], []
+    bills = sorted({tuple(sorted(rng.sample("abcdefghijklmnop", rng.choice([1, 2, 3, 7, 8, 9, 10])))) for _ in range(4000)})
+    rng.shuffle(bills)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in (500, 2000):
+            df = spark.createDataFrame([(i, "d", "v", list(b), None, [f"s{i}"], None) for i, b in enumerate(bills[:n])], "row int, day string, place string, names array<string>, time string, sources array<string>, marker string")
+            before = _shuffled(spark)
+            told.append(len(collisions.semantic_collisions(df).collect()))
+            sent.append(_shuffled(spark) - before)
+            assert told[-1] == sum(set(a) < set(b) for a in bills[:n] for b in bills[:n])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert told[1] > 10 * told[0] and sent[1] < 5 * sent[0] and sent[1] < 200 * 2000, (told, sent)
+
+
+@pytest.mark.parametrize(("cell", "batch"), [(1, 10_000), (40, 7), (40, 10_000), (100_000, 5)])
+def test_collisions_of_large_blocks_equal_all_pairs(spark, monkeypatch, cell, batch):
+    rng = random.Random(cell)
+    rows = [(f"r{i:03d}", rng.choice([1, 1, 2]), rng.choice(["v", "v", "w"]), rng.sample(["ab", "a", "b", "", None, "é", "x y", "c", "d"], rng.choice([1, 2, 3, 4, 6])), rng.choice([None, "19:00", "20:00"]), rng.sample("xyz", rng.choice([0, 1, 1, 2])), rng.choice([None, None, "", "m"])) for i in range(400)]
+    rows += [(f"s{i:03d}", 3, f"p{i // 2}", ["a", "b"][: 1 + i % 2], None, [f"{i}"], None) for i in range(60)]
+    once, want = {}, set()
+    for i, d, p, n, t, s, m in rows:
+        if kept := frozenset(x for x in n if x):
+            once.setdefault((d, p, kept, t, frozenset(s), m), i)
+    for (d, p, n, t, s, m), i in once.items():
+        for (e, q, o, u, z, k), j in once.items():
+            if (d, p, m) == (e, q, k) and (n < o or (n == o and i > j)) and not s & z and (not t or not u or t == u):
+                want.add((i, j, f"{d} {p}: {' + '.join(sorted(n))} ({', '.join(sorted(s))}) lies in {' + '.join(sorted(o))} ({', '.join(sorted(z))})"))
+    monkeypatch.setattr(collisions, "CELL_NAMES", cell)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = collisions.semantic_collisions(spark.createDataFrame(rows, "row string, day int, place string, names array<string>, time string, sources array<string>, marker string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(r["row"], r["other"], r["message"]) for r in got} == want and len(got) == len(want) and {(r["day"], r["place"]) for r in got} >= {(1, "v"), (3, "p7")}
+
+
+def test_collisions_of_a_cell_come_in_batches_of_bounded_size(monkeypatch):
+    """Some cells at once, one that many ask, and pairs in more batches than one."""
+    kinds = pa.schema([("cell", pa.string()), ("role", pa.int32()), ("row", pa.int64()), ("day", pa.string()), ("place", pa.string()), ("names", pa.list_(pa.string())), ("time", pa.string()), ("sources", pa.list_(pa.string())), ("text", pa.string()), ("says", pa.string())])
+    row = lambda cell, role, i, names: (cell, role, i, "d", "v", list(names), None, [str(i)], names, "in ")
+    rows = [row("c1", 1, 1, "a"), row("c1", 1, 2, "ab"), row("c2", 1, 3, "ab"), *[row("c3", 0, 10 + i, "abc") for i in range(6)], *[row("c3", 2, 100 + i, "abcx"[i % 4]) for i in range(40)], row("c4", 1, 4, "a"), row("c4", 1, 5, "xa")]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in rows[k : k + 4]], kinds) for k in range(0, len(rows), 4)]
+    want = {(1, 2), (4, 5)} | {(100 + i, 10 + j) for i in range(40) if i % 4 < 3 for j in range(6)}
+    for cell, most in ((1000, 1 << 20), (10, 20)):
+        monkeypatch.setattr(collisions, "CELL_NAMES", cell)
+        monkeypatch.setattr(collisions, "TOLD_BYTES", most)
+        out = list(collisions._met(iter(batches)))
+        pairs = [(r["row"], r["other"]) for b in out for r in b.to_pylist() if not r["same"]]
+        assert set(pairs) == want and len(pairs) == len(want)
+    assert max(b.num_rows for b in out) <= 4
+
+
 def test_genre_index_by_hand(spark):
     make = spark.createDataFrame
     taxonomy = make([("all", None), ("rock", "all"), ("punk", "rock"), ("jazz", "all"), ("bop", "jazz")], "genre string, parent string")
